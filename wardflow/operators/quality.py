@@ -102,23 +102,28 @@ class AttachKey:
     message: str
 
 
-def resolve_keys(df: DataFrame, keys: Iterable[ForeignKey | AttachKey],
-                 parents: Callable[[str], DataFrame]) -> tuple[DataFrame, list[Rule]]:
-    """Join what the keys need and return the rules that read the result."""
-    rules = []
-    for i, key in enumerate(keys):
-        parent = parents(key.parent)
-        if isinstance(key, AttachKey):
-            side = (parent.select(F.col(key.parent_column).alias(key.column), key.brings)
-                    .filter(F.col(key.column).isNotNull()))
-            df = hot_key_join(df, side, key.column)
-            rules.append(required(key.brings, key.message))
-            continue
-        if key.gated:
-            parent = parent.filter(F.col(PASSED))
-        flag = f"_fk{i}"
-        df = with_exists(df, parent, key.column, key.parent_column, flag, key.large)
-        rules.append(Rule(key.message, _orphan_test(flag, key.column, key.null_fails)))
+def resolve_keys(df: DataFrame, checks: Iterable[Rule | ForeignKey | AttachKey],
+                 parents: Callable[[str, bool], DataFrame]) -> tuple[DataFrame, list[Rule]]:
+    """Join what the keys among ``checks`` need; returns plain rules, in the order given.
+
+    ``parents(name, gated)`` supplies a parent table.
+    """
+    rules: list[Rule] = []
+    for i, item in enumerate(checks):
+        if isinstance(item, Rule):
+            rules.append(item)
+        elif isinstance(item, AttachKey):
+            side = (parents(item.parent, False)
+                    .select(F.col(item.parent_column).alias(item.column), item.brings)
+                    .filter(F.col(item.column).isNotNull()))
+            df = hot_key_join(df, side, item.column)
+            rules.append(required(item.brings, item.message))
+        else:
+            parent = parents(item.parent, item.gated)
+            if item.gated:
+                parent = parent.filter(F.col(PASSED))
+            df = with_exists(df, parent, item.column, item.parent_column, f"_fk{i}", item.large)
+            rules.append(Rule(item.message, _orphan_test(f"_fk{i}", item.column, item.null_fails)))
     return df, rules
 
 
