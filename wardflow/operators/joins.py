@@ -22,41 +22,48 @@ def lookup(df: DataFrame, dimension: DataFrame, on: str | Sequence[str],
     return df.join(dimension.select(*keys, *columns), keys, "left")
 
 
-def hot_key_join(left: DataFrame, right: DataFrame, on: str, how: str = "left") -> DataFrame:
-    """``left.join(right, on, how)`` for a large ``right`` that is unique on ``on``.
-
-    Keys of more than ``HOT_SHARE`` of the rows of ``left`` (at most ``1 / HOT_SHARE`` of them,
-    which bounds the broadcast) are spread over ``SALTS`` tasks, their single partner row being
-    repeated; all other keys join as usual.  NULL keys, which match nothing, are spread too.
-    AQE splits skewed shuffle reads, but not below an aggregate or window that shares the join's
-    partitioning, which is where these joins often sit.
+def hot_keys(df: DataFrame, key: str) -> list | None:
+    """Values of ``key`` (None for NULL) that hold more than ``HOT_SHARE`` of the rows each.
+
+    One pass with a frequent-items sketch that is merged map-side, so no key is shuffled; one row
+    comes back, holding at most ``1 / HOT_SHARE`` values.  The list only steers how rows are
+    spread: a key missed or listed needlessly changes the work, never a result.
+    """
+    most = int(1 / HOT_SHARE)
+    row = df.agg(F.count(F.lit(1)).alias("rows"), F.count(key).alias("known"),
+                 F.expr(f"approx_top_k(`{key}`, {most}, {most * 32})").alias("top")).first()
+    least = max(row["rows"] * HOT_SHARE, SALTS)
+    hot = [item["item"] for item in row["top"] or [] if item["count"] > least and item["item"] is not None]
+    return hot + [None] if row["rows"] - row["known"] > least else hot
+
+
+def hot_key_join(left: DataFrame, right: DataFrame, on: str, hot: list, how: str = "left") -> DataFrame:
+    """``left.join(right, on, how)`` with the rows of the ``hot`` keys spread over ``SALTS`` tasks.
+
+    ``right`` must be unique on ``on``: each hot key's single row is repeated once per salt.
+    NULL keys match nothing and are spread as well.  AQE splits skewed joins too, but only where
+    both inputs come straight from a shuffle; a side that was just deduplicated or aggregated on
+    the join key does not, and that is where this is used.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(how)
-    counts = left.filter(F.col(on).isNotNull()).groupBy(on).agg(F.count(F.lit(1)).alias("_n"))
-    whole = counts.agg(F.sum("_n").alias("_total"))
-    hot = (counts.filter(F.col("_n") > F.lit(HOT_SHARE) * whole.scalar())
-           .filter(F.col("_n") > SALTS).select(F.col(on).alias("_hot_key")))
+    if not hot:
+        return left.join(right, on, how)
+    values = [h for h in hot if h is not None]
+    heavy = F.col(on).isin(*values) if values else F.lit(False)
     spread = F.pmod(F.xxhash64(*left.columns), F.lit(SALTS)).cast("int")
-    salted = (left.join(F.broadcast(hot), F.col(on) == F.col("_hot_key"), "left")
-              .withColumn("_salt", F.when(F.col("_hot_key").isNotNull() | F.col(on).isNull(), spread)
-                          .otherwise(F.lit(0))).drop("_hot_key"))
+    salted = left.withColumn("_salt", F.when(F.col(on).isNull() | heavy, spread).otherwise(F.lit(0)))
     every = F.sequence(F.lit(0), F.lit(SALTS - 1))
-    copies = (right.join(F.broadcast(hot), F.col(on) == F.col("_hot_key"), "left")
-              .withColumn("_salt", F.explode(F.when(F.col("_hot_key").isNotNull(), every)
-                                             .otherwise(F.array(F.lit(0))))).drop("_hot_key"))
+    copies = right.withColumn("_salt", F.explode(F.when(heavy, every).otherwise(F.array(F.lit(0)))))
     return salted.join(copies, [on, "_salt"], how).drop("_salt")
 
 
 def with_exists(df: DataFrame, parents: DataFrame, key: str, parent_key: str, flag: str,
-                large: bool = False) -> DataFrame:
+                hot: list | None = None) -> DataFrame:
     """Boolean ``flag``: does ``key`` exist among the non-null ``parent_key`` values?"""
-    keys = (parents.select(F.col(parent_key).alias("_parent")).filter("_parent IS NOT NULL")
+    keys = (parents.select(F.col(parent_key).alias(key)).filter(F.col(key).isNotNull())
             .distinct().withColumn(flag, F.lit(True)))
-    if large:
-        linked = hot_key_join(df, keys.withColumnRenamed("_parent", key), key)
-    else:
-        linked = df.join(keys, F.col(key) == F.col("_parent"), "left").drop("_parent")
+    linked = hot_key_join(df, keys, key, hot or [])
     return linked.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 

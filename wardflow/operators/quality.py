@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardflow.functions.parsing import as_col
-from wardflow.operators.joins import hot_key_join, with_exists
+from wardflow.operators.joins import hot_keys, with_exists
 
 ISSUES = "_dq_issues"
 PASSED = "_dq_passed"
@@ -103,26 +103,29 @@ class AttachKey:
 
 
 def resolve_keys(df: DataFrame, checks: Iterable[Rule | ForeignKey | AttachKey],
-                 parents: Callable[[str, bool], DataFrame]) -> tuple[DataFrame, list[Rule]]:
+                 parents: Callable[[str, bool], DataFrame], raw: DataFrame) -> tuple[DataFrame, list[Rule]]:
     """Join what the keys among ``checks`` need; returns plain rules, in the order given.
 
-    ``parents(name, gated)`` supplies a parent table.
+    ``parents(name, gated)`` supplies a parent table; ``raw`` is a cheap frame with the same key
+    columns, in which heavy keys of large parents are looked for.
     """
     rules: list[Rule] = []
     for i, item in enumerate(checks):
         if isinstance(item, Rule):
             rules.append(item)
         elif isinstance(item, AttachKey):
+            # both inputs are shuffled for this join alone, so AQE can split a heavy key
             side = (parents(item.parent, False)
                     .select(F.col(item.parent_column).alias(item.column), item.brings)
                     .filter(F.col(item.column).isNotNull()))
-            df = hot_key_join(df, side, item.column)
+            df = df.join(side, item.column, "left")
             rules.append(required(item.brings, item.message))
         else:
             parent = parents(item.parent, item.gated)
             if item.gated:
                 parent = parent.filter(F.col(PASSED))
-            df = with_exists(df, parent, item.column, item.parent_column, f"_fk{i}", item.large)
+            hot = hot_keys(raw, item.column) if item.large else None
+            df = with_exists(df, parent, item.column, item.parent_column, f"_fk{i}", hot)
             rules.append(Rule(item.message, _orphan_test(f"_fk{i}", item.column, item.null_fails)))
     return df, rules
 

@@ -12,7 +12,7 @@ from wardflow.functions.calendar import date_key, days, hours_between, minutes_b
 from wardflow.functions.labels import age_band
 from wardflow.functions.parsing import to_int
 from wardflow.operators.dedupe import latest_child, latest_per_key
-from wardflow.operators.joins import hot_key_join, lookup
+from wardflow.operators.joins import lookup
 from wardflow.operators.ordered import dense_number
 from wardflow.operators.quality import gate
 from wardflow.sources.layers import Layers
@@ -82,7 +82,7 @@ def dim_patient(patients: DataFrame, as_of: str | None = None) -> DataFrame:
     """One de-identified row per person: the record with the earliest birth date stands for it."""
     person = latest_per_key(gate(patients), ["canonical_patient_key"], [F.col("BirthDate_date").asc()])
     banded = person.withColumn("age_band", age_band("BirthDate_date", as_of or date.today().isoformat()))
-    return _renamed(dense_number(banded, ["canonical_patient_key"], "patient_key"),
+    return _renamed(dense_number(banded, ["canonical_patient_key"], "patient_key", step=1_000_000),
                     "patient_key canonical_patient_key age_band Gender Race Ethnicity Zip "
                     "is_high_risk_bool:is_high_risk Healthcare_Coverage_float:insurance_type_placeholder")
 
@@ -149,8 +149,7 @@ class Gold:
         return lookup(df, self.table("dim_unit"), "unit_id", ["unit_key"])
 
     def _with_patient(self, df: DataFrame) -> DataFrame:
-        people = self.table("dim_patient").select("canonical_patient_key", "patient_key")
-        return hot_key_join(df, people, "canonical_patient_key")
+        return lookup(df, self.table("dim_patient"), "canonical_patient_key", ["patient_key"])
 
     def _gated(self, name: str) -> DataFrame:
         return gate(self._silver(name))

@@ -17,7 +17,6 @@ from wardflow.functions.identity import mpi_key
 from wardflow.functions.parsing import fold, to_bool, to_day, to_double, to_int, to_money, to_time
 from wardflow.operators.audit import run_summary
 from wardflow.operators.dedupe import drop_copies, latest_batch
-from wardflow.operators.joins import hot_key_join
 from wardflow.operators.ordered import number_distinct
 from wardflow.operators.quality import (AttachKey, ForeignKey, Rule, at_most_times, in_domain, in_order, judge,
                                         no_more_than, required, resolve_keys, rule, within)
@@ -85,9 +84,13 @@ def _zero_beds() -> Column:
 
 
 def with_person(df: DataFrame) -> DataFrame:
-    """Match key and dense person number.  Demographic keys can be very common: spread them."""
+    """Match key and dense person number.
+
+    A demographic key made of blanks can be very common; both sides of the join are shuffled for
+    it alone, so AQE can split such a key.
+    """
     keyed = df.withColumn("mpi_key", mpi_key("SSN", "BirthDate", "Last", "First", "Zip"))
-    return hot_key_join(keyed, number_distinct(keyed, "mpi_key", "canonical_patient_key"), "mpi_key")
+    return keyed.join(number_distinct(keyed, "mpi_key", "canonical_patient_key"), "mpi_key", "left")
 
 
 def parse_work_date(df: DataFrame) -> DataFrame:
@@ -271,12 +274,13 @@ class Silver:
 
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
-            self._tables[name] = judge_table(name, self.base(name), self.parent)
+            self._tables[name] = judge_table(name, self.base(name), self.parent, self._bronze(name))
         return self._tables[name]
 
 
-def judge_table(name: str, base: DataFrame, parents: Callable[[str, bool], DataFrame]) -> DataFrame:
-    keyed, rules = resolve_keys(base, TABLES[name].checks, parents)
+def judge_table(name: str, base: DataFrame, parents: Callable[[str, bool], DataFrame],
+                raw: DataFrame) -> DataFrame:
+    keyed, rules = resolve_keys(base, TABLES[name].checks, parents, raw)
     judged = judge(keyed, rules)
     return judged.select(*[c for c in judged.columns if not c.startswith("_fk")])
 
@@ -287,7 +291,8 @@ def build_silver(layers: Layers, names: Sequence[str] = tuple(BUILD_ORDER), run_
     The run log is taken from the written table, so nothing is computed twice.
     """
     for name in names:
-        base = TABLES[name].base(layers.read(f"bronze_{name}"))
-        judged = judge_table(name, base, lambda parent, gated: layers.read(f"silver_{parent}"))
+        bronze = layers.read(f"bronze_{name}")
+        judged = judge_table(name, TABLES[name].base(bronze),
+                             lambda parent, gated: layers.read(f"silver_{parent}"), bronze)
         written = layers.overwrite(f"silver_{name}", judged)
         layers.append("dq_run_results", run_summary(written, f"silver_{name}", run_id or ""))
