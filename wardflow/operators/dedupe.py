@@ -4,34 +4,31 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardflow.functions.parsing import as_col
 
-
-def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str] = (),
+def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = (),
                    keep_null_keys: bool = False) -> DataFrame:
-    """One row per key: the first under ``order``, ties broken by all other columns descending.
+    """One row per key: the first under ``order`` (SQL order terms), ties broken by all other
+    columns descending.
 
     ``row_number() = 1`` is planned with a partial group limit below the shuffle, so each map
     task sends at most one row per key and a key holding a third of the table costs no more
     than any other.  The total order makes the survivor independent of file layout.
     """
-    first = [as_col(o) for o in order]
-    rest = [F.col(c).desc() for c in df.columns if c not in keys]
     if keep_null_keys:
-        missing = F.lit(False)
-        for k in keys:
-            missing = missing | F.col(k).isNull()
-        whole = latest_per_key(df.filter(~missing), keys, order)
+        missing = " OR ".join(f"`{k}` IS NULL" for k in keys)
+        whole = latest_per_key(df.filter(f"NOT ({missing})"), keys, order)
         return whole.unionByName(df.filter(missing))
-    window = Window.partitionBy(*keys).orderBy(*first, *rest)
-    return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
+    by = ", ".join(f"`{k}`" for k in keys)
+    terms = [*order, *[f"`{c}` DESC" for c in df.columns if c not in keys]] or ["1"]
+    rank = F.expr(f"row_number() OVER (PARTITION BY {by} ORDER BY {', '.join(terms)})")
+    return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
 
 
 def latest_batch(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return latest_per_key(df, keys, [F.col("_batch_id").desc()])
+    return latest_per_key(df, keys, ["_batch_id DESC"])
 
 
 def drop_copies(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -41,7 +38,7 @@ def drop_copies(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def latest_child(df: DataFrame, parent: str, when: str) -> DataFrame:
     """One child per parent before a join, so that the join cannot multiply the parent."""
-    return latest_per_key(df, [parent], [F.col(when).desc()])
+    return latest_per_key(df, [parent], [f"`{when}` DESC"])
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str], count: str = "copies") -> DataFrame:

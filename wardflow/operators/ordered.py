@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from wardflow.session import settle
+
 RANGES = 128
 SAMPLE = RANGES * 32
 
@@ -52,8 +54,11 @@ def dense_number(df: DataFrame, keys: Sequence[str], name: str, step: int | None
 
 
 def number_distinct(df: DataFrame, key: str, name: str) -> DataFrame:
-    """Two columns: every distinct value of ``key`` and its dense rank."""
-    return dense_number(df.select(key).distinct(), [key], name)
+    """Two columns: every distinct value of ``key`` and its dense rank.
+
+    The distinct values are read three times (sample, totals, numbering), so they are settled.
+    """
+    return dense_number(settle(df.select(key).distinct()), [key], name)
 
 
 def running_total(df: DataFrame, value: str, tiebreak: Sequence[str], name: str) -> DataFrame:

@@ -23,7 +23,7 @@ def staffed_beds_by_week(hourly: DataFrame, facilities: DataFrame, weekly: DataF
                .groupBy("facility_id", "snapshot_date", "snapshot_datetime_ts")
                .agg(F.sum(to_int("staffed_beds")).alias("hourly_total_staffed_beds")))
     last_hour = latest_per_key(at_hour, ["facility_id", "snapshot_date"],
-                               [F.col("snapshot_datetime_ts").desc()])
+                               ["snapshot_datetime_ts DESC"])
     detail = last_hour.select(
         "facility_id", "snapshot_date", "hourly_total_staffed_beds",
         F.weekofyear("snapshot_date").alias("iso_week"), iso_year("snapshot_date").alias("iso_year"))

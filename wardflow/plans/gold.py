@@ -23,11 +23,8 @@ CALENDAR = ("2025-01-01", "2027-12-31")
 
 def _renamed(df: DataFrame, columns: str) -> DataFrame:
     """Select ``name`` or ``source:name`` entries, in order."""
-    out = []
-    for entry in columns.split():
-        source, _, name = entry.partition(":")
-        out.append(F.col(source).alias(name or source))
-    return df.select(*out)
+    pairs = [entry.partition(":") for entry in columns.split()]
+    return df.selectExpr(*[f"`{source}` AS `{name or source}`" for source, _, name in pairs])
 
 
 def dim_date(spark: SparkSession, first: str = CALENDAR[0], last: str = CALENDAR[1]) -> DataFrame:
@@ -80,7 +77,7 @@ def dim_staff(staff: DataFrame) -> DataFrame:
 
 def dim_patient(patients: DataFrame, as_of: str | None = None) -> DataFrame:
     """One de-identified row per person: the record with the earliest birth date stands for it."""
-    person = latest_per_key(gate(patients), ["canonical_patient_key"], [F.col("BirthDate_date").asc()])
+    person = latest_per_key(gate(patients), ["canonical_patient_key"], ["BirthDate_date ASC"])
     banded = person.withColumn("age_band", age_band("BirthDate_date", as_of or date.today().isoformat()))
     return _renamed(dense_number(banded, ["canonical_patient_key"], "patient_key", step=1_000_000),
                     "patient_key canonical_patient_key age_band Gender Race Ethnicity Zip "

@@ -21,6 +21,7 @@ from wardflow.operators.ordered import number_distinct
 from wardflow.operators.quality import (AttachKey, ForeignKey, Rule, at_most_times, in_domain, in_order, judge,
                                         no_more_than, required, resolve_keys, rule, within)
 from wardflow.operators.scd import versions
+from wardflow.session import settle
 from wardflow.sources.feeds import FEEDS
 from wardflow.sources.layers import Layers
 
@@ -256,8 +257,16 @@ BUILD_ORDER = ["facility", "unit", "payer", "drug", "staff", "icd10", "drg", "pa
                "staff_schedules"]
 
 
+# Looked up by most other tables and costly to derive (person matching, version validity).
+SETTLED = ("patients", "staff")
+
+
 class Silver:
-    """Silver tables over a supplier of Bronze frames, built lazily and once per name."""
+    """Silver tables over a supplier of Bronze frames, built lazily and once per name.
+
+    For use without written layers; the tables in ``SETTLED`` are computed once and kept in the
+    shared folder instead of being repeated inside every plan that looks them up.
+    """
 
     def __init__(self, bronze: Callable[[str], DataFrame]):
         self._bronze = bronze
@@ -266,7 +275,8 @@ class Silver:
 
     def base(self, name: str) -> DataFrame:
         if name not in self._bases:
-            self._bases[name] = TABLES[name].base(self._bronze(name))
+            base = TABLES[name].base(self._bronze(name))
+            self._bases[name] = settle(base) if name in SETTLED else base
         return self._bases[name]
 
     def parent(self, name: str, gated: bool) -> DataFrame:

@@ -1,8 +1,9 @@
-"""Session settings the library is tuned for, and the checkpoint folder rule."""
+"""Session settings the library is tuned for, and where intermediate tables are kept."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,7 +22,8 @@ def local_session(cores: int | str = "*", **extra: str) -> SparkSession:
     """A session for tests and benches; on a cluster the submitter provides it."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName("wardflow")
     settings = {**SETTINGS, "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
-                "spark.sql.shuffle.partitions": "8", **extra}
+                "spark.sql.shuffle.partitions": "8",
+                "spark.python.sql.dataFrameDebugging.enabled": "false", **extra}
     for key, value in settings.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -29,14 +31,24 @@ def local_session(cores: int | str = "*", **extra: str) -> SparkSession:
     return spark
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut lineage through reliable storage.
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; only where that is
-    unset (tests, a laptop) is a temporary one made.
+    Only where that is unset (tests, a laptop) is a temporary one made.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir")
-                                 or tempfile.mkdtemp(prefix="wardflow-ckpt-"))
-    return df.checkpoint(eager=True)
+                                 or tempfile.mkdtemp(prefix="wardflow-"))
+    return context.getCheckpointDir()
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Compute once, write to the shared folder, go on from the written table.
+
+    Cuts lineage like ``checkpoint()``, survives lost executors, and being Parquet still lets
+    later steps read only the columns they need.
+    """
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

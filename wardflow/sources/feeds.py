@@ -8,7 +8,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 PROVENANCE = ["_ingested_at", "_source_file", "_batch_id"]
@@ -139,6 +138,5 @@ FEEDS = {f.table: f for f in [
 def conform(df: DataFrame, feed: Feed) -> DataFrame:
     """All declared columns as strings in declared order (absent ones NULL), plus provenance."""
     have = set(df.columns)
-    out = [F.col(c).cast("string").alias(c) if c in have else F.lit(None).cast("string").alias(c)
-           for c in feed.columns]
-    return df.select(*out, *[c for c in PROVENANCE if c in have])
+    out = [f"CAST({f'`{c}`' if c in have else 'NULL'} AS STRING) AS `{c}`" for c in feed.columns]
+    return df.selectExpr(*out, *[c for c in PROVENANCE if c in have])

@@ -335,17 +335,24 @@ class Bronze:
     """Bronze frames by table name, derived from the Parquet tables of one folder."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark = spark
-        self.tables = {name: spark.read.parquet(f"{folder}/{name}.parquet") for name in TABLES}
+        self.spark, self.folder = spark, folder
+        self._read: dict[str, DataFrame] = {}
+        self._frames: dict[str, DataFrame] = {}
         self._sql = feeds(Dialect())
 
+    def table(self, name: str) -> DataFrame:
+        if name not in self._read:
+            self._read[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._read[name]
+
     def run(self, sql: str) -> DataFrame:
-        used = {n: df for n, df in self.tables.items() if "{" + n + "}" in sql}
+        used = {n: self.table(n) for n in TABLES if "{" + n + "}" in sql}
         return self.spark.sql(sql.replace('"', "`"), **used)
 
     def __call__(self, name: str) -> DataFrame:
-        rows = self.run(self._sql[name])
-        return conform(rows, FEEDS[name])
+        if name not in self._frames:
+            self._frames[name] = conform(self.run(self._sql[name]), FEEDS[name])
+        return self._frames[name]
 
     def events(self) -> DataFrame:
         return self.run(event_feed(Dialect()))

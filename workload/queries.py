@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardflow.plans.gold import DIMENSIONS, FACTS, Gold
@@ -34,21 +33,17 @@ class Hospital:
 
 def present(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Print-ready values: text for times and dates, doubles for decimals, rates to 6 places."""
-    out = []
-    for field in df.schema:
-        if columns is not None and field.name not in columns:
-            continue
-        c = F.col(field.name)
+    def shown(field: T.StructField) -> str:
+        name = f"`{field.name}`"
         if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
-            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
-        elif isinstance(field.dataType, T.DateType):
-            c = F.date_format(c, "yyyy-MM-dd")
-        elif isinstance(field.dataType, T.DecimalType):
-            c = c.cast("double")
-        elif isinstance(field.dataType, T.DoubleType):
-            c = F.round(c, 6)
-        out.append(c.alias(field.name))
-    return df.select(*out)
+            return f"date_format({name}, 'yyyy-MM-dd HH:mm:ss') AS {name}"
+        if isinstance(field.dataType, T.DateType):
+            return f"date_format({name}, 'yyyy-MM-dd') AS {name}"
+        if isinstance(field.dataType, T.DecimalType):
+            return f"CAST({name} AS DOUBLE) AS {name}"
+        return f"round({name}, 6) AS {name}" if isinstance(field.dataType, T.DoubleType) else name
+
+    return df.selectExpr(*[shown(f) for f in df.schema if columns is None or f.name in columns])
 
 
 def register(name: str, sql: str | None = None, **ctes: str):
