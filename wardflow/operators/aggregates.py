@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardflow.functions.parsing import as_col
+from wardflow.operators.joins import group_join
 
 
 def share_of(test: Column) -> Column:
@@ -58,18 +59,9 @@ def with_total(df: DataFrame, by: str, aggregates: Sequence[Column], label: str
 
 
 def both_sides(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Full outer join of two grouped frames; counts missing on one side are 0.
-
-    Keys are grouped values, so NULL is one group and must meet NULL.
-    """
-    condition = None
-    for k in keys:
-        test = left[k].eqNullSafe(right[k])
-        condition = test if condition is None else condition & test
-    values = [c for c in left.columns if c not in keys] + [c for c in right.columns if c not in keys]
-    joined = left.join(right, condition, "full")
-    sides = [F.coalesce(left[k], right[k]).alias(k) for k in keys]
-    return joined.select(*sides, *values).na.fill(0, values)
+    """Full outer join of two grouped frames; counts missing on one side are 0."""
+    values = [c for c in [*left.columns, *right.columns] if c not in keys]
+    return group_join(left, right, keys, "full").na.fill(0, values)
 
 
 def latest_value_pivot(df: DataFrame, keys: Sequence[str], name: str, value: str, version: str,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +23,15 @@ def lookup(df: DataFrame, dimension: DataFrame, on: str | Sequence[str],
     return df.join(dimension.select(*keys, *columns), keys, "left")
 
 
+def group_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join two frames grouped by the same keys, a NULL group meeting the other NULL group."""
+    other = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    condition = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys])
+    values = [c for c in left.columns if c not in keys] + [c for c in right.columns if c not in keys]
+    return left.join(other, condition, how).select(
+        *[F.coalesce(k, f"_right_{k}").alias(k) for k in keys], *values)
+
+
 def hot_keys(df: DataFrame, key: str) -> list | None:
     """Values of ``key`` (None for NULL) that hold more than ``HOT_SHARE`` of the rows each.
 
@@ -90,7 +100,7 @@ def longest_prefix(df: DataFrame, code: str, prefixes: Mapping[str, str], name:
             .withColumn("_prefix", F.substring("_code", F.lit(1), F.col("_n")))
             .join(F.broadcast(table), "_prefix")
             .groupBy("_code").agg(F.max_by("_value", "_n").alias(name)))
-    return (df.join(hits, F.col(code) == F.col("_code"), "left").drop("_code")
+    return (df.drop(name).join(hits, F.col(code) == F.col("_code"), "left").drop("_code")
             .withColumn(name, F.coalesce(F.col(name), F.lit(default))))
 
 

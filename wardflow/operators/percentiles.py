@@ -15,6 +15,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wardflow.operators.joins import group_join
+
 
 def _band(value: Column) -> Column:
     return (F.signum(value) * F.floor(F.log2(F.abs(value) + 1) * 64)).cast("int")
@@ -77,9 +79,4 @@ def medians_with(df: DataFrame, keys: Sequence[str], value: str,
         joined = plain.withColumn("_one", F.lit(1)).join(ranks.withColumn("_one", F.lit(1)),
                                                          "_one", "left").drop("_one")
         return joined
-    condition = None
-    for k in keys:
-        test = plain[k].eqNullSafe(ranks[k])
-        condition = test if condition is None else condition & test
-    return plain.join(ranks, condition, "left").select(
-        *[plain[c] for c in plain.columns], *[ranks[n] for n in wanted])
+    return group_join(plain, ranks, keys)

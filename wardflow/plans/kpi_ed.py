@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wardflow.functions.calendar import minutes_between
 from wardflow.operators.aggregates import share_of
+from wardflow.operators.joins import group_join
 from wardflow.operators.percentiles import exact_percentiles
 
 # Dispositions of patients who went home from the ED.
@@ -37,11 +38,7 @@ def waits(df: DataFrame, keys: Sequence[str], values: Mapping[str, Column],
     tall = _tall(df, keys, values).filter("minutes IS NOT NULL")
     ranks = exact_percentiles(tall, [*keys, "measure"], "minutes", quantiles)
     counts = tall.groupBy(*keys, "measure").agg(F.count(F.lit(1)).alias("n"))
-    condition = counts["measure"] == ranks["measure"]
-    for k in keys:
-        condition = condition & counts[k].eqNullSafe(ranks[k])
-    return counts.join(ranks, condition).select(*[counts[c] for c in counts.columns],
-                                                *[ranks[q] for q in quantiles])
+    return group_join(counts, ranks, [*keys, "measure"], "inner")
 
 
 def ed_measures(ed: DataFrame) -> dict[str, Column]:
@@ -84,8 +81,7 @@ def ed_waits_by(ed: DataFrame, by: str = "facility_id") -> DataFrame:
         pick("total", "median").alias("median_total"), pick("total", "p90").alias("p90_total"),
         pick("triage", "median").alias("median_triage"))
     stays = ed.groupBy(by).agg(F.count("stay_id").alias("stays"))
-    return (stays.join(waiting, stays[by].eqNullSafe(waiting[by]), "left").drop(waiting[by])
-            .orderBy(F.col("median_total").desc_nulls_last(), by))
+    return group_join(stays, waiting, [by]).orderBy(F.col("median_total").desc_nulls_last(), by)
 
 
 def ed_trend(ed: DataFrame) -> DataFrame:
@@ -109,4 +105,4 @@ def outpatient_waits(visits: DataFrame, by: str = "facility_id") -> DataFrame:
                                    pick("delay").alias("median_appointment_delay"))
     counts = visits.groupBy(by).agg(F.count(F.lit(1)).alias("visits"),
                                     share_of(F.col("is_no_show_bool")).alias("no_show_rate"))
-    return counts.join(medians, counts[by].eqNullSafe(medians[by]), "left").drop(medians[by])
+    return group_join(counts, medians, [by])

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from wardflow.functions.labels import capacity_risk, risk_sentence
 from wardflow.operators.aggregates import distinct_with_blank, ratio
+from wardflow.operators.joins import group_join
 from wardflow.plans.star import Attribute, Slice, context, path
 
 UNIT_NAME = Attribute("dim_unit", "unit_name")
@@ -159,7 +160,4 @@ def _full_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
         for column in right.columns:
             left = left.withColumn(column, right.select(column).scalar())
         return left
-    condition = reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
-    return left.join(right, condition, "full").select(
-        *[F.coalesce(left[k], right[k]).alias(k) for k in keys],
-        *[left[c] for c in left.columns if c not in keys], *[right[c] for c in right.columns if c not in keys])
+    return group_join(left, right, keys, "full")

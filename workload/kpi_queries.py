@@ -31,23 +31,23 @@ def gated(h: Hospital, name: str):
 
 # --- waits ------------------------------------------------------------------------------------
 
-@register("kpi_ed_summary", f"select measure, count(m) as n, round(quantile_cont(m, 0.5), 6) as median_minutes from {ED_TALL} where m is not null group by measure")
+@register("kpi_ed_summary", f"select measure, count(m) as n, round(quantile_cont(m, 0.5), 9) as median_minutes from {ED_TALL} where m is not null group by measure")
 def _(h):
     return present(kpi_ed.ed_summary(gated(h, "ed_stays")))
 
 
-@register("kpi_ed_summary_by_facility", f"select facility_id, measure, count(m) as n, round(quantile_cont(m, 0.5), 6) as median_minutes from {ED_TALL} where m is not null group by all")
+@register("kpi_ed_summary_by_facility", f"select facility_id, measure, count(m) as n, round(quantile_cont(m, 0.5), 9) as median_minutes from {ED_TALL} where m is not null group by all")
 def _(h):
     return present(kpi_ed.ed_summary(gated(h, "ed_stays"), ["facility_id"]))
 
 
-@register("kpi_ed_waits_by_facility", f"""select facility_id, count(stay_id) as stays, round(quantile_cont({TOTAL}, 0.5), 6) as median_total,
-  round(quantile_cont({TOTAL}, 0.9), 6) as p90_total, round(quantile_cont({TRIAGE}, 0.5), 6) as median_triage from {ED} group by facility_id""")
+@register("kpi_ed_waits_by_facility", f"""select facility_id, count(stay_id) as stays, round(quantile_cont({TOTAL}, 0.5), 9) as median_total,
+  round(quantile_cont({TOTAL}, 0.9), 9) as p90_total, round(quantile_cont({TRIAGE}, 0.5), 9) as median_triage from {ED} group by facility_id""")
 def _(h):
     return present(kpi_ed.ed_waits_by(gated(h, "ed_stays")))
 
 
-@register("kpi_ed_trend", f"select strftime(cast(intime_ts as date), '%Y-%m-%d') as day, round(quantile_cont({TOTAL}, 0.5), 6) as median_total from {ED} group by 1")
+@register("kpi_ed_trend", f"select strftime(cast(intime_ts as date), '%Y-%m-%d') as day, round(quantile_cont({TOTAL}, 0.5), 9) as median_total from {ED} group by 1")
 def _(h):
     return present(kpi_ed.ed_trend(gated(h, "ed_stays")))
 
@@ -55,9 +55,9 @@ def _(h):
 VISITS = "(select * from silver_outpatient_visits where _dq_passed)"
 
 
-@register("kpi_outpatient_waits", f"""select facility_id, count(*) as visits, round(avg(cast(is_no_show_bool as int)), 6) as no_show_rate,
-  round(quantile_cont({minutes('arrival_time_ts', 'provider_seen_time_ts')}, 0.5) filter (where not is_no_show_bool), 6) as median_patient_wait,
-  round(quantile_cont({minutes('appointment_time_ts', 'provider_seen_time_ts')}, 0.5) filter (where not is_no_show_bool), 6) as median_appointment_delay
+@register("kpi_outpatient_waits", f"""select facility_id, count(*) as visits, round(avg(cast(is_no_show_bool as int)), 9) as no_show_rate,
+  round(quantile_cont({minutes('arrival_time_ts', 'provider_seen_time_ts')}, 0.5) filter (where not is_no_show_bool), 9) as median_patient_wait,
+  round(quantile_cont({minutes('appointment_time_ts', 'provider_seen_time_ts')}, 0.5) filter (where not is_no_show_bool), 9) as median_appointment_delay
   from {VISITS} group by facility_id""")
 def _(h):
     return present(kpi_ed.outpatient_waits(gated(h, "outpatient_visits")))
@@ -69,13 +69,13 @@ BEDS = """(select *, occ > 1 or occupied_beds_int < 0 or staffed_beds_int <= 0 a
   (select *, occupied_beds_int / (staffed_beds_int - blocked_beds_int) as occ from silver_bed_hourly where staffed_beds_int - blocked_beds_int > 0))"""
 
 
-@register("kpi_bed_occupancy", f"""select count(*) as rows, count(*) filter (where bad) as quarantined, round(avg(occ) filter (where not bad), 6) as mean_occupancy,
-  round(avg(cast(occ >= 0.85 as int)) filter (where not bad), 6) as share_at_capacity from {BEDS}""")
+@register("kpi_bed_occupancy", f"""select count(*) as rows, count(*) filter (where bad) as quarantined, round(avg(occ) filter (where not bad), 9) as mean_occupancy,
+  round(avg(cast(occ >= 0.85 as int)) filter (where not bad), 9) as share_at_capacity from {BEDS}""")
 def _(h):
     return present(kpi_beds.occupancy(h._silver.base("bed_hourly")))
 
 
-@register("kpi_bed_pressure", f"""select facility_id, unit_code, round(avg(occ), 6) as mean_occ, round(max(occ), 6) as peak_occ, count(*) filter (where occ >= 0.85) as hours_at_capacity
+@register("kpi_bed_pressure", f"""select facility_id, unit_code, round(avg(occ), 9) as mean_occ, round(max(occ), 9) as peak_occ, count(*) filter (where occ >= 0.85) as hours_at_capacity
   from {BEDS} where not bad group by all order by avg(occ) desc, facility_id, unit_code limit 12""")
 def _(h):
     return present(kpi_beds.pressure(h._silver.base("bed_hourly")))
@@ -87,7 +87,7 @@ def _(h):
     return kpi_beds.zero_bed_rows(h._silver.base("bed_hourly"))
 
 
-@register("kpi_share_at_capacity", "select facility_id, round(avg(cast(is_at_capacity_bool as int)), 6) as share_at_capacity from silver_bed_hourly where _dq_passed group by 1")
+@register("kpi_share_at_capacity", "select facility_id, round(avg(cast(is_at_capacity_bool as int)), 9) as share_at_capacity from silver_bed_hourly where _dq_passed group by 1")
 def _(h):
     return present(kpi_beds.share_at_capacity(gated(h, "bed_hourly")))
 
@@ -156,7 +156,7 @@ def _roster(h):
     return gated(h, "staff_schedules"), h._silver.base("unit")
 
 
-@register("kpi_understaffing", f"""select count(*) as shifts, round(avg(cast(under as int)), 6) as share_understaffed,
+@register("kpi_understaffing", f"""select count(*) as shifts, round(avg(cast(under as int)), 9) as share_understaffed,
   (select count(*) from silver_staff_schedules where _dq_passed and job_code in ('RN', 'LPN', 'NP') and shift = 'OC') as on_call_shifts from {SHIFTS}""")
 def _(h):
     return present(kpi_staffing.understaffing(*_roster(h)))
@@ -166,24 +166,24 @@ BY_DEPARTMENT = f"""(select facility_id, unit_code, shift, count(*) as shifts, a
   from {SHIFTS} group by all)"""
 
 
-@register("kpi_chronic_understaffing", f"""select facility_id, unit_code, shift, shifts, round(pct, 6) as pct_understaffed, round(mean_ratio, 6) as mean_actual_ratio, target
+@register("kpi_chronic_understaffing", f"""select facility_id, unit_code, shift, shifts, round(pct, 9) as pct_understaffed, round(mean_ratio, 9) as mean_actual_ratio, target
   from {BY_DEPARTMENT} order by pct desc, facility_id, unit_code, shift limit 10""")
 def _(h):
     return present(kpi_staffing.chronically_understaffed(*_roster(h)))
 
 
-@register("kpi_understaffing_by_department", f"select facility_id, unit_code, shift, shifts, round(pct, 6) as pct_understaffed, round(mean_ratio, 6) as mean_actual_ratio, target from {BY_DEPARTMENT}")
+@register("kpi_understaffing_by_department", f"select facility_id, unit_code, shift, shifts, round(pct, 9) as pct_understaffed, round(mean_ratio, 9) as mean_actual_ratio, target from {BY_DEPARTMENT}")
 def _(h):
     return present(kpi_staffing.by_department(*_roster(h)))
 
 
-@register("kpi_understaffing_spread", f"select round(max(pct), 6) as highest, round(min(pct), 6) as lowest, round(max(pct) - min(pct), 6) as spread, count(*) as groups from {BY_DEPARTMENT}")
+@register("kpi_understaffing_spread", f"select round(max(pct), 9) as highest, round(min(pct), 9) as lowest, round(max(pct) - min(pct), 9) as spread, count(*) as groups from {BY_DEPARTMENT}")
 def _(h):
     return present(kpi_staffing.understaffing_spread(*_roster(h)))
 
 
 @register("kpi_staffing_coverage", """select facility_id, sum(scheduled_hours_float) as scheduled_hours, sum(actual_hours_float) as actual_hours,
-  round(sum(actual_hours_float) / sum(scheduled_hours_float), 6) as coverage, count(*) filter (where called_out = 'Y') as called_out
+  round(sum(actual_hours_float) / sum(scheduled_hours_float), 9) as coverage, count(*) filter (where called_out = 'Y') as called_out
   from silver_staff_schedules where _dq_passed group by 1""")
 def _(h):
     return present(kpi_staffing.coverage(gated(h, "staff_schedules")))
@@ -201,7 +201,7 @@ ADM_CTES = {
 
 
 @register("kpi_readmission_rate", """select strftime((select max(dischtime_ts) from silver_admissions_passed), '%Y-%m-%d %H:%M:%S') as window_end, n as index_admissions, u as unplanned_readmissions, l as linked_readmissions,
-  n >= 30 as is_computable, round(case when n >= 30 then l / n end, 6) as rate from (select (select count(*) from index_stays) as n, (select count(*) from unplanned_returns) as u,
+  n >= 30 as is_computable, round(case when n >= 30 then l / n end, 9) as rate from (select (select count(*) from index_stays) as n, (select count(*) from unplanned_returns) as u,
   (select count(*) from unplanned_returns where index_encounter_id in (select encounter_id from index_stays)) as l)""", **ADM_CTES)
 def _(h):
     return present(kpi_readmissions.hrrp(gated(h, "admissions")))
@@ -209,7 +209,7 @@ def _(h):
 
 def _by_index(column: str, index: str) -> str:
     return f"""select coalesce(a.k, b.k) as {column}, coalesce(index_admissions, 0) as index_admissions, coalesce(readmissions, 0) as readmissions,
-      round(coalesce(readmissions, 0) / nullif(coalesce(index_admissions, 0), 0), 6) as rate
+      round(coalesce(readmissions, 0) / nullif(coalesce(index_admissions, 0), 0), 9) as rate
       from (select {column} as k, count(*) as index_admissions from {index} where {column} is not null group by 1) a
       full join (select i.{column} as k, count(*) as readmissions from unplanned_returns u join {index} i on i.encounter_id = u.index_encounter_id where i.{column} is not null group by 1) b on a.k = b.k"""
 
@@ -238,7 +238,7 @@ def _(h):
 CLAIMS = """(select h.*, r.claim_status_code, r.claim_payment_amount_float as paid, r.claim_status_code = '4' as denied, date_diff('day', submission_date_d, r.remit_date_d) as days
   from silver_claim_header h join last_remit_d r using (patient_control_number) where h._dq_passed and r.claim_status_code is not null)"""
 LAST = {"last_remit_d": ot.CTES["last_remit"].replace("remit_date desc", "remit_date_d desc")}
-CLAIM_COLUMNS = """count(*) as claims, round(avg(cast(denied as int)), 6) as denial_rate, cast(sum(total_charge_amount_float) as double) as charges,
+CLAIM_COLUMNS = """count(*) as claims, round(avg(cast(denied as int)), 9) as denial_rate, cast(sum(total_charge_amount_float) as double) as charges,
   cast(sum(total_charge_amount_float) filter (where denied) as double) as denied_charges,
   cast(sum(total_charge_amount_float - coalesce(paid, 0)) filter (where denied) as double) as revenue_at_risk"""
 
@@ -280,8 +280,8 @@ def _(h):
 INV = "(select * from silver_pharmacy_inventory where _dq_passed)"
 
 
-@register("kpi_stockout_risk", f"""select count(*) as rows, round(avg(cast(coalesce(qty_on_hand_int <= reorder_point_int, false) as int)), 6) as share_at_risk,
-  count(*) filter (where qty_on_hand_int <= 0) as stockouts, round(avg(cast(coalesce(shortage_status = 'Currently in Shortage', false) as int)), 6) as share_in_shortage,
+@register("kpi_stockout_risk", f"""select count(*) as rows, round(avg(cast(coalesce(qty_on_hand_int <= reorder_point_int, false) as int)), 9) as share_at_risk,
+  count(*) filter (where qty_on_hand_int <= 0) as stockouts, round(avg(cast(coalesce(shortage_status = 'Currently in Shortage', false) as int)), 9) as share_in_shortage,
   quantile_cont(days_on_hand_float, 0.5) as median_days_on_hand from {INV}""")
 def _(h):
     return present(kpi_pharmacy.stockout_risk(gated(h, "pharmacy_inventory")))
@@ -321,7 +321,7 @@ def _casemix_stays(h):
         (F.col("hospital_service") == "PSYCH").alias("is_icu"), F.col("hospital_expire_flag").alias("is_expired"))
 
 
-@register("kpi_case_mix", f"""select facility_id, count(*) as stays, round(avg(case when tier = 'MCC' and mcc is not null then mcc when tier <> 'NONE' then coalesce(cc, mcc, last) else coalesce(none, last) end), 6) as case_mix_index
+@register("kpi_case_mix", f"""select facility_id, count(*) as stays, round(avg(case when tier = 'MCC' and mcc is not null then mcc when tier <> 'NONE' then coalesce(cc, mcc, last) else coalesce(none, last) end), 9) as case_mix_index
   from (select a.hadm_id, facility_id, {FAMILY} as drg_family, case when pts >= 2 then 'MCC' when pts = 1 then 'CC' else 'NONE' end as tier from
     (select hadm_id, facility_key, coalesce(cast(length_of_stay_hours / 24 > 6 as int), 0) + coalesce(cast(hospital_service = 'PSYCH' as int), 0) + coalesce(cast(hospital_expire_flag as int), 0) as pts from fact_admissions) a
     join fkey using (facility_key)
@@ -358,8 +358,8 @@ EXEC_PARTS = {
 }
 
 
-@register("dash_executive", """select case when k.is_total then 'Total' else k.facility_name end as facility_name, k.is_total, round(b.v, 6) as avg_occupancy_rate, round(e.v, 6) as avg_ed_wait_min,
-  coalesce(round(a.v, 6), 0) as readmission_rate, c.v as total_revenue_at_risk, coalesce(round(s.v, 6), 0) as staffing_coverage
+@register("dash_executive", """select case when k.is_total then 'Total' else k.facility_name end as facility_name, k.is_total, round(b.v, 9) as avg_occupancy_rate, round(e.v, 9) as avg_ed_wait_min,
+  coalesce(round(a.v, 9), 0) as readmission_rate, c.v as total_revenue_at_risk, coalesce(round(s.v, 9), 0) as staffing_coverage
   from (select facility_name, is_total from exec_bed union select facility_name, is_total from exec_ed union select facility_name, is_total from exec_adm union select facility_name, is_total from exec_claim union select facility_name, is_total from exec_staff) k
   left join exec_bed b on b.is_total = k.is_total and b.facility_name is not distinct from k.facility_name
   left join exec_ed e on e.is_total = k.is_total and e.facility_name is not distinct from k.facility_name
@@ -375,7 +375,7 @@ RISK = "case when o >= 0.9 then 'Critical' when o >= 0.8 then 'Watch' else 'OK'
 
 
 def _operational_sql(where: str, stock_where: str) -> str:
-    return f"""select k.unit_name, round(o, 6) as current_occupancy, coalesce(round(staff / need, 6), 0) as staffing_ratio_compliance,
+    return f"""select k.unit_name, round(o, 9) as current_occupancy, coalesce(round(staff / need, 9), 0) as staffing_ratio_compliance,
       case when o >= 0.9 then k.unit_name || ' is at ' || cast(cast(round(o * 100) as int) as varchar) || '% occupancy — approaching capacity'
            when o >= 0.8 then k.unit_name || ' is at ' || cast(cast(round(o * 100) as int) as varchar) || '% occupancy — monitor closely' end as unit_risk_description,
       (select count(distinct drug_key) + coalesce(max(cast(drug_key is null as int)), 0) from fact_pharmacy_inventory where is_stockout and snapshot_date_key = (select max(snapshot_date_key) from fact_pharmacy_inventory) {stock_where}) as active_stockouts
@@ -407,7 +407,7 @@ def _(h):
     return named(dashboards.operational_table(model(h), ["NATION_3", "NATION_7", "NATION_12"]))
 
 
-@register("dash_capacity_risk", f"""select unit_name, round(o, 6) as current_occupancy, {RISK} as capacity_risk, strftime(latest, '%Y-%m-%d %H:%M:%S') as latest_snapshot_date from
+@register("dash_capacity_risk", f"""select unit_name, round(o, 9) as current_occupancy, {RISK} as capacity_risk, strftime(latest, '%Y-%m-%d %H:%M:%S') as latest_snapshot_date from
   (select unit_name, avg(occupancy_rate) filter (where snapshot_datetime_ts = (select max(snapshot_datetime_ts) from fact_bed_capacity)) as o, max(snapshot_datetime_ts) as latest
    from fact_bed_capacity left join {UNITS} using (unit_key) group by 1)""")
 def _(h):
@@ -420,9 +420,9 @@ def _(h):
     return named(model(h).evaluate(["Active Stockouts"], [FACILITY]))
 
 
-@register("dash_headline", """select round((select avg(occupancy_rate) from fact_bed_capacity), 6) as avg_occupancy_rate, round((select avg(wait_time_minutes) from fact_ed_stays), 6) as avg_ed_wait_min,
-  round((select count(*) filter (where is_readmission) / count(*) from fact_admissions), 6) as readmission_rate, cast((select sum(amount_at_risk) from fact_claims) as double) as total_revenue_at_risk,
-  round((select sum(actual_hours) / sum(scheduled_hours) from fact_staffing), 6) as staffing_coverage""")
+@register("dash_headline", """select round((select avg(occupancy_rate) from fact_bed_capacity), 9) as avg_occupancy_rate, round((select avg(wait_time_minutes) from fact_ed_stays), 9) as avg_ed_wait_min,
+  round((select count(*) filter (where is_readmission) / count(*) from fact_admissions), 9) as readmission_rate, cast((select sum(amount_at_risk) from fact_claims) as double) as total_revenue_at_risk,
+  round((select sum(actual_hours) / sum(scheduled_hours) from fact_staffing), 9) as staffing_coverage""")
 def _(h):
     return named(dashboards.headline(model(h)))
 
@@ -436,17 +436,17 @@ def _trend_model(h: Hospital) -> Model:
     return Model(lambda name: calendar if name == "dim_date" else h.gold(name))
 
 
-@register("dash_trend_occupancy", "select strftime(full_date, '%Y-%m-%d') as full_date, round(avg(occupancy_rate), 6) as avg_occupancy_rate from fact_bed_capacity join calendar_days on date_key = snapshot_date_key group by 1", **TREND_CALENDAR)
+@register("dash_trend_occupancy", "select strftime(full_date, '%Y-%m-%d') as full_date, round(avg(occupancy_rate), 9) as avg_occupancy_rate from fact_bed_capacity join calendar_days on date_key = snapshot_date_key group by 1", **TREND_CALENDAR)
 def _(h):
     return named(dashboards.kpi_trend(_trend_model(h), "Avg Occupancy Rate"))
 
 
-@register("dash_trend_ed_wait", "select strftime(full_date, '%Y-%m-%d') as full_date, round(avg(wait_time_minutes), 6) as avg_ed_wait_min from fact_ed_stays join calendar_days on date_key = stay_date_key group by 1", **TREND_CALENDAR)
+@register("dash_trend_ed_wait", "select strftime(full_date, '%Y-%m-%d') as full_date, round(avg(wait_time_minutes), 9) as avg_ed_wait_min from fact_ed_stays join calendar_days on date_key = stay_date_key group by 1", **TREND_CALENDAR)
 def _(h):
     return named(dashboards.kpi_trend(_trend_model(h), "Avg ED Wait (min)"))
 
 
-@register("dash_trend_readmission", "select strftime(full_date, '%Y-%m-%d') as full_date, round(count(*) filter (where is_readmission) / count(*), 6) as readmission_rate from fact_admissions join calendar_days on date_key = admit_date_key group by 1", **TREND_CALENDAR)
+@register("dash_trend_readmission", "select strftime(full_date, '%Y-%m-%d') as full_date, round(count(*) filter (where is_readmission) / count(*), 9) as readmission_rate from fact_admissions join calendar_days on date_key = admit_date_key group by 1", **TREND_CALENDAR)
 def _(h):
     return named(dashboards.kpi_trend(_trend_model(h), "Readmission Rate"))
 
@@ -518,7 +518,7 @@ def _(h):
 
 
 @register("dq_reconcile_staffed_beds", """select d.facility_id, f.facility_name, strftime(d.day, '%Y-%m-%d') as snapshot_date, strftime(n.week_ending_date_d, '%Y-%m-%d') as week_ending_date_d, beds as hourly_total_staffed_beds,
-    all_hospital_inpatient_beds_int, abs(beds - all_hospital_inpatient_beds_int) as variance, round(abs(beds - all_hospital_inpatient_beds_int) / all_hospital_inpatient_beds_int, 6) as variance_pct,
+    all_hospital_inpatient_beds_int, abs(beds - all_hospital_inpatient_beds_int) as variance, round(abs(beds - all_hospital_inpatient_beds_int) / all_hospital_inpatient_beds_int, 9) as variance_pct,
     case when abs(beds - all_hospital_inpatient_beds_int) / all_hospital_inpatient_beds_int > 0.05 then 'MISMATCH' else 'OK' end as reconciliation_flag
   from (select facility_id, cast(snapshot_datetime_ts as date) as day, sum(staffed_beds_int) as beds from silver_bed_hourly where _dq_passed and dayofweek(snapshot_datetime_ts) = 3
         group by facility_id, snapshot_datetime_ts qualify row_number() over (partition by facility_id, cast(snapshot_datetime_ts as date) order by snapshot_datetime_ts desc) = 1) d
@@ -528,7 +528,7 @@ def _(h):
     return present(reconcile.staffed_beds_by_week(h.silver("bed_hourly"), h._silver.base("facility"), h.silver("bed_nhsn")))
 
 
-@register("dq_reconcile_census", """select facility_id, strftime(d, '%Y-%m-%d') as collection_date_d, round(h, 6) as hourly_census, r as reported_census, round(abs(h - r), 6) as gap,
+@register("dq_reconcile_census", """select facility_id, strftime(d, '%Y-%m-%d') as collection_date_d, round(h, 9) as hourly_census, r as reported_census, round(abs(h - r), 9) as gap,
   abs(h - r) <= greatest(2.0, h * 0.05) as within_tolerance from (select nhsn_org_id as facility_id, collection_date_d as d, all_hospital_inpatient_occupancy_int as r from silver_bed_nhsn)
   join (select facility_id, cast(snapshot_datetime_ts as date) as d, sum(occupied_beds_int) / 24 as h from silver_bed_hourly group by all) using (facility_id, d)""")
 def _(h):

@@ -24,7 +24,7 @@ def shown(kind: str, column: str) -> str:
     q = f'"{column}"'
     return {
         "time": f"strftime({q}, '%Y-%m-%d %H:%M:%S') as {q}", "day": f"strftime({q}, '%Y-%m-%d') as {q}",
-        "money": f"cast({q} as double) as {q}", "rate": f"round({q}, 6) as {q}",
+        "money": f"cast({q} as double) as {q}", "rate": f"round({q}, 9) as {q}",
     }.get(kind, q)
 
 

@@ -15,7 +15,6 @@ from workload.derive import Bronze
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
-
 class Hospital:
     """Bronze, Silver and Gold over one folder, as lazy frames."""
 
@@ -30,9 +29,8 @@ class Hospital:
     def gold(self, name: str) -> DataFrame:
         return self._gold.table(name)
 
-
 def present(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Print-ready values: text for times and dates, doubles for decimals, rates to 6 places."""
+    """Print-ready values: text for times and dates, doubles for decimals, rates to 9 places."""
     def shown(field: T.StructField) -> str:
         name = f"`{field.name}`"
         if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
@@ -41,11 +39,10 @@ def present(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
             return f"date_format({name}, 'yyyy-MM-dd') AS {name}"
         if isinstance(field.dataType, T.DecimalType):
             return f"CAST({name} AS DOUBLE) AS {name}"
-        return f"round({name}, 6) AS {name}" if isinstance(field.dataType, T.DoubleType) else name
+        return f"round({name}, 9) AS {name}" if isinstance(field.dataType, T.DoubleType) else name
 
     return df.selectExpr(*[shown(f) for f in df.schema if columns is None or f.name in columns])
 
-
 def register(name: str, sql: str | None = None, **ctes: str):
     def add(make: Callable[[Hospital], DataFrame]):
         QUERIES[name] = lambda spark, folder: make(Hospital(spark, folder))
@@ -54,19 +51,16 @@ def register(name: str, sql: str | None = None, **ctes: str):
         return make
     return add
 
-
 def _silver_query(name: str) -> None:
     columns = [c for c, _ in ot.silver_columns(name)]
     QUERIES[f"silver_{name}"] = lambda spark, folder: present(Hospital(spark, folder).silver(name), columns)
     ORACLE[f"silver_{name}"] = ot.silver_query(name)
 
-
 def _gold_query(name: str) -> None:
     columns = [c for c, _ in ot.gold_columns(name)]
     QUERIES[f"gold_{name}"] = lambda spark, folder: present(Hospital(spark, folder).gold(name), columns)
     ORACLE[f"gold_{name}"] = ot.gold_query(name)
 
-
 for _name in ot.SILVER:
     _silver_query(_name)
 for _name in [*DIMENSIONS, *FACTS]:
