@@ -6,6 +6,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 class Layers:
@@ -20,9 +21,13 @@ class Layers:
         return f"{self.root}/{table}" if self.root else f"{self.schema}.{table}"
 
     def read(self, table: str) -> DataFrame:
-        if self.root:
-            return self.spark.read.parquet(self._name(table))
-        return self.spark.read.table(self._name(table))
+        """The table; folder values of ``_batch_id`` stay text, whatever they look like."""
+        if not self.root:
+            return self.spark.read.table(self._name(table))
+        df = self.spark.read.parquet(self._name(table))
+        fields = [T.StructField(f.name, T.StringType()) if f.name == "_batch_id" else f for f in df.schema]
+        declared = T.StructType(fields)
+        return df if declared == df.schema else self.spark.read.schema(declared).parquet(self._name(table))
 
     def exists(self, table: str) -> bool:
         if not self.root:
@@ -50,8 +55,8 @@ class Layers:
     def replace_partitions(self, table: str, df: DataFrame, partitions: Sequence[str]) -> None:
         """Replace only the partitions present in ``df``.
 
-        Partition values stay text (``0012`` does not become 12), and rows are clustered by
-        partition first so that a task writes few files; AQE splits a partition that is large.
+        Rows are clustered by partition first so that a task writes few files; AQE splits a
+        partition that is large.
         """
         spread = df.hint("rebalance", *partitions)
         if self.root or not self.exists(table):

@@ -12,7 +12,7 @@ from wardflow.functions.parsing import fold, number_with_unit, to_time_by_system
 from wardflow.operators import aggregates, dedupe, joins, neighbours, ordered, scd
 from wardflow.operators.intervals import clip_to_days
 from wardflow.operators.percentiles import exact_percentiles, medians_with
-from wardflow.operators.quality import add_issue
+from wardflow.operators.quality import add_issue, gate
 from wardflow.streaming import events as ev
 from wardflow.streaming import prescriptions, vitals
 from workload import oracle_tables as ot
@@ -161,8 +161,8 @@ def _(h):
     return _customer_versions(h, close_missing=True).select("o_custkey", "priority", "valid_from", "valid_to", "is_current")
 
 
-@register("orders_as_of_version", """select o_orderkey, v.priority from (select o_orderkey, o_custkey, strftime(o_orderdate + interval 10 day, '%Y%m%d') as at from orders) o
-  left join priority_changes v on v.o_custkey = o.o_custkey and b <= at and (e is null or at < e)""", **SNAPSHOTS)
+@register("orders_as_of_version", """select o_orderkey, v.priority from (select o_orderkey, o_custkey, strftime(o_orderdate + interval 10 day, '%Y%m%d') as day_key from orders) o
+  left join priority_changes v on v.o_custkey = o.o_custkey and b <= day_key and (e is null or day_key < e)""", **SNAPSHOTS)
 def _(h):
     facts = t(h, "orders").select("o_orderkey", "o_custkey", F.date_format(F.date_add("o_orderdate", 10), "yyyyMMdd").alias("at"))
     return scd.as_of(facts, _customer_versions(h, compress=True), "o_custkey", "at", ["priority"]).select("o_orderkey", "priority")
@@ -422,9 +422,10 @@ def _(h):
     return present(vitals.signal_gaps(readings(h), 7200), ["encounter_id", "charttime", "gap_seconds"])
 
 
-@register("stream_in_flight", """select case when e."Id" is null then 'in_flight' else 'closed' end as encounter_state, count(*) as events from stream_readings r left join (select "Id" from picked_encounters where hash("Id") is not null and "Id" < 'ENC000000100') e on e."Id" = r.encounter_id group by 1""", **STREAM)
+@register("stream_in_flight", """select case when e."Id" is null then 'in_flight' else 'closed' end as encounter_state, count(*) as events from stream_readings r
+  left join (select "Id" from silver_encounters where _dq_passed) e on e."Id" = r.encounter_id group by 1""", **STREAM)
 def _(h):
-    known = h._silver.base("encounters").select(F.col("Id").alias("encounter_id"), "Start_ts").filter("encounter_id < 'ENC000000100'")
+    known = gate(h.silver("encounters")).select(F.col("Id").alias("encounter_id"), "Start_ts")
     return ev.enrich_static(readings(h), known, ["Start_ts"]).groupBy("encounter_state").agg(F.count(F.lit(1)).alias("events"))
 
 
