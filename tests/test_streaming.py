@@ -67,7 +67,7 @@ def test_news2_stream_equals_batch(spark, tmp_path, rows):
     live = run(vitals.news2(vitals.pivot_vitals(readings(stream_archive(spark, str(tmp_path / "in"))))), "news2")
     want = rows(closed(batch, "charttime"), *pick)
     assert rows(closed(live, "charttime"), *pick) == want and len(want) == 12
-    assert want[0][2:] == (15, "emergency", 5) and want[-1][4] == 4
+    assert want[0][2:] == (12, "emergency", 5) and want[-1][4] == 4
 
 
 def test_window_median_and_dedupe_stream(spark, tmp_path, rows):

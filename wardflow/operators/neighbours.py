@@ -15,19 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _edge(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str],
-          slot: Column, forward: bool) -> DataFrame:
-    slotted = df.withColumn("_slot", slot)
-    position = F.struct(*order, *[F.col(v).alias(f"_v{i}") for i, v in enumerate(values)])
-    pick = F.min if forward else F.max
-    edges = slotted.groupBy(*keys, "_slot").agg(pick(position).alias("_own"))
-    across = Window.partitionBy(*keys).orderBy("_slot")
-    step = F.lead if forward else F.lag
-    edges = edges.withColumn("_edge", step("_own").over(across)).drop("_own")
-    within = Window.partitionBy(*keys, "_slot").orderBy(*order)
-    local = slotted.withColumn("_local", step(position).over(within))
-    return local.join(edges, [*keys, "_slot"], "left").withColumn(
-        "_near", F.coalesce("_local", "_edge")).drop("_local", "_edge", "_slot")
+SPREAD = 32
 
 
 def neighbour(df: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -35,19 +23,25 @@ def neighbour(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     """Add ``{new column: source column}`` taken from the next (or previous) row of the group.
 
     ``order`` must be total within a group.  Rows with a NULL key or a NULL first order column
-    belong to no group and get NULL.
+    belong to no group: they get NULL, and are spread so that they do not pile up either.
     """
-    usable = F.col(order[0]).isNotNull()
-    for k in keys:
-        usable = usable & F.col(k).isNotNull()
+    usable = " AND ".join(f"`{c}` IS NOT NULL" for c in [*keys, order[0]])
+    names = [f"`{c}`" for c in df.columns]
+    slotted = df.withColumns({
+        "_slot": slot,
+        "_part": F.expr(f"IF({usable}, 0, 1 + pmod(xxhash64({', '.join(names)}), {SPREAD}))").cast("int")})
     sources = list(dict.fromkeys(values.values()))
-    near = _edge(df.filter(usable), keys, order, sources, slot, forward)
-    linked = near.withColumns({new: F.col("_near")[f"_v{sources.index(old)}"]
-                               for new, old in values.items()}).drop("_near")
-    types = dict(df.dtypes)
-    rest = df.filter(~F.coalesce(usable, F.lit(False))).withColumns(
-        {new: F.lit(None).cast(types[old]) for new, old in values.items()})
-    return linked.select(*rest.columns).unionAll(rest)
+    position = F.struct(*order, *[F.col(v).alias(f"_v{i}") for i, v in enumerate(sources)])
+    pick, step = (F.min, F.lead) if forward else (F.max, F.lag)
+    across = Window.partitionBy(*keys).orderBy("_slot")
+    edges = (slotted.filter("_part = 0").groupBy(*keys, "_slot", "_part").agg(pick(position).alias("_own"))
+             .withColumn("_edge", step("_own").over(across)).drop("_own"))
+    within = Window.partitionBy(*keys, "_slot", "_part").orderBy(*order)
+    near = (slotted.withColumn("_local", step(position).over(within))
+            .join(edges, [*keys, "_slot", "_part"], "left")
+            .withColumn("_near", F.when(F.col("_part") == 0, F.coalesce("_local", "_edge"))))
+    return near.select(*df.columns, *[F.col("_near")[f"_v{sources.index(old)}"].alias(new)
+                                      for new, old in values.items()])
 
 
 def sequence_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], slot: Column,

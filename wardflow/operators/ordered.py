@@ -1,8 +1,8 @@
 """Global order without a one-task window.
 
 ``row_number() over (order by key)`` moves the table into one partition.  Here rows are split
-into ranges of the key first; the ranges' boundaries come from a fixed-size sample chosen by
-hash, as a scalar subquery, so a row's range depends on its key alone and stays the same when a
+into ranges of the key first; the ranges' boundaries come from a sample of fixed size chosen
+by hash, as a scalar subquery, so a row's range depends on its key alone and stays the same when a
 lost task is run again.  Each range is numbered (or summed) by itself and shifted by what the
 ranges before it hold; those totals are at most ``RANGES + 1`` rows.
 """
@@ -21,8 +21,11 @@ SAMPLE = RANGES * 32
 
 
 def _with_range(df: DataFrame, keys: Sequence[str], descending: bool = False) -> DataFrame:
+    """Add ``_range``.  The sample keeps one key in so many by hash, SAMPLE to 2 * SAMPLE in all."""
     key = F.struct(*keys)
-    sample = (df.select(key.alias("_key")).orderBy(F.xxhash64("_key")).limit(SAMPLE)
+    rows = df.agg(F.count(F.lit(1)).alias("_rows"))
+    one_in = F.greatest(F.lit(1), F.floor(rows.scalar() / F.lit(SAMPLE))).cast("long")
+    sample = (df.select(key.alias("_key")).filter(F.pmod(F.xxhash64("_key"), one_in) == 0)
               .agg(F.array_sort(F.collect_list("_key")).alias("_sample")))
     step = F.greatest(F.lit(1), F.floor(F.size("_sample") / F.lit(RANGES)).cast("int"))
     bounds = sample.select(F.when(F.size("_sample") > 0, F.transform(

@@ -19,7 +19,9 @@ from wardflow.operators.joins import group_join
 
 
 def _band(value: Column) -> Column:
-    return (F.signum(value) * F.floor(F.log2(F.abs(value) + 1) * 64)).cast("int")
+    band = (F.signum(value) * F.floor(F.log2(F.abs(value) + 1) * 64)).cast("int")
+    # never NULL, so that joins on it add no filter and the counts' shuffle is shared by both uses
+    return F.coalesce(band, F.lit(0))
 
 
 def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,

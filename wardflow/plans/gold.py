@@ -12,7 +12,7 @@ from wardflow.functions.calendar import date_key, days, hours_between, minutes_b
 from wardflow.functions.labels import age_band
 from wardflow.functions.parsing import to_int
 from wardflow.operators.dedupe import latest_child, latest_per_key
-from wardflow.operators.joins import lookup
+from wardflow.operators.joins import hot_key_join, lookup
 from wardflow.operators.ordered import dense_number
 from wardflow.operators.quality import gate
 from wardflow.sources.layers import Layers
@@ -216,7 +216,8 @@ class Gold:
         # both sides hold one row per claim number, so this join has no heavy key
         df = self._gated("claim_header").join(remit, "patient_control_number", "left")
         df = lookup(self._with_facility(df), self.table("dim_payer"), "payer_id", ["payer_key"])
-        df = self._with_patient(df).join(attending, "attending_provider_npi", "left")
+        # a missing provider is common: spread those rows
+        df = hot_key_join(self._with_patient(df), attending, "attending_provider_npi", [None])
         paid = F.col("claim_payment_amount")
         df = df.withColumns({
             "submission_date_key": date_key("submission_date_d"),
