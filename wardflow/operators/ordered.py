@@ -37,15 +37,18 @@ def _with_range(df: DataFrame, keys: Sequence[str], descending: bool = False) ->
     return numbered.withColumn("_range", -F.col("_range")) if descending else numbered
 
 
-def dense_number(df: DataFrame, keys: Sequence[str], name: str, step: int | None = None) -> DataFrame:
+def dense_number(df: DataFrame, keys: Sequence[str], name: str, running: bool = False) -> DataFrame:
     """1, 2, 3 … in the order of ``keys``, which must be unique in ``df``.
 
     Equals ``row_number() over (order by keys)`` (and, the keys being unique, ``dense_rank``).
-    Where the first key is itself a running integer, ``step`` cuts ranges of that many values and
-    no sample is taken.
+    Where the first key is itself a running number from 1 up (``running``), equal spans of it
+    serve as ranges and no sample is taken.
     """
-    ranged = (_with_range(df, keys) if step is None else
-              df.withColumn("_range", F.floor(F.col(keys[0]) / step).cast("long")))
+    if running:
+        highest = df.agg(F.max(keys[0])).scalar()
+        ranged = df.withColumn("_range", F.floor(F.col(keys[0]) * F.lit(RANGES) / (highest + 1)))
+    else:
+        ranged = _with_range(df, keys)
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows"))
                .select("_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before")))

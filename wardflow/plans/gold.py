@@ -79,7 +79,7 @@ def dim_patient(patients: DataFrame, as_of: str | None = None) -> DataFrame:
     """One de-identified row per person: the record with the earliest birth date stands for it."""
     person = latest_per_key(gate(patients), ["canonical_patient_key"], ["BirthDate_date ASC"])
     banded = person.withColumn("age_band", age_band("BirthDate_date", as_of or date.today().isoformat()))
-    return _renamed(dense_number(banded, ["canonical_patient_key"], "patient_key", step=1_000_000),
+    return _renamed(dense_number(banded, ["canonical_patient_key"], "patient_key", running=True),
                     "patient_key canonical_patient_key age_band Gender Race Ethnicity Zip "
                     "is_high_risk_bool:is_high_risk Healthcare_Coverage_float:insurance_type_placeholder")
 

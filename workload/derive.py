@@ -41,6 +41,10 @@ class Dialect:
     def iso(self, t: str) -> str:
         return f"date_format(cast({t} as timestamp), 'yyyy-MM-dd HH:mm:ss')"
 
+    def twice(self, test: str) -> str:
+        """0 for every row, and 0 and 1 where ``test`` holds."""
+        return f"explode(case when {test} then array(0, 1) else array(0) end)"
+
 
 class DuckDb(Dialect):
     formats = {"iso": "%Y-%m-%d", "us": "%m/%d/%Y", "compact": "%Y%m%d"}
@@ -60,6 +64,9 @@ class DuckDb(Dialect):
     def iso(self, t: str) -> str:
         return f"strftime({t}, '%Y-%m-%d %H:%M:%S')"
 
+    def twice(self, test: str) -> str:
+        return f"unnest(case when {test} then [0, 1] else [0] end)"
+
 
 def text(e: str) -> str:
     return f"cast({e} as string)"
@@ -113,8 +120,7 @@ def feeds(d: Dialect) -> dict[str, str]:
           case when n_nationkey % 6 = 4 then '0' when n_nationkey = 8 then '0' else {text('100 + n_nationkey * 20')} end as licensed_beds,
           {text('120 + n_nationkey * 15 + b')} as staffed_beds, 'Non-profit' as ownership,
           case when b = 0 then '20240101' else '20240108' end as _batch_id
-        from {t('nation')} join {t('region')} on r_regionkey = n_regionkey
-        join (select 0 as b union all select 1 as b) v on b = 0 or n_nationkey % 2 = 0"""
+        from (select *, {d.twice('n_nationkey % 2 = 0')} as b from {t('nation')}) n join {t('region')} on r_regionkey = n_regionkey"""
     out["unit"] = f"""
         select {unit} as unit_id, case when s_suppkey % 37 = 1 then {facility} || '-ORPHAN' else {facility} end as facility_id,
           {unit_code} as unit_code, 'Unit ' || {text('s_suppkey')} as unit_name,
@@ -140,7 +146,7 @@ def feeds(d: Dialect) -> dict[str, str]:
           {text('p_size')} as usage_weight, case when p_size % 5 = 0 then '1' else '0' end as is_shortage_prone,
           case when p_size % 9 = 0 then 'true' else 'false' end as is_high_alert,
           case when b = 0 then '20240101' else '20240108' end as _batch_id
-        from {t('part')} join (select 0 as b union all select 1 as b) v on b = 0 or p_partkey % 10 = 7"""
+        from (select *, {d.twice('p_partkey % 10 = 7')} as b from {t('part')}) p"""
     out["staff"] = f"""
         select 'STF' || {padded('sk', 6)} as staff_id, case when sk % 4 <> 0 then '1' || {padded('sk', 9)} end as npi,
           'First' || {text('sk')} as first_name, 'Last' || {text('sk % 17')} as last_name,
@@ -158,7 +164,7 @@ def feeds(d: Dialect) -> dict[str, str]:
           {money('c_acctbal')} as "Healthcare_Expenses", {money('c_acctbal')} as "Healthcare_Coverage",
           case when c_acctbal < 0 then '1' else '0' end as is_high_risk, 'MRN' || {text('c_custkey % 400')} as mrn,
           {padded('c_nationkey', 6)} as source_facility_id, case when b = 0 then '20240101' else '20240108' end as _batch_id
-        from {t('customer')} join (select 0 as b union all select 1 as b) v on b = 0 or c_custkey % 10 = 3"""
+        from (select *, {d.twice('c_custkey % 10 = 3')} as b from {t('customer')}) c"""
     out["encounters"] = f"""
         select {enc} as "Id", {d.stamp('o_orderdate', 'minute')} as "Start",
           {d.stamp('o_orderdate', 'case when o_orderkey % 101 = 7 then minute - 60 else minute + 30 + o_orderkey * 7 % 4000 end')} as "Stop",
@@ -201,7 +207,7 @@ def feeds(d: Dialect) -> dict[str, str]:
           case when o_orderpriority = '2-HIGH' then {d.stamp('o_orderdate', 'minute + 50 + o_orderkey * 5 % 200')} end as admit_decision_time,
           case when o_orderkey % 103 = 9 then 'F000' else {facility} end as facility_id, {system} as source_system,
           {d.day('o_orderdate', add='b', form='compact')} as _batch_id
-        from {o} join (select 0 as b union all select 1 as b) v on b = 0 or o_orderkey % 20 = 4
+        from (select *, {d.twice('o_orderkey % 20 = 4')} as b from {o}) v
         where o_orderpriority in ('2-HIGH', '3-MEDIUM', '5-LOW')"""
     missed = "o_orderkey % 8 = 3"
     out["outpatient_visits"] = f"""
@@ -328,7 +334,7 @@ def event_feed(d: Dialect) -> str:
           case when event_id % 61 = 7 then null else case event_id % 6 when 4 then 33.0 + cast(floor(value) % 8 as double)
             when 5 then 85.0 + cast(floor(value) % 16 as double) else 5.0 + cast(floor(value) as double) end end as value_num,
           event_id % 41 = 5 as is_artifact
-        from {t('events')} join (select 0 as b union all select 1 as b) v on b = 0 or event_id % 33 = 2"""
+        from (select *, {d.twice('event_id % 33 = 2')} as b from {t('events')}) e"""
 
 
 class Bronze:
