@@ -34,12 +34,15 @@ def local_session(cores: int | str = "*", **extra: str) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where that is unset (tests, a laptop) is a temporary one made.
+    Only a ``local`` master may leave it unset (tests, a laptop): then a temporary folder is made, since
+    driver and executors are one process. On a cluster a machine-local folder would lose rows, so this raises.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir")
-                                 or tempfile.mkdtemp(prefix="wardflow-"))
+        named = context.getConf().get("spark.checkpoint.dir")
+        if named is None and not context.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="wardflow-"))
     return context.getCheckpointDir()
 
 
