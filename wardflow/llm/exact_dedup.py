@@ -76,7 +76,7 @@ def _differing(bare: DataFrame, several: DataFrame, digest: Callable[[Column], C
     """Members of groups whose bytes are not those of the row that stays."""
     salts = F.ceil(F.col("n") / MEMBERS_PER_SALT)
     members = settle(
-        bare.withColumn("key", digest(F.col("bare").cast("binary"))).join(several, "key")
+        bare.withColumn("key", digest(F.col("bare").cast("binary"))).join(several.hint("merge"), "key")
         .select("key", "id", "n_chars", "bare", "n",
                 ((F.col("id") == F.col("keep_id")) & (F.col("n_chars") == F.col("keep_chars"))).alias("keeper"),
                 F.pmod(F.xxhash64("id"), salts).cast("int").alias("salt")))
