@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardflow.llm import exact_dedup
-from wardflow.llm.common import table
+from wardflow.llm import exact_dedup, packing, token_ids
+from wardflow.llm.common import table, vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {"op6_exact_dedup": exact_dedup.ORACLE}
@@ -21,3 +21,13 @@ def _register(make: Callable[[SparkSession, str], DataFrame]):
 @_register
 def op6_exact_dedup(spark, folder):
     return exact_dedup.exact_groups(table(spark, folder, "documents"))
+
+
+@_register
+def op5_best_fit_packing(spark, folder):
+    return packing.pack(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+@_register
+def op8_token_ids_orc(spark, folder):
+    return token_ids.written_positions(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"))
