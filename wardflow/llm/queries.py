@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wardflow.llm import exact_dedup, packing, token_ids
+from wardflow.llm import exact_dedup, packing, token_counts, token_ids
 from wardflow.llm.common import table, vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +24,13 @@ def op6_exact_dedup(spark, folder):
     return exact_dedup.exact_groups(table(spark, folder, "documents"))
 
 
+@_register
+def op1_token_counts(spark, folder):
+    counted = token_counts.token_prefixes(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"), budget=1024,
+                                          tables=False)
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"), "fit_chars")
+
+
 @_register
 def op5_best_fit_packing(spark, folder):
     return packing.pack(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"))
