@@ -7,11 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm import exact_dedup, packing, token_counts, token_ids
+from wardflow.llm import exact_dedup, packing, token_counts, token_ids, warc_zip
 from wardflow.llm.common import table, vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {"op6_exact_dedup": exact_dedup.ORACLE}
+ORACLE: dict[str, str] = {"op6_exact_dedup": exact_dedup.ORACLE, "op9_warc_zip": warc_zip.ORACLE}
 
 
 def _register(make: Callable[[SparkSession, str], DataFrame]):
@@ -39,3 +39,9 @@ def op5_best_fit_packing(spark, folder):
 @_register
 def op8_token_ids_orc(spark, folder):
     return token_ids.written_positions(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+@_register
+def op9_warc_zip(spark, folder):
+    return warc_zip.archive_pages(table(spark, folder, "pages"), payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
