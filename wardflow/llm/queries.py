@@ -7,11 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm import exact_dedup, packing, token_counts, token_ids, warc_zip
+from wardflow.llm import decontaminate, exact_dedup, packing, token_counts, token_ids, warc_zip
 from wardflow.llm.common import table, vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {"op6_exact_dedup": exact_dedup.ORACLE, "op9_warc_zip": warc_zip.ORACLE}
+ORACLE: dict[str, str] = {"op4_benchmark_decontamination": decontaminate.ORACLE, "op6_exact_dedup": exact_dedup.ORACLE, "op9_warc_zip": warc_zip.ORACLE}
 
 
 def _register(make: Callable[[SparkSession, str], DataFrame]):
@@ -31,6 +31,11 @@ def op1_token_counts(spark, folder):
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"), "fit_chars")
 
 
+@_register
+def op4_benchmark_decontamination(spark, folder):
+    return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @_register
 def op5_best_fit_packing(spark, folder):
     return packing.pack(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"))
