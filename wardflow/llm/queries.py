@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm import decontaminate, exact_dedup, packing, token_counts, token_ids, warc_zip
+from wardflow.llm import decontaminate, exact_dedup, packing, quality, token_counts, token_ids, warc_zip
 from wardflow.llm.common import table, vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,6 +41,11 @@ def op5_best_fit_packing(spark, folder):
     return packing.pack(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+@_register
+def op7_quality_classifier(spark, folder):
+    return quality.scored(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @_register
 def op8_token_ids_orc(spark, folder):
     return token_ids.written_positions(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"))
