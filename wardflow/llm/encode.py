@@ -20,6 +20,7 @@ _ADJACENT = re.compile(r"\s\s")
 _PLACES = re.compile(r"(?<=\S)(?=[ \n]\S)")
 LONGEST_CACHED = 64
 JOINED_CHARS = 20_000
+WORDS_TOGETHER = 8_000
 
 
 def keys(text: str) -> list[str]:
@@ -42,6 +43,16 @@ def unit_of(key: str) -> str:
     return key[1:] if key[0] == "\r" else key if key[0] == "\n" else " " + key
 
 
+def _places_of_none(values: list) -> list[int]:
+    places, at = [], -1
+    try:
+        while True:
+            at = values.index(None, at + 1)
+            places.append(at)
+    except ValueError:
+        return places
+
+
 class Remembered:
     """A bounded memory of what ``make`` gave for each unit: two generations, the older one dropped when full."""
 
@@ -52,31 +63,35 @@ class Remembered:
 
     def of(self, parts: list[str]) -> list:
         young = self.young
-        found = [young.get(u) for u in parts]
-        if None not in found:
+        found = list(map(young.get, parts))
+        gaps = _places_of_none(found)
+        if not gaps:
             return found
-        missing = {u for u, f in zip(parts, found, strict=True) if f is None}
         here, unknown = {}, []
-        for u in missing:
+        for u in {parts[i] for i in gaps}:
             if (was := self.old.get(u)) is None:
                 unknown.append(u)
             else:
                 here[u] = was
         if unknown:
             here.update(zip(unknown, self.make([unit_of(k) for k in unknown]), strict=True))
+        for i in gaps:
+            found[i] = here[parts[i]]
         if len(young) > self.most:
             self.old, self.young = young, {}
         self.young.update((u, v) for u, v in here.items() if len(u) <= LONGEST_CACHED)
-        return [here[u] if f is None else f for u, f in zip(parts, found, strict=True)]
+        return found
 
 
 class Encoder:
     """Little-endian 32-bit ids of texts, without special tokens added."""
 
-    def __init__(self, path: str, most: int = 250_000):
+    def __init__(self, path: str, most: int = 350_000):
         quiet_tokenizers()
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        #: The vocabulary lower-cases, so texts may be lower-cased before words are looked up.
+        self.folds = '"Lowercase"' in self.tokenizer.to_str()[:4000]
         self.memory = Remembered(self._encode, most)
 
     def _encode(self, parts: list[str]) -> list[bytes]:
@@ -107,7 +122,24 @@ class Encoder:
         return [ids[4 * a:4 * b] for a, b in zip(cuts, cuts[1:])]
 
     def ids(self, text: str | None) -> bytes:
-        return b"".join(self.memory.of(keys(text or "")))
+        return b"".join(self.memory.of(self._keys(text)))
+
+    def many(self, texts: list[str | None]) -> list[bytes]:
+        """``ids`` of each text; the words of several short texts are looked up together."""
+        out, parts, ends = [], [], []
+        for k, text in enumerate(texts):
+            parts += self._keys(text)
+            ends.append(len(parts))
+            if len(parts) > WORDS_TOGETHER or k == len(texts) - 1:
+                found = self.memory.of(parts)
+                out += [b"".join(found[a:b]) for a, b in zip([0, *ends], ends)]
+                parts, ends = [], []
+        return out
+
+    def _keys(self, text: str | None) -> list[str]:
+        if text and self.folds and "<|" not in text:  # a special string is matched before lower-casing
+            text = text.encode("utf-8").lower().decode("utf-8")  # bytes: A-Z alone
+        return keys(text or "")
 
 
 _ENCODERS: dict[str, Encoder] = {}

@@ -107,8 +107,8 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end: int
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_AT_ONCE):
                 part, rows = batch.slice(at, ROWS_AT_ONCE).to_pydict(), []
-                for doc, text in zip(part["doc_id"], part["text"], strict=True):
-                    ids = enc.ids(text) + tail
+                for doc, ids in zip(part["doc_id"], enc.many(part["text"]), strict=True):
+                    ids += tail
                     n, start, number = len(ids) // 4, 0, 0
                     while start < n:
                         length = (n - 1) % capacity + 1 if start == 0 else capacity

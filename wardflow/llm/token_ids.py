@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wardflow.session import shared_folder
+from wardflow.session import settle, shared_folder
 
 END = 2
 ROWS_AT_ONCE = 256
@@ -36,7 +36,7 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str, end: int = END) -> No
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_AT_ONCE):
                 part = batch.slice(at, ROWS_AT_ONCE)
-                ids = [enc.ids(text) + tail for text in part.column(1).to_pylist()]
+                ids = [x + tail for x in enc.many(part.column(1).to_pylist())]
                 offsets = np.cumsum([0, *[len(x) // 4 for x in ids]], dtype=np.int32)
                 flat = np.frombuffer(b"".join(ids), dtype="<u4").astype(np.int32)
                 n = part.num_rows
@@ -73,7 +73,7 @@ def positions(written: DataFrame) -> DataFrame:
                  pa.array([zlib.crc32(raw[a:b]) for a, b in zip(offsets, offsets[1:])], pa.int64())],
                 ["shard", "seq", "doc_id", "n_tokens", "ids_crc32"])
 
-    rows = written.mapInArrow(digest, "shard int, seq long, doc_id long, n_tokens long, ids_crc32 long")
+    rows = settle(written.mapInArrow(digest, "shard int, seq long, doc_id long, n_tokens long, ids_crc32 long"))
     in_shard = Window.partitionBy("shard").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
     totals = rows.groupBy("shard").agg(F.sum("n_tokens").alias("n")).select(
         F.col("shard").alias("_shard"),
