@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm import decontaminate, exact_dedup, packing, quality, token_counts, token_ids, warc_zip
+from wardflow.llm import decontaminate, exact_dedup, near_join, packing, quality, token_counts, token_ids, warc_zip
 from wardflow.llm.common import table, vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,11 @@ def op1_token_counts(spark, folder):
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"), "fit_chars")
 
 
+@_register
+def op2_ngram_jaccard_join(spark, folder):
+    return near_join.near_duplicates(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id", "class_id")
+
+
 @_register
 def op4_benchmark_decontamination(spark, folder):
     return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
