@@ -23,10 +23,9 @@ def test_every_prefix_counts_as_the_library_counts_it():
     path = vocabulary("byte_bpe_50k.json")
     counter, library = PrefixCounter(path), Tokenizer.from_file(path)
     for text in [*_texts(1500, 1), "", "internationalization" * 30, "=" * 200, " " * 150 + "x"]:
-        n, table = counter.table(text)
+        table = counter.table(text)
         want = [len(e.ids) for e in library.encode_batch([text[:k] for k in range(len(text) + 1)], add_special_tokens=False)]
         assert [count_at(table, k) for k in range(len(text) + 1)] == want, repr(text)
-        assert n == want[-1]
         for budget in (0, 1, 3):
             assert longest_prefix(table, budget) == max(k for k, c in enumerate(want) if c <= budget)
 

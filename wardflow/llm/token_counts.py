@@ -11,7 +11,10 @@ Tables of units (see ``encode.units``) are remembered per worker, since most wor
 from __future__ import annotations
 
 import json
+import re
+from array import array
 from collections.abc import Iterator
+from operator import sub
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +29,10 @@ ROWS_AT_ONCE = 128
 # The pre-tokenizer's pattern.
 PIECE = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
 RUN = regex.compile(r"\s{2,}(?=\S)")
+TWO_WHITE = re.compile(r"\s\s")
+MOST_STATES = 900_000
+MOST_WORDS = 150_000
+LONG_PIECE = 64
 LONG_CONTRACTIONS = ("'re", "'ve", "'ll")
 
 
@@ -39,7 +46,7 @@ def _byte_of_symbol() -> dict[str, int]:
 class PrefixCounter:
     """Prefix token counts under a byte-level BPE vocabulary file of the tokenizers library."""
 
-    def __init__(self, path: str, most: int = 120_000):
+    def __init__(self, path: str, most: int = 300_000):
         with open(path, encoding="utf-8") as file:
             model = json.load(file)
         symbols = _byte_of_symbol()
@@ -53,6 +60,7 @@ class PrefixCounter:
         self.lengths = sorted({len(t) for t in self.tokens}, reverse=True)
         self.pairs: dict[tuple[bytes, bytes], bool] = {}
         self.words: dict[str, list[int]] = {}
+        self.states: dict[bytes, tuple[bytes, int]] = {b"": (b"", 0)}
         self.memory = Remembered(lambda parts: [self._table(u) for u in parts], most)
 
     def merge(self, piece: bytes) -> list[bytes]:
@@ -75,60 +83,86 @@ class PrefixCounter:
         return fits
 
     def piece_counts(self, piece: str) -> list[int]:
-        """Count of every code point prefix of one piece of the pre-tokenizer."""
-        known = self.words.get(piece)
-        if known is not None:
-            return known
-        raw, tokens, lengths = piece.encode("utf-8"), self.tokens, self.lengths
+        """Count of every code point prefix of one piece of the pre-tokenizer.
+
+        ``states`` remembers (last token, count) of prefixes, and words of a language share their beginnings, so mostly the
+        last few bytes of a new word are worked out.
+        """
+        raw, states, tokens = piece.encode("utf-8"), self.states, self.tokens
         n = len(raw)
-        last, count = [b""] * (n + 1), [0] * (n + 1)
-        for i in range(1, n + 1):
-            for size in lengths if i > 24 else range(i, 0, -1):
+        if len(states) > MOST_STATES:
+            states = self.states = {b"": (b"", 0)}
+        known = n
+        while raw[:known] not in states:
+            known -= 1
+        for i in range(known + 1, n + 1):
+            for size in self.lengths if i > 24 else range(i, 0, -1):
                 if size > i:
                     continue
                 token = raw[i - size:i]
+                if token in tokens:
+                    last, count = states[raw[:i - size]]
+                    if self._fits(last, token) if last else size == 1 or self.merge(token) == [token]:
+                        states[raw[:i]] = (token, count + 1)
+                        break
+        at = range(1, n + 1) if n == len(piece) else [i for i in range(1, n + 1) if i == n or raw[i] & 0xC0 != 0x80]
+        out = [states[raw[:i]][1] for i in at]
+        if piece in LONG_CONTRACTIONS:  # its two-character prefix is not a contraction: a quote, then a letter
+            out[1] = 2
+        return out
+
+    def long_counts(self, piece: str) -> list[int]:
+        """``piece_counts`` of a piece too long to remember its prefixes."""
+        raw, tokens, n = piece.encode("utf-8"), self.tokens, len(piece.encode("utf-8"))
+        last, count = [b""] * (n + 1), [0] * (n + 1)
+        for i in range(1, n + 1):
+            for size in self.lengths:
+                token = raw[i - size:i] if size <= i else b""
                 if token in tokens and (self._fits(last[i - size], token) if size < i else
                                         size == 1 or self.merge(token) == [token]):
                     last[i], count[i] = token, count[i - size] + 1
                     break
-        out = count[1:] if n == len(piece) else [count[i] for i in range(1, n + 1) if i == n or raw[i] & 0xC0 != 0x80]
-        if piece in LONG_CONTRACTIONS:  # its two-character prefix is not a contraction: a quote, then a letter
-            out[1] = 2
-        if len(piece) <= 64:
-            if len(self.words) > 150_000:
+        return [count[i] for i in range(1, n + 1) if i == n or raw[i] & 0xC0 != 0x80]
+
+    def _counts(self, piece: str) -> list[int]:
+        found = self.words.get(piece)
+        if found is None:
+            if len(piece) > LONG_PIECE:
+                return self.long_counts(piece)
+            if len(self.words) > MOST_WORDS:
                 self.words.clear()
-            self.words[piece] = out
-        return out
+            found = self.words[piece] = self.piece_counts(piece)
+        return found
 
     def _ordinary(self, text: str) -> list[int]:
         """Changes of the count, code point by code point, of a text without special strings."""
         out: list[int] = []
         for piece in PIECE.findall(text):
-            counts = self.piece_counts(piece)
+            counts = self._counts(piece)
             out.append(counts[0])
-            out += [b - a for a, b in zip(counts, counts[1:])]
-        for run in RUN.finditer(text):  # at its end a prefix still has the run in one piece
-            white, end = run.group(), run.end()
-            more = self.piece_counts(white)[-1] - self.piece_counts(white[:-1])[-1] - self.piece_counts(white[-1])[-1]
-            out[end - 1] += more
-            out[end] -= more
+            out += map(sub, counts[1:], counts)
+        if TWO_WHITE.search(text):
+            for run in RUN.finditer(text):  # at its end a prefix still has the run in one piece
+                white, end = run.group(), run.end()
+                more = self._counts(white)[-1] - self._counts(white[:-1])[-1] - self._counts(white[-1])[-1]
+                out[end - 1] += more
+                out[end] -= more
         return out
 
-    def _table(self, unit: str) -> tuple[int, bytes]:
+    def _table(self, unit: str) -> bytes:
         out: list[int] = []
-        while hit := min(((unit.find(s), s) for s in self.specials if s in unit), default=None):
+        while "<|" in unit and (hit := min(((unit.find(s), s) for s in self.specials if s in unit), default=None)):
             at, special = hit
             partial = self._ordinary(unit[:at] + special[:-1])
             out += partial
             out.append(sum(self._ordinary(unit[:at])) + 1 - sum(partial))
             unit = unit[at + len(special):]
         out += self._ordinary(unit)
-        return sum(out), np.array(out, dtype=np.int8).tobytes()
+        return array("b", out).tobytes()
 
-    def table(self, text: str | None) -> tuple[int, bytes]:
-        """Token count of the text, and its prefix table."""
-        found = self.memory.of(keys(text or ""))
-        return sum(n for n, _ in found), b"".join([t for _, t in found])
+    def table(self, text: str | None) -> bytes:
+        """The prefix table of a text."""
+        return b"".join(self.memory.of(keys(text or "")))
 
 
 def count_at(table: bytes, n_chars: int) -> int:
@@ -138,7 +172,10 @@ def count_at(table: bytes, n_chars: int) -> int:
 
 def longest_prefix(table: bytes, budget: int) -> int:
     """Code points of the longest prefix of at most ``budget`` tokens."""
-    within = np.flatnonzero(np.cumsum(np.frombuffer(table, np.int8), dtype=np.int64) <= budget)
+    counts = np.cumsum(np.frombuffer(table, np.int8), dtype=np.int64)
+    if not len(counts) or counts[-1] <= budget:
+        return len(counts)
+    within = np.flatnonzero(counts <= budget)
     return int(within[-1]) + 1 if len(within) else 0
 
 
@@ -168,9 +205,9 @@ def token_prefixes(docs: DataFrame, vocabulary: str, budget: int = 1024, id_col:
                 counted = [counter.table(t) for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pc.fill_null(pc.binary_length(part.column(1)), 0).cast(pa.int64()),
-                     pa.array([n for n, _ in counted], pa.int64()),
-                     pa.array([longest_prefix(t, budget) for _, t in counted], pa.int64()),
-                     pa.array([t if tables else None for _, t in counted], pa.binary())],
+                     pa.array([count_at(t, len(t)) for t in counted], pa.int64()),
+                     pa.array([longest_prefix(t, budget) for t in counted], pa.int64()),
+                     pa.array([t if tables else None for t in counted], pa.binary())],
                     ["doc_id", "n_bytes", "n_tokens", "fit_chars", "prefix_table"])
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
