@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm import decontaminate, exact_dedup, near_join, packing, quality, token_counts, token_ids, warc_zip
+from wardflow.llm import decontaminate, exact_dedup, near_join, packing, pii, quality, token_counts, token_ids, warc_zip
 from wardflow.llm.common import table, vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,3 +60,11 @@ def op8_token_ids_orc(spark, folder):
 def op9_warc_zip(spark, folder):
     return warc_zip.archive_pages(table(spark, folder, "pages"), payload=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@_register
+def op10_pii(spark, folder):
+    docs = table(spark, folder, "documents")
+    found = pii.personal_data(docs, pii.train(docs))
+    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.as_text("base"), 256).alias("base_sha256"), pii.as_text("spans").alias("spans"))
