@@ -87,10 +87,10 @@ def _differing(bare: DataFrame, several: DataFrame, digest: Callable[[Column], C
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with all their columns; the first of rows given twice."""
-    stay = exact_groups(docs).filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    return (docs.join(stay.distinct(), F.col("doc_id").eqNullSafe(F.col("_id"))
-                      & (F.sha2(without_space(F.col("text")), 256) == F.col("_sha")), "left_semi"))
+    """The documents that stay, with all their columns. A row given twice stays twice: it is one document."""
+    stay = exact_groups(docs).filter("kept").select(F.col("doc_id").alias("_id"), F.unhex("text_sha256").alias("_sha")).distinct()
+    return docs.join(stay.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id"))
+                     & (F.unhex(F.sha2(without_space(F.col("text")), 256)) == F.col("_sha")), "left_semi")
 
 
 ORACLE = r"""

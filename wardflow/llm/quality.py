@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -23,7 +22,7 @@ TREES = 40
 DEPTH = 3
 BINS = 48
 LEAST_SUPPORT = 0.004
-PENALTY = 0.0003
+PENALTY = 0.0008
 THRESHOLD = 0.7
 SYMBOLS = "#$%&*+/<=>@[\\]^_`{|}~"
 STATISTICS = ["chars", "words", "word_chars", "upper", "symbols", "shouts", "digits", "white", "short_words", "long_words",
@@ -66,12 +65,11 @@ class RuleModel:
     rules: list[tuple[float, Rule]] = field(default_factory=list)
 
     def column(self, stats: str = "stats") -> Column:
-        def holds(rule: Rule) -> Column:
-            tests = [F.col(f"{stats}.{STATISTICS[j]}") > bound if above else F.col(f"{stats}.{STATISTICS[j]}") <= bound
-                     for j, above, bound in rule]
-            return reduce(lambda a, b: a & b, tests)
-        total = reduce(lambda a, b: a + b, [F.when(holds(r), F.lit(w)).otherwise(F.lit(0.0)) for w, r in self.rules], F.lit(self.bias))
-        return F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
+        """The whole ensemble as one column expression."""
+        def holds(rule: Rule) -> str:
+            return " AND ".join(f"{stats}.{STATISTICS[j]} {'>' if above else '<='} {bound!r}D" for j, above, bound in rule)
+        total = " + ".join([f"{self.bias!r}D", *[f"IF({holds(r)}, {w!r}D, 0D)" for w, r in self.rules]])
+        return F.expr(f"1D / (1D + exp(-({total})))")
 
     def score(self, x: np.ndarray) -> np.ndarray:
         total = np.full(len(x), self.bias)

@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm import decontaminate, exact_dedup, near_join, packing, pii, quality, token_counts, token_ids, warc_zip
+import corpus_pipeline
+from wardflow.llm import decontaminate, exact_dedup, html_text, near_join, packing, pii, quality, token_counts, token_ids, warc_zip
 from wardflow.llm.common import table, vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {"op4_benchmark_decontamination": decontaminate.ORACLE, "op6_exact_dedup": exact_dedup.ORACLE, "op9_warc_zip": warc_zip.ORACLE}
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
 
 
 def _register(make: Callable[[SparkSession, str], DataFrame]):
@@ -36,6 +39,11 @@ def op2_ngram_jaccard_join(spark, folder):
     return near_join.near_duplicates(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id", "class_id")
 
 
+@_register
+def op3_html_extraction(spark, folder):
+    return html_text.main_texts(table(spark, folder, "pages"))
+
+
 @_register
 def op4_benchmark_decontamination(spark, folder):
     return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -62,9 +70,18 @@ def op9_warc_zip(spark, folder):
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def _equals(value: str):
+    return lambda element: element == value
+
+
 @_register
 def op10_pii(spark, folder):
     docs = table(spark, folder, "documents")
     found = pii.personal_data(docs, pii.train(docs))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    counts = [F.size(F.filter(F.transform("base", lambda s: s["kind"]), _equals(kind))).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
     return found.select("doc_id", *counts, F.sha2(pii.as_text("base"), 256).alias("base_sha256"), pii.as_text("spans").alias("spans"))
+
+
+@_register
+def pipeline(spark, folder):
+    return corpus_pipeline.run(spark, folder)
