@@ -200,3 +200,34 @@ def test_distinct_with_blank_counts_null_once(spark):
     df = spark.createDataFrame([(1, True), (1, True), (None, True), (None, True), (2, False)], "k int, ok boolean")
     row = df.agg(aggregates.distinct_with_blank(F.col("k")).alias("a"), aggregates.distinct_with_blank(F.col("k"), F.col("ok")).alias("b")).first()
     assert (row["a"], row["b"]) == (3, 2)
+
+
+def test_sequence_numbers_keep_null_keys_and_null_order(spark):
+    from wardflow.operators.neighbours import sequence_in_group
+    df = spark.createDataFrame([("a", 3, 1), ("a", 1, 2), (None, 2, 3), (None, 9, 4), ("a", None, 5)], "k string, at int, id int")
+    got = {r.id: r.n for r in sequence_in_group(df, ["k"], ["at", "id"], F.floor(F.col("at") / 2), "n").collect()}
+    assert got == {5: 1, 2: 2, 1: 3, 3: 1, 4: 2}
+
+
+def test_percentiles_skip_nan_and_order_infinities(spark):
+    from wardflow.operators.percentiles import exact_percentiles
+    df = spark.createDataFrame([("g", v) for v in (1.0, 2.0, float("nan"), float("inf"), None, float("-inf"), 3.0)], "g string, v double")
+    row = exact_percentiles(df, ["g"], "v", {"low": 0.0, "mid": 0.5, "high": 1.0}).first()
+    assert (row["low"], row["mid"], row["high"]) == (float("-inf"), 2.0, float("inf"))
+
+
+def test_current_row_does_not_depend_on_layout(spark):
+    from wardflow.operators.scd import current
+    rows = [("n", "20250101", "b", True), ("n", "20250201", "a", True), ("m", "20250101", "c", False)]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "npi string, valid_from string, staff string, is_current boolean").repartition(3)
+        assert [r.staff for r in current(df, "npi").collect()] == ["a"]
+
+
+def test_shared_folder_must_be_named_off_a_local_master():
+    from types import SimpleNamespace
+    import pytest
+    from wardflow.session import shared_folder
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None, getConf=lambda: {})
+    with pytest.raises(ValueError):
+        shared_folder(SimpleNamespace(sparkContext=context))

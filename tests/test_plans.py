@@ -151,3 +151,15 @@ def test_checks_report_unknown(spark):
     one = spark.createDataFrame([(None,)], "v double")
     assert audit.band_check(one, "x", "v", 0, 1).first()["status"] == "WARN"
     assert audit.violations(one, "y", F.col("v").isNull()).first()["status"] == "FAIL"
+
+
+def test_weekly_census_is_compared_after_quarantine(spark):
+    """Six good hours of 4 in 10 beds, and an impossible hour (40 in 10) and one without beds that must not count."""
+    from wardflow.plans.checks import census_reconciliation
+    beds = spark.createDataFrame(
+        [("F", f"2025-01-01 0{h}:00:00", 4, 12, 2) for h in range(6)] + [("F", "2025-01-01 06:00:00", 40, 12, 2), ("F", "2025-01-01 07:00:00", 3, 2, 2)],
+        "facility_id string, snapshot_datetime_ts string, occupied_beds_int int, staffed_beds_int int, blocked_beds_int int")
+    beds = beds.withColumn("snapshot_datetime_ts", F.to_timestamp("snapshot_datetime_ts"))
+    weekly = spark.createDataFrame([("F", "2025-01-01", 2)], "nhsn_org_id string, collection_date_d string, all_hospital_inpatient_occupancy_int int")
+    row = census_reconciliation(beds, weekly.withColumn("collection_date_d", F.to_date("collection_date_d"))).first()
+    assert row["hourly_census"] == 1.0 and row["gap"] == 1.0 and row["within_tolerance"]

@@ -10,6 +10,7 @@ one row per slot, which the calendar bounds.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,15 +47,18 @@ def neighbour(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
 def sequence_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], slot: Column,
                       name: str) -> DataFrame:
-    """``row_number`` within the group; ``order`` must be total and free of NULLs."""
+    """``row_number`` within the group, as SQL numbers it: rows with a NULL key form one group, and rows whose
+    ``slot`` is NULL come first.  ``order`` must be total; no row is dropped."""
     slotted = df.withColumn("_slot", slot)
+    parts = [*keys, "_slot"]
     before = (Window.partitionBy(*keys).orderBy("_slot")
               .rowsBetween(Window.unboundedPreceding, -1))
     offsets = (slotted.groupBy(*keys, "_slot").agg(F.count(F.lit(1)).alias("_rows"))
                .withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
                .drop("_rows"))
     within = Window.partitionBy(*keys, "_slot").orderBy(*order)
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in parts])
     return (slotted.withColumn("_at", F.row_number().over(within))
-            .join(offsets, [*keys, "_slot"])
+            .join(offsets.withColumnsRenamed({c: f"_of_{c}" for c in parts}), same, "left")
             .withColumn(name, (F.col("_before") + F.col("_at")).cast("int"))
-            .drop("_slot", "_at", "_before"))
+            .select(*df.columns, name))

@@ -19,7 +19,8 @@ from wardflow.operators.joins import group_join
 
 
 def _band(value: Column) -> Column:
-    band = (F.signum(value) * F.floor(F.log2(F.abs(value) + 1) * 64)).cast("int")
+    finite = F.when(F.abs(value) == float("inf"), F.lit(2.0 ** 25)).otherwise(F.log2(F.abs(value) + 1) * 64)
+    band = (F.signum(value) * F.floor(finite)).cast("int")  # infinities have the outermost bands
     # never NULL, so that joins on it add no filter and the counts' shuffle is shared by both uses
     return F.coalesce(band, F.lit(0))
 
@@ -28,7 +29,7 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,
                       wanted: Mapping[str, float]) -> DataFrame:
     """One row per group with a double column per entry of ``wanted`` (name -> quantile).
 
-    NULLs are skipped; groups without any value are absent.
+    NULLs and NaNs are skipped; groups without any value are absent; infinities are the ends of the order.
     """
     keys = list(keys) or ["_all"]
     base = df.withColumn("_all", F.lit(0)) if keys == ["_all"] else df
@@ -36,7 +37,7 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,
                  for i, k in enumerate(keys)]
     ids = [f"_k{i}" for i in range(len(keys))]
     counted = (base.select(*keys, *null_safe, F.col(value).cast("double").alias("_v"))
-               .filter("_v IS NOT NULL").groupBy(*keys, *ids, "_v")
+               .filter("_v IS NOT NULL AND NOT isnan(_v)").groupBy(*keys, *ids, "_v")
                .agg(F.count(F.lit(1)).alias("_n")).withColumn("_band", _band(F.col("_v"))))
     bands = counted.groupBy(*keys, *ids, "_band").agg(F.sum("_n").alias("_n"))
     group = Window.partitionBy(*ids)

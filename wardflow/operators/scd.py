@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardflow.operators.dedupe import latest_per_key
 from wardflow.operators.neighbours import neighbour
 
 
@@ -42,9 +43,9 @@ def versions(df: DataFrame, key: str, at: str = "_batch_id", compress: bool = Fa
 
 
 def current(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
-    """Current rows, one per key, for use as a lookup."""
+    """Current rows, one per key, for use as a lookup; of several the newest, then by all other columns."""
     keys = [key] if isinstance(key, str) else list(key)
-    return df.filter("is_current").dropDuplicates(keys)
+    return latest_per_key(df.filter("is_current"), keys, ["valid_from DESC"])
 
 
 def as_of(facts: DataFrame, dimension: DataFrame, key: str, when: str,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from wardflow.operators.audit import Relation, band_check, check, orphan_matrix, stack, violations
 from wardflow.operators.reconcile import census_by_week, census_match_rate
 from wardflow.plans import kpi_beds, kpi_claims, kpi_ed, kpi_pharmacy, kpi_readmissions, kpi_staffing
+from wardflow.plans.star import LINKS
 
 # Bands in which a figure is plausible.
 OCCUPANCY_BAND = (0.55, 0.95)
@@ -42,12 +43,31 @@ RELATIONS = [
 ]
 
 
+#: Surrogate keys of each fact that should resolve (claim lines and adjustments hang on a claim number instead).
+FACT_KEYS = {fact: [source.partition(":")[0] for source in links.values()] for fact, links in LINKS.items()}
+
+#: Durations, counts and amounts that cannot be below zero.
+MEASURES_FROM_ZERO = {
+    "fact_encounters": ["base_encounter_cost", "total_claim_cost"], "fact_admissions": ["length_of_stay_hours"],
+    "fact_ed_stays": ["wait_time_minutes", "length_of_stay_minutes"], "fact_outpatient_visits": ["wait_time_minutes"],
+    "fact_transfers": ["transfer_duration_hours"], "fact_claims": ["total_charge_amount", "claim_payment_amount"],
+    "fact_claim_lines": ["line_charge_amount"], "fact_claim_adjustments": ["amount"],
+    "fact_bed_capacity": ["staffed_beds", "blocked_beds", "occupied_beds", "occupancy_rate"],
+    "fact_pharmacy_inventory": ["qty_on_hand", "unit_cost"], "fact_staffing": ["scheduled_hours", "actual_hours"],
+}
+
+
 def referential_integrity(tables: Callable[[str], DataFrame], relations: list[Relation] | None = None) -> DataFrame:
     used = relations if relations is not None else RELATIONS
     names = {n for r in used for n in (r.child, r.parent)}
     return orphan_matrix(used, {n: tables(n) for n in names})
 
 
+def census_reconciliation(beds: DataFrame, weekly: DataFrame) -> DataFrame:
+    """The weekly report against the hourly feed, after rows without usable beds and impossible rows are set apart."""
+    return census_by_week(kpi_beds.split_impossible(beds)[0], weekly)
+
+
 def run_checks(tables: Callable[[str], DataFrame]) -> DataFrame:
     """One row per check: name, PASS / WARN / FAIL, detail.  ``tables`` supplies Silver bases."""
     ed, beds, roster, units = tables("ed_stays"), tables("bed_hourly"), tables("staff_schedules"), tables("unit")
@@ -56,7 +76,7 @@ def run_checks(tables: Callable[[str], DataFrame]) -> DataFrame:
     occupancy, readmission = kpi_beds.occupancy(beds), kpi_readmissions.hrrp(admissions)
     understaffed = kpi_staffing.understaffing(roster, units)
     ed_counts = kpi_ed.ed_summary(ed).agg(F.count_if(F.col("measure").isin("OP-18", "ED-1", "ED-2")).alias("n"))
-    match = census_match_rate(census_by_week(beds, tables("bed_nhsn")))
+    match = census_match_rate(census_reconciliation(beds, tables("bed_nhsn")))
     stock = kpi_pharmacy.stockout_risk(inventory)
     return stack([
         check(ed_counts, "OP-18 / ED-1 / ED-2 all computable", F.col("n") == 3, F.col("n"), "FAIL"),

@@ -17,8 +17,9 @@ from wardflow.operators.ordered import dense_number
 from wardflow.operators.quality import gate
 from wardflow.sources.layers import Layers
 
-# Span of the calendar dimension.
-CALENDAR = ("2025-01-01", "2027-12-31")
+#: Span of the calendar dimension unless a build names another: wide enough for any date a feed may carry (73,414
+#: days).  Facts outside it would vanish from trends; ``facts_without_date`` counts them.
+CALENDAR = ("1900-01-01", "2100-12-31")
 
 
 def _renamed(df: DataFrame, columns: str) -> DataFrame:
@@ -281,9 +282,17 @@ FACTS = ["fact_encounters", "fact_admissions", "fact_ed_stays", "fact_outpatient
          "fact_pharmacy_inventory", "fact_staffing"]
 
 
+def facts_without_date(fact: DataFrame, calendar: DataFrame, key: str) -> DataFrame:
+    """Rows of a fact, those without a date key, and those whose key has no row in the calendar."""
+    known = calendar.select(F.col("date_key").alias("_date_key"))
+    return fact.join(known, F.col(key) == F.col("_date_key"), "left").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col(key).isNull()).alias("without_key"),
+        F.count_if(F.col(key).isNotNull() & F.col("_date_key").isNull()).alias("outside_calendar"))
+
+
 def build_gold(spark: SparkSession, layers: Layers, as_of: str | None = None,
-               names: Sequence[str] = tuple(DIMENSIONS + FACTS)) -> None:
+               names: Sequence[str] = tuple(DIMENSIONS + FACTS), calendar: tuple[str, str] = CALENDAR) -> None:
     """Write dimensions, then facts; each table reads the ones before it as written."""
-    gold = Gold(spark, lambda name: layers.read(f"silver_{name}"), as_of)
+    gold = Gold(spark, lambda name: layers.read(f"silver_{name}"), as_of, calendar)
     for name in names:
         gold._tables[name] = layers.overwrite(name, gold.table(name))

@@ -264,7 +264,7 @@ def feeds(d: Dialect) -> dict[str, str]:
           '0.00' as patient_responsibility_amount, {d.day('o_orderdate', add='20 + l_partkey * 7 % 90 + l_linenumber')} as remit_date,
           case when l_partkey % 9 = 0 then '1' else '0' end as is_appealed, case when l_partkey % 18 = 0 then '1' else '0' end as is_overturned_on_appeal,
           {d.day('l_shipdate', form='compact')} as _batch_id
-        from {l} where l_linestatus = 'F' and l_linenumber <= 2"""
+        from {l} where l_linestatus = 'F'"""
     reason = choose("l_partkey", ["45", "16", "50", "45", "97", "24", "1", "45", "18", "197"])
     out["remit_adjustment"] = f"""
         select patient_control_number, adjustment_seq, case when reason_code = '1' then 'PR' when reason_code = '18' then 'OA' else 'CO' end as group_code,

@@ -427,28 +427,22 @@ def _(h):
     return named(dashboards.headline(model(h)))
 
 
-TREND_CALENDAR = {"calendar_days": "select cast(d as date) as full_date, cast(strftime(d, '%Y%m%d') as integer) as date_key from (select unnest(generate_series(date '1994-01-01', date '2027-12-31', interval 1 day)) as d)"}
-
-
-def _trend_model(h: Hospital) -> Model:
-    from wardflow.plans.gold import dim_date
-    calendar = dim_date(h.spark, "1994-01-01", "2027-12-31")
-    return Model(lambda name: calendar if name == "dim_date" else h.gold(name))
+TREND_CALENDAR = {"calendar_days": "select cast(d as date) as full_date, cast(strftime(d, '%Y%m%d') as integer) as date_key from (select unnest(generate_series(date '1900-01-01', date '2100-12-31', interval 1 day)) as d)"}
 
 
 @register("dash_trend_occupancy", "select strftime(full_date, '%Y-%m-%d') as full_date, round(avg(occupancy_rate), 9) as avg_occupancy_rate from fact_bed_capacity join calendar_days on date_key = snapshot_date_key group by 1", **TREND_CALENDAR)
 def _(h):
-    return named(dashboards.kpi_trend(_trend_model(h), "Avg Occupancy Rate"))
+    return named(dashboards.kpi_trend(model(h), "Avg Occupancy Rate"))
 
 
 @register("dash_trend_ed_wait", "select strftime(full_date, '%Y-%m-%d') as full_date, round(avg(wait_time_minutes), 9) as avg_ed_wait_min from fact_ed_stays join calendar_days on date_key = stay_date_key group by 1", **TREND_CALENDAR)
 def _(h):
-    return named(dashboards.kpi_trend(_trend_model(h), "Avg ED Wait (min)"))
+    return named(dashboards.kpi_trend(model(h), "Avg ED Wait (min)"))
 
 
 @register("dash_trend_readmission", "select strftime(full_date, '%Y-%m-%d') as full_date, round(count(*) filter (where is_readmission) / count(*), 9) as readmission_rate from fact_admissions join calendar_days on date_key = admit_date_key group by 1", **TREND_CALENDAR)
 def _(h):
-    return named(dashboards.kpi_trend(_trend_model(h), "Readmission Rate"))
+    return named(dashboards.kpi_trend(model(h), "Readmission Rate"))
 
 
 @register("measure_adjustment_amount_by_payer", """select payer_name, sum(cast(is_denial as int)) as denials, count(*) as adjustments from fact_claim_adjustments
@@ -472,7 +466,7 @@ def _(h):
 
 # --- audits -----------------------------------------------------------------------------------
 
-LOGGED = ["facility", "unit", "payer", "drug", "staff", "patients", "admissions", "ed_stays", "bed_hourly", "pharmacy_inventory", "staff_schedules"]
+LOGGED = list(ot.SILVER)
 
 
 @register("dq_run_log", " union all ".join(f"select 'silver_{n}' as table_name, count(*) as rows_total, count(*) filter (where _dq_passed) as rows_passed, count(*) filter (where not _dq_passed) as rows_failed from silver_{n}" for n in LOGGED))
@@ -485,19 +479,21 @@ def _(h):
     return audit.blank_batches({n: h.bronze(n) for n in FEEDS})
 
 
-@register("dq_issue_breakdown", "select issue, count(*) as rows from (select unnest(string_split(_dq_issues, '; ')) as issue from silver_claim_header where not _dq_passed) group by 1")
+@register("dq_issue_breakdown", " union all ".join(f"select 'silver_{n}' as table_name, issue, count(*) as rows from (select unnest(string_split(_dq_issues, '; ')) as issue from silver_{n} where not _dq_passed) group by 2" for n in LOGGED))
 def _(h):
-    return audit.issue_breakdown(h.silver("claim_header"))
+    return audit.stack([audit.issue_breakdown(h.silver(n)).select(F.lit(f"silver_{n}").alias("table_name"), "issue", "rows") for n in LOGGED])
 
 
-@register("dq_null_keys", " union all ".join(f"select 'fact_encounters' as table_name, '{k}' as key_column, count(*) filter (where {k} is null) as null_rows, count(*) as rows from fact_encounters" for k in ["facility_key", "unit_key", "patient_key"]))
+@register("dq_null_keys", " union all ".join(f"select '{t}' as table_name, '{k}' as key_column, count(*) filter (where {k} is null) as null_rows, count(*) as rows from {t}"
+                                             for t, keys in checks.FACT_KEYS.items() for k in keys))
 def _(h):
-    return audit.null_keys(h.gold("fact_encounters"), ["facility_key", "unit_key", "patient_key"], "fact_encounters")
+    return audit.stack([audit.null_keys(h.gold(t), keys, t) for t, keys in checks.FACT_KEYS.items()])
 
 
-@register("dq_negative_measures", " union all ".join(f"select 'fact_ed_stays' as table_name, '{k}' as measure, count(*) filter (where {k} < 0) as negative_rows from fact_ed_stays" for k in ["wait_time_minutes", "length_of_stay_minutes"]))
+@register("dq_negative_measures", " union all ".join(f"select '{t}' as table_name, '{k}' as measure, count(*) filter (where {k} < 0) as negative_rows from {t}"
+                                                     for t, measures in checks.MEASURES_FROM_ZERO.items() for k in measures))
 def _(h):
-    return audit.below_zero(h.gold("fact_ed_stays"), ["wait_time_minutes", "length_of_stay_minutes"], "fact_ed_stays")
+    return audit.stack([audit.below_zero(h.gold(t), measures, t) for t, measures in checks.MEASURES_FROM_ZERO.items()])
 
 
 @register("dq_duplicate_remits", "select patient_control_number, count(*) as copies from silver_remit where _dq_passed group by 1 having count(*) > 1")
@@ -530,9 +526,9 @@ def _(h):
 
 @register("dq_reconcile_census", """select facility_id, strftime(d, '%Y-%m-%d') as collection_date_d, round(h, 9) as hourly_census, r as reported_census, round(abs(h - r), 9) as gap,
   abs(h - r) <= greatest(2.0, h * 0.05) as within_tolerance from (select nhsn_org_id as facility_id, collection_date_d as d, all_hospital_inpatient_occupancy_int as r from silver_bed_nhsn)
-  join (select facility_id, cast(snapshot_datetime_ts as date) as d, sum(occupied_beds_int) / 24 as h from silver_bed_hourly group by all) using (facility_id, d)""")
+  join (select facility_id, cast(snapshot_datetime_ts as date) as d, sum(occupied_beds_int) / 24 as h from silver_bed_hourly where staffed_beds_int - blocked_beds_int > 0 and not coalesce(occupied_beds_int > staffed_beds_int - blocked_beds_int or occupied_beds_int < 0 or staffed_beds_int <= 0, false) group by all) using (facility_id, d)""")
 def _(h):
-    return present(reconcile.census_by_week(h._silver.base("bed_hourly"), h._silver.base("bed_nhsn")))
+    return present(checks.census_reconciliation(h._silver.base("bed_hourly"), h._silver.base("bed_nhsn")))
 
 
 SOURCES = {"claim_header": "orders", "bed_hourly": "events", "claim_line": "lineitem"}
@@ -592,7 +588,7 @@ _PASS = {
     "capacity-risk units identifiable": (f"(select avg(cast(occ >= 0.85 as int)) filter (where not bad) from {BEDS}) > 0", "WARN"),
     "zero-bed rows carry no occupancy": ("(select count(*) from silver_bed_hourly where staffed_beds_int - blocked_beds_int <= 0 and staffed_beds_int >= 0 and occupancy_rate_float is not null) = 0", "FAIL"),
     "weekly report reconciles to hourly detail": ("""(select avg(cast(abs(h - r) <= greatest(2.0, h * 0.05) as int)) from (select nhsn_org_id as facility_id, collection_date_d as d, all_hospital_inpatient_occupancy_int as r from silver_bed_nhsn)
-      join (select facility_id, cast(snapshot_datetime_ts as date) as d, sum(occupied_beds_int) / 24 as h from silver_bed_hourly group by all) using (facility_id, d)) >= 0.9""", "WARN"),
+      join (select facility_id, cast(snapshot_datetime_ts as date) as d, sum(occupied_beds_int) / 24 as h from silver_bed_hourly where staffed_beds_int - blocked_beds_int > 0 and not coalesce(occupied_beds_int > staffed_beds_int - blocked_beds_int or occupied_beds_int < 0 or staffed_beds_int <= 0, false) group by all) using (facility_id, d)) >= 0.9""", "WARN"),
     "staffing vs ratio target computable": (f"(select avg(cast(under as int)) from {_ungated(SHIFTS)}) > 0", "WARN"),
     "understaffing is non-uniform": (f"(select max(pct) - min(pct) from {_ungated(BY_DEPARTMENT)}) > 0.2", "WARN"),
     "readmission rate computable": ("(select count(*) from index_stays) >= 30", "WARN"),

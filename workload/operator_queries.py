@@ -136,6 +136,14 @@ def _(h):
     return out.select("o_orderkey", "seq", F.when(F.col("seq") == 1, "admit").otherwise("transfer").alias("event_type"))
 
 
+@register("event_sequence_numbers", """select event_id, cast(row_number() over (partition by k order by ts, event_id) as int) as seq
+  from (select event_id, ts, case when event_id % 3 = 0 then 0 when event_id % 7 = 0 then null else user_id end as k from events)""")
+def _(h):
+    facts = t(h, "events").select("event_id", "ts", F.expr("CASE WHEN event_id % 3 = 0 THEN 0 WHEN event_id % 7 = 0 THEN NULL ELSE user_id END").alias("k"))
+    out = neighbours.sequence_in_group(facts, ["k"], ["ts", "event_id"], F.date_trunc("day", "ts"), "seq")
+    return out.select("event_id", "seq")
+
+
 def _customer_versions(h, **options):
     snapshots = t(h, "orders").groupBy("o_custkey", F.date_format("o_orderdate", "yyyyMMdd").alias("_batch_id")).agg(F.max("o_orderpriority").alias("priority"))
     return scd.versions(snapshots, "o_custkey", attributes=["priority"], **options)
