@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wardflow.functions.calendar import days
-from wardflow.operators.joins import orphans
 from wardflow.operators.quality import ISSUES, PASSED
 
 
@@ -84,17 +83,31 @@ class Relation:
 
 
 def orphan_matrix(relations: Sequence[Relation], tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Distinct orphan keys per relation, their share of the child's rows, and a verdict."""
-    out = []
-    for r in relations:
-        child = tables[r.child]
-        lost = orphans(child, tables[r.parent], r.key, r.parent_key).agg(F.count(F.lit(1)).alias("orphans"))
-        rows = child.agg(F.count(F.lit(1)).alias("rows"))
-        out.append(rows.withColumn("orphans", lost.scalar()).select(
-            F.lit(f"{r.child}.{r.key} -> {r.parent}.{r.parent_key}").alias("relation"), "rows", "orphans",
-            F.lit(r.tolerance).alias("tolerance")))
+    """Distinct orphan keys per relation, their share of the child's rows, and a verdict.
+
+    Every child is read once, whatever the number of its relations, and so is every parent key: rows are counted per
+    (relation, key) with partial aggregation, and all counts meet all parent keys in one join.
+    """
+    names = [f"{r.child}.{r.key} -> {r.parent}.{r.parent_key}" for r in relations]
+    spark = next(iter(tables.values())).sparkSession
+    listed = spark.createDataFrame([(n, float(r.tolerance)) for n, r in zip(names, relations, strict=True)],
+                                   "relation string, tolerance double")
+    used = []
+    for child in dict.fromkeys(r.child for r in relations):
+        pairs = [F.struct(F.lit(n).alias("relation"), F.lit(f"{r.parent}.{r.parent_key}").alias("into"),
+                          F.col(f"`{r.key}`").cast("string").alias("key"))
+                 for n, r in zip(names, relations, strict=True) if r.child == child]
+        used.append(tables[child].select(F.explode(F.array(*pairs)).alias("p")).select("p.*"))
+    parents = [tables[parent].select(F.lit(f"{parent}.{key}").alias("into"), F.col(f"`{key}`").cast("string").alias("key"))
+               for parent, key in dict.fromkeys((r.parent, r.parent_key) for r in relations)]
+    counted = stack(used).groupBy("relation", "into", "key").agg(F.count(F.lit(1)).alias("n"))
+    known = stack(parents).filter("key IS NOT NULL").distinct().withColumn("known", F.lit(True))
+    judged = (counted.join(known, ["into", "key"], "left").groupBy("relation")
+              .agg(F.sum("n").alias("rows"), F.count_if(F.col("key").isNotNull() & F.col("known").isNull()).alias("orphans")))
+    out = listed.join(judged, "relation", "left").na.fill(0, ["rows", "orphans"])
     share = F.col("orphans") / F.greatest(F.col("rows"), F.lit(1))
-    return stack(out).withColumn("status", F.when(share <= F.col("tolerance"), "PASS").otherwise("WARN"))
+    return (out.withColumn("status", F.when(share <= F.col("tolerance"), "PASS").otherwise("WARN"))
+            .select("relation", "rows", "orphans", "tolerance", "status"))
 
 
 # --- delivery ---------------------------------------------------------------------------------

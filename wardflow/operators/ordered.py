@@ -18,6 +18,7 @@ from wardflow.session import settle
 
 RANGES = 128
 SAMPLE = RANGES * 32
+SPAN = 250_000
 
 
 def _with_range(df: DataFrame, keys: Sequence[str], descending: bool = False) -> DataFrame:
@@ -41,12 +42,11 @@ def dense_number(df: DataFrame, keys: Sequence[str], name: str, running: bool =
     """1, 2, 3 … in the order of ``keys``, which must be unique in ``df``.
 
     Equals ``row_number() over (order by keys)`` (and, the keys being unique, ``dense_rank``).
-    Where the first key is itself a running number from 1 up (``running``), equal spans of it
-    serve as ranges and no sample is taken.
+    Where the first key is itself a running number from 1 up (``running``), spans of ``SPAN`` numbers
+    serve as ranges, so there are as many as the data needs, and no sample is taken.
     """
     if running:
-        highest = df.agg(F.max(keys[0])).scalar()
-        ranged = df.withColumn("_range", F.floor(F.col(keys[0]) * F.lit(RANGES) / (highest + 1)))
+        ranged = df.withColumn("_range", F.floor(F.col(keys[0]) / F.lit(SPAN)))
     else:
         ranged = _with_range(df, keys)
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
@@ -54,7 +54,7 @@ def dense_number(df: DataFrame, keys: Sequence[str], name: str, running: bool =
                .select("_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before")))
     within = Window.partitionBy("_range").orderBy(*keys)
     return (ranged.withColumn("_at", F.row_number().over(within))
-            .join(F.broadcast(offsets), "_range")
+            .join(offsets, "_range")
             .withColumn(name, (F.col("_before") + F.col("_at")).cast("long"))
             .drop("_range", "_at", "_before"))
 
@@ -81,7 +81,7 @@ def running_total(df: DataFrame, value: str, tiebreak: Sequence[str], name: str)
               .orderBy(F.col(value).desc(), *[F.col(t).desc() for t in tiebreak])
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return (ranged.withColumn("_sum", F.sum(value).over(within))
-            .join(F.broadcast(offsets), "_range")
+            .join(offsets, "_range")
             .withColumn(name, F.col("_before") + F.col("_sum")).drop("_range", "_sum", "_before"))
 
 

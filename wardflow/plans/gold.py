@@ -33,8 +33,8 @@ def dim_date(spark: SparkSession, first: str = CALENDAR[0], last: str = CALENDAR
 
 
 def _counted(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
-    """Surrogate numbers for dimensions the size of an organisation chart (buildings, units,
-    insurers).  Dimensions that grow with the business use ``dense_number``."""
+    """Surrogate numbers for dimensions the size of an organisation chart (buildings, insurers).
+    Dimensions that grow with the business use ``dense_number``."""
     return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long"))
 
 
@@ -47,7 +47,7 @@ def dim_facility(facility: DataFrame) -> DataFrame:
 
 def dim_unit(unit: DataFrame, facilities: DataFrame) -> DataFrame:
     keyed = lookup(gate(unit), facilities, "facility_id", ["facility_key"])
-    return _renamed(_counted(keyed, ["unit_id"], "unit_key"),
+    return _renamed(dense_number(keyed, ["unit_id"], "unit_key"),
                     "unit_key unit_id facility_key facility_id unit_code unit_name unit_type_folded:unit_type "
                     "building floor licensed_beds_int:licensed_beds staffed_beds_int:staffed_beds "
                     "blocked_beds_int:blocked_beds nurse_patient_ratio_target_float:nurse_patient_ratio_target "

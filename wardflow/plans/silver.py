@@ -185,7 +185,8 @@ TABLES = {t.name: t for t in [
          ForeignKey("payer_id", "payer", "payer_id", "payer_id not found in silver_payer"),
          ForeignKey("primary_diagnosis_code", "icd10", "icd10_code",
                     "primary_diagnosis_code not found in silver_icd10"),
-         ForeignKey("seen_by_provider_id", "staff", "staff_id", "seen_by_provider_id not found in silver_staff"),
+         ForeignKey("seen_by_provider_id", "staff", "staff_id", "seen_by_provider_id not found in silver_staff",
+                    large=True),
          _patient("subject_id")], _latest("outpatient_visits")),
     SilverTable("transfers", _typed(intime_ts=(to_time, "intime"), outtime_ts=(to_time, "outtime")),
                 [required("transfer_id"), _facility(), _unit(),
@@ -203,7 +204,8 @@ TABLES = {t.name: t for t in [
          ForeignKey("payer_id", "payer", "payer_id", "payer_id not found in silver_payer", null_fails=True),
          within("total_charge_amount_float", None, MAX_CLAIM_CHARGE,
                 "total_charge_amount implausibly large for a single claim"),
-         ForeignKey("attending_provider_npi", "staff", "npi", "attending_provider_npi not found in silver_staff"),
+         ForeignKey("attending_provider_npi", "staff", "npi", "attending_provider_npi not found in silver_staff",
+                    large=True),
          _patient("subject_id")], _latest("claim_header")),
     SilverTable("claim_line", _typed(
         line_charge_amount_float=(to_money, "line_charge_amount"), unit_count_int=(to_int, "unit_count")),
