@@ -189,9 +189,9 @@ def connected(sets: DataFrame) -> DataFrame:
               .filter((F.col("a") < F.col("b")) & _close_in_size("n_a", "n_b")).select("a", "b"))
 
     labels = settle(counted.select("node").distinct().select("node", F.col("node").alias("component")))
-    nodes, checked = labels, None
+    nodes, checked, open_ = labels, None, many
     for turn in range(HUB_ROUNDS):
-        placed = many.join(labels, "node")
+        placed = open_.join(labels, "node")
         if turn == 0:
             pool = placed
         else:  # hubs of later rounds come from the component that most of a bucket is in
@@ -209,18 +209,24 @@ def connected(sets: DataFrame) -> DataFrame:
         seen = verified(pairs, sets)
         checked = seen if checked is None else settle(checked.union(seen))
         labels = components(checked.filter("linked"), nodes)
-    rest = _across(many.join(labels, "node"), checked)
-    seen = verified(rest, sets)
+        open_ = settle(_still_apart(open_, labels))
+        if open_.isEmpty():
+            return labels
+    seen = verified(_across(open_.join(labels, "node"), checked), sets)
     if seen.filter("linked").isEmpty():
         return labels
     return components(checked.union(seen).filter("linked"), nodes)
 
 
-def _across(placed: DataFrame, checked: DataFrame) -> DataFrame:
-    """Pairs of a large bucket that are still in different components, less those that a common hub rules out."""
-    apart = (placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+def _still_apart(many: DataFrame, labels: DataFrame) -> DataFrame:
+    """Large buckets whose sets are in different components."""
+    apart = (many.join(labels, "node").groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
              .filter("low <> high").select("token"))
-    open_ = settle(placed.join(apart, "token", "left_semi"))
+    return many.join(apart, "token", "left_semi")
+
+
+def _across(open_: DataFrame, checked: DataFrame) -> DataFrame:
+    """Pairs of a large bucket that are still in different components, less those that a common hub rules out."""
     largest = (open_.groupBy("token", "component").agg(F.count("*").alias("m")).groupBy("token")
                .agg(F.max(F.struct("m", "component")).alias("top")).select("token", F.col("top.component").alias("top")))
     open_ = open_.join(largest, "token")
