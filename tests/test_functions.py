@@ -73,3 +73,13 @@ def test_deidentify_and_roles(spark):
     safe = identity.deidentify(df, hashed=["mrn"])
     assert safe.columns == ["Id", "mrn", "Gender"] and safe.first()["mrn"] != "m1"
     assert identity.role_view(safe, ["Id"]).first()["Gender"] is None
+
+
+def test_clinical_times_follow_the_source_system(spark):
+    from wardflow.functions.parsing import clinical_time
+    rows = [("REGIONAL_HIS", "03/04/2026 10:00"), ("COMMUNITY_CARE_EHR", "03/04/2026 10:00"), ("ACADEMIC_CIS", "2026-04-03T10:00:00"),
+            ("CENTRAL_HIS", "2026-04-03 10:00:00"), ("CENTRAL_HIS", "03/04/2026 10:00"), (None, "2026-04-03 10:00:00"), ("REGIONAL_HIS", "soon")]
+    df = spark.createDataFrame(rows, "source_system string, t string")
+    got = [str(r[0]) for r in df.select(clinical_time("t")).collect()]
+    april, march = "2026-04-03 10:00:00", "2026-03-04 10:00:00"
+    assert got == [april, march, april, april, "None", april, "None"]

@@ -65,6 +65,16 @@ def to_time_by_system(value: str | Column, system: str | Column,
     return iso if parsed is None else F.coalesce(parsed, iso)
 
 
+#: How clinical systems that do not write ISO date-times write them.
+TIME_FORMATS = {"ACADEMIC_CIS": "yyyy-MM-dd'T'HH:mm:ss", "REGIONAL_HIS": "dd/MM/yyyy HH:mm",
+                "COMMUNITY_CARE_EHR": "MM/dd/yyyy HH:mm", "URGENTCARE_CLOUD": "yyyy-MM-dd HH:mm"}
+
+
+def clinical_time(value: str | Column) -> Column:
+    """A time of a clinical feed, read as its ``source_system`` writes it."""
+    return to_time_by_system(value, "source_system", TIME_FORMATS)
+
+
 def fold(value: str | Column) -> Column:
     """Case and padding removed, so that ``'HOME '`` and ``'home'`` are one value."""
     return F.lower(F.trim(as_col(value)))

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardflow.functions.parsing import fold, to_double, to_time
+from wardflow.functions.parsing import clinical_time, fold, to_double, to_time
 from wardflow.operators.audit import stack
 from wardflow.operators.joins import with_exists
 
@@ -35,7 +35,8 @@ def find_defects(bronze: Callable[[str], DataFrame], wanted: Expectation) -> Dat
     for c, (low, high) in wanted.numbers.items():
         tests.append(("type_nonconformance", c, F.col(c).isNotNull() & to_double(c).isNull()))
         tests.append(("outlier_numeric", c, ~to_double(c).between(low, high)))
-    tests += [("temporal_inversion", f"{a}/{b}", to_time(b) < to_time(a)) for a, b in wanted.ordered]
+    time = clinical_time if "source_system" in df.columns else to_time
+    tests += [("temporal_inversion", f"{a}/{b}", time(b) < time(a)) for a, b in wanted.ordered]
     for i, (c, (parent, parent_key)) in enumerate(wanted.parents.items()):
         df = with_exists(df, bronze(parent), c, parent_key, f"_fk{i}")
         tests.append(("orphan_foreign_key", c, F.col(c).isNotNull() & ~F.col(f"_fk{i}")))

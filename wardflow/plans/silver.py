@@ -14,12 +14,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardflow.functions.identity import mpi_key
-from wardflow.functions.parsing import fold, to_bool, to_day, to_double, to_int, to_money, to_time
+from wardflow.functions.parsing import clinical_time, fold, to_bool, to_day, to_double, to_int, to_money, to_time
 from wardflow.operators.audit import run_summary
 from wardflow.operators.dedupe import drop_copies, latest_batch
 from wardflow.operators.ordered import number_distinct
 from wardflow.operators.quality import (AttachKey, ForeignKey, Rule, at_most_times, in_domain, in_order, judge,
-                                        no_more_than, required, resolve_keys, rule, within)
+                                        no_more_than, parseable, required, resolve_keys, rule, within)
 from wardflow.operators.scd import versions
 from wardflow.session import settle
 from wardflow.sources.feeds import FEEDS
@@ -60,6 +60,11 @@ def _typed(**makers: tuple[Callable[..., Column], str]) -> dict[str, Callable[[]
     return {name: (lambda m=make, raw=raw: m(raw)) for name, (make, raw) in makers.items()}
 
 
+def _parsed_times(*columns: str) -> list[Rule]:
+    """Times that are there but cannot be read are named and do not pass the gate."""
+    return [parseable(c, f"{c}_ts") for c in columns]
+
+
 def _facility(null_fails: bool = False) -> ForeignKey:
     return ForeignKey("facility_id", "facility", "facility_id",
                       "facility_id not found in silver_facility", null_fails=null_fails)
@@ -152,30 +157,33 @@ TABLES = {t.name: t for t in [
         [required("Id"), required("BirthDate_date", "BirthDate unparseable")],
         _latest("patients"), with_person),
     SilverTable("encounters", _typed(
-        Start_ts=(to_time, "Start"), Stop_ts=(to_time, "Stop"),
+        Start_ts=(clinical_time, "Start"), Stop_ts=(clinical_time, "Stop"),
         Base_Encounter_Cost_float=(to_money, "Base_Encounter_Cost"),
         Total_Claim_Cost_float=(to_money, "Total_Claim_Cost")),
         [required("Id", "encounter Id null"), in_order("Start_ts", "Stop_ts", "Stop before Start"),
-         _facility(), _unit(), _patient("Patient")], _latest("encounters")),
+         _facility(), _unit(), _patient("Patient"),
+         *_parsed_times("Start", "Stop")], _latest("encounters")),
     SilverTable("admissions", _typed(
-        admittime_ts=(to_time, "admittime"), dischtime_ts=(to_time, "dischtime"),
+        admittime_ts=(clinical_time, "admittime"), dischtime_ts=(clinical_time, "dischtime"),
         is_readmission_bool=(to_bool, "is_readmission"),
         is_planned_readmission_bool=(to_bool, "is_planned_readmission"),
         hospital_expire_flag_bool=(to_bool, "hospital_expire_flag")),
         [required("hadm_id"), in_order("admittime_ts", "dischtime_ts", "dischtime before admittime"),
-         _facility(), _patient("subject_id")], _latest("admissions")),
+         _facility(), _patient("subject_id"),
+         *_parsed_times("admittime", "dischtime")], _latest("admissions")),
     SilverTable("ed_stays", _typed(
-        intime_ts=(to_time, "intime"), outtime_ts=(to_time, "outtime"), triage_time_ts=(to_time, "triage_time"),
-        provider_seen_time_ts=(to_time, "provider_seen_time"),
-        admit_decision_time_ts=(to_time, "admit_decision_time"), disposition_folded=(fold, "disposition"),
+        intime_ts=(clinical_time, "intime"), outtime_ts=(clinical_time, "outtime"), triage_time_ts=(clinical_time, "triage_time"),
+        provider_seen_time_ts=(clinical_time, "provider_seen_time"),
+        admit_decision_time_ts=(clinical_time, "admit_decision_time"), disposition_folded=(fold, "disposition"),
         acuity_int=(to_int, "acuity"), heartrate_int=(to_int, "heartrate")),
         [required("stay_id"), within("acuity_int", 1, 5, "acuity out of 1-5 range"), _facility(),
          in_order("intime_ts", "triage_time_ts", "triage_time before intime"),
          ForeignKey("hadm_id", "admissions", "hadm_id", "hadm_id not found in silver_admissions", large=True),
-         _patient("subject_id")], _latest("ed_stays")),
+         _patient("subject_id"),
+         *_parsed_times("intime", "outtime", "triage_time", "provider_seen_time", "admit_decision_time")], _latest("ed_stays")),
     SilverTable("outpatient_visits", _typed(
-        appointment_time_ts=(to_time, "appointment_time"), arrival_time_ts=(to_time, "arrival_time"),
-        provider_seen_time_ts=(to_time, "provider_seen_time"), departure_time_ts=(to_time, "departure_time"),
+        appointment_time_ts=(clinical_time, "appointment_time"), arrival_time_ts=(clinical_time, "arrival_time"),
+        provider_seen_time_ts=(clinical_time, "provider_seen_time"), departure_time_ts=(clinical_time, "departure_time"),
         visit_status_folded=(fold, "visit_status"), is_no_show_bool=(to_bool, "is_no_show"),
         escalated_to_inpatient_bool=(to_bool, "escalated_to_inpatient")),
         # arrival before the appointment is legal: no order check between the two
@@ -187,7 +195,8 @@ TABLES = {t.name: t for t in [
                     "primary_diagnosis_code not found in silver_icd10"),
          ForeignKey("seen_by_provider_id", "staff", "staff_id", "seen_by_provider_id not found in silver_staff",
                     large=True),
-         _patient("subject_id")], _latest("outpatient_visits")),
+         _patient("subject_id"),
+         *_parsed_times("appointment_time", "arrival_time", "provider_seen_time", "departure_time")], _latest("outpatient_visits")),
     SilverTable("transfers", _typed(intime_ts=(to_time, "intime"), outtime_ts=(to_time, "outtime")),
                 [required("transfer_id"), _facility(), _unit(),
                  in_order("intime_ts", "outtime_ts", "outtime before intime"), _patient("subject_id")],

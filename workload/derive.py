@@ -41,6 +41,13 @@ class Dialect:
     def iso(self, t: str) -> str:
         return f"date_format(cast({t} as timestamp), 'yyyy-MM-dd HH:mm:ss')"
 
+    def clinical(self, base: str, minutes: str) -> str:
+        """A time as the supplier's nation has its system write it: ISO, with a T, day first, month first."""
+        at = f"timestampadd(MINUTE, cast({minutes} as int), cast({base} as timestamp))"
+        return (f"case s_nationkey % 4 when 1 then concat(date_format({at}, 'yyyy-MM-dd'), 'T', date_format({at}, 'HH:mm:ss')) "
+                f"when 2 then date_format({at}, 'dd/MM/yyyy HH:mm') when 3 then date_format({at}, 'MM/dd/yyyy HH:mm') "
+                f"else date_format({at}, 'yyyy-MM-dd HH:mm:ss') end")
+
     def twice(self, test: str) -> str:
         """0 for every row, and 0 and 1 where ``test`` holds."""
         return f"explode(case when {test} then array(0, 1) else array(0) end)"
@@ -64,6 +71,11 @@ class DuckDb(Dialect):
     def iso(self, t: str) -> str:
         return f"strftime({t}, '%Y-%m-%d %H:%M:%S')"
 
+    def clinical(self, base: str, minutes: str) -> str:
+        at = f"({base} + to_minutes(cast({minutes} as bigint)))"
+        return (f"case s_nationkey % 4 when 1 then strftime({at}, '%Y-%m-%dT%H:%M:%S') when 2 then strftime({at}, '%d/%m/%Y %H:%M') "
+                f"when 3 then strftime({at}, '%m/%d/%Y %H:%M') else strftime({at}, '%Y-%m-%d %H:%M:%S') end")
+
     def twice(self, test: str) -> str:
         return f"unnest(case when {test} then [0, 1] else [0] end)"
 
@@ -98,7 +110,7 @@ def feeds(d: Dialect) -> dict[str, str]:
     patient, enc = f"'P' || {padded('o_custkey', 9)}", f"'ENC' || {padded('o_orderkey', 9)}"
     hadm, pcn = f"'HADM' || {padded('o_orderkey', 9)}", f"'PCN' || {padded('o_orderkey', 9)}"
     admitted = "o_orderpriority in ('1-URGENT', '2-HIGH')"
-    system = choose("s_nationkey", ["HIS_A", "HIS_B", "HIS_C", "HIS_D"])
+    system = choose("s_nationkey", ["CENTRAL_HIS", "ACADEMIC_CIS", "REGIONAL_HIS", "COMMUNITY_CARE_EHR"])
     o = (f"(select x.*, s_suppkey, s_nationkey, c_nationkey, c_mktsegment, o_orderkey % 1440 as minute from "
          f"(select o.*, o_orderkey % (select count(*) from {t('supplier')}) as sk from {t('orders')} o) x "
          f"join {t('supplier')} on s_suppkey = sk join {t('customer')} on c_custkey = o_custkey) o")
@@ -166,8 +178,8 @@ def feeds(d: Dialect) -> dict[str, str]:
           {padded('c_nationkey', 6)} as source_facility_id, case when b = 0 then '20240101' else '20240108' end as _batch_id
         from (select *, {d.twice('c_custkey % 10 = 3')} as b from {t('customer')}) c"""
     out["encounters"] = f"""
-        select {enc} as "Id", {d.stamp('o_orderdate', 'minute')} as "Start",
-          {d.stamp('o_orderdate', 'case when o_orderkey % 101 = 7 then minute - 60 else minute + 30 + o_orderkey * 7 % 4000 end')} as "Stop",
+        select {enc} as "Id", {d.clinical('o_orderdate', 'minute')} as "Start",
+          {d.clinical('o_orderdate', 'case when o_orderkey % 101 = 7 then minute - 60 else minute + 30 + o_orderkey * 7 % 4000 end')} as "Stop",
           case when o_orderkey % 113 = 2 then {patient} || '-ORPHAN' else {patient} end as "Patient",
           {choose('o_orderkey', ['outpatient', 'EMERGENCY', 'Inpatient', 'Ambulatory', 'urgentcare'])} as "EncounterClass",
           {money('o_totalprice')} as "Base_Encounter_Cost",
@@ -178,9 +190,9 @@ def feeds(d: Dialect) -> dict[str, str]:
         from {o}"""
     stay_minutes = "1440 * (1 + o_orderkey % 12) + o_orderkey * 13 % 600"
     out["admissions"] = f"""
-        select {patient} as subject_id, {hadm} as hadm_id, {d.stamp('o_orderdate', 'minute')} as admittime,
+        select {patient} as subject_id, {hadm} as hadm_id, {d.clinical('o_orderdate', 'minute')} as admittime,
           case when o_orderkey % 59 = 1 then null
-            else {d.stamp('o_orderdate', f'case when o_orderkey % 83 = 4 then minute - 90 else minute + {stay_minutes} end')} end as dischtime,
+            else {d.clinical('o_orderdate', f'case when o_orderkey % 83 = 4 then minute - 90 else minute + {stay_minutes} end')} end as dischtime,
           o_orderpriority as admission_type, 'ED' as admission_location,
           case when o_orderkey % 19 = 0 then 'AGAINST ADVICE' else 'HOME' end as discharge_location, 'Medicare' as insurance,
           case when o_orderkey % 23 = 0 then '1' else '0' end as hospital_expire_flag,
@@ -195,16 +207,16 @@ def feeds(d: Dialect) -> dict[str, str]:
     out["ed_stays"] = f"""
         select {patient} as subject_id, 'STAY' || {padded('o_orderkey', 9)} as stay_id, {enc} as encounter_id,
           case when o_orderpriority = '2-HIGH' then {hadm} when o_orderkey % 61 = 8 then 'HADM-ORPHAN' end as hadm_id,
-          {d.stamp('o_orderdate', 'minute')} as intime,
-          {d.stamp('o_orderdate', 'case when o_orderkey % 89 = 1 then minute - 45 else minute + 60 + o_orderkey * 13 % 600 end')} as outtime,
+          case when o_orderkey % 149 = 3 then 'this morning' else {d.clinical('o_orderdate', 'minute')} end as intime,
+          {d.clinical('o_orderdate', 'case when o_orderkey % 89 = 1 then minute - 45 else minute + 60 + o_orderkey * 13 % 600 end')} as outtime,
           {choose('o_orderkey', ['AMBULANCE', 'WALK IN'])} as arrival_transport,
           case when o_orderpriority = '2-HIGH' then 'ADMITTED' else
             {choose('o_orderkey', ['HOME', 'Home', 'home', 'LEFT AGAINST MEDICAL ADVICE', 'EXPIRED', 'Transfer'])} end as disposition,
           case when o_orderkey % 79 = 6 then '93 mg' else {text('50 + o_orderkey % 90')} end as heartrate,
           case when o_orderkey % 71 = 0 then '9' when o_orderkey % 73 = 0 then null else {text('1 + o_orderkey % 5')} end as acuity,
-          case when o_orderkey % 67 = 2 then {d.stamp('o_orderdate', 'minute - 5')} else {d.stamp('o_orderdate', 'minute + o_orderkey % 40')} end as triage_time,
-          {d.stamp('o_orderdate', 'minute + 10 + o_orderkey * 3 % 90')} as provider_seen_time,
-          case when o_orderpriority = '2-HIGH' then {d.stamp('o_orderdate', 'minute + 50 + o_orderkey * 5 % 200')} end as admit_decision_time,
+          case when o_orderkey % 67 = 2 then {d.clinical('o_orderdate', 'minute - 5')} else {d.clinical('o_orderdate', 'minute + o_orderkey % 40')} end as triage_time,
+          {d.clinical('o_orderdate', 'minute + 10 + o_orderkey * 3 % 90')} as provider_seen_time,
+          case when o_orderpriority = '2-HIGH' then {d.clinical('o_orderdate', 'minute + 50 + o_orderkey * 5 % 200')} end as admit_decision_time,
           case when o_orderkey % 103 = 9 then 'F000' else {facility} end as facility_id, {system} as source_system,
           {d.day('o_orderdate', add='b', form='compact')} as _batch_id
         from (select *, {d.twice('o_orderkey % 20 = 4')} as b from {o}) v
@@ -212,10 +224,10 @@ def feeds(d: Dialect) -> dict[str, str]:
     missed = "o_orderkey % 8 = 3"
     out["outpatient_visits"] = f"""
         select 'VIS' || {padded('o_orderkey', 9)} as visit_id, {enc} as encounter_id, {patient} as subject_id, {facility} as facility_id,
-          {unit} as unit_id, {choose('o_orderkey', ['OPC', 'ASC'])} as clinic_type, {d.stamp('o_orderdate', 'minute')} as appointment_time,
-          case when {missed} then null else {d.stamp('o_orderdate', 'minute - 15 + o_orderkey * 3 % 40')} end as arrival_time,
-          case when {missed} then null else {d.stamp('o_orderdate', 'minute + 26 + o_orderkey * 7 % 70')} end as provider_seen_time,
-          {d.stamp('o_orderdate', 'minute + 200')} as departure_time, case when {missed} then null else {staff} end as seen_by_provider_id,
+          {unit} as unit_id, {choose('o_orderkey', ['OPC', 'ASC'])} as clinic_type, {d.clinical('o_orderdate', 'minute')} as appointment_time,
+          case when {missed} then null else {d.clinical('o_orderdate', 'minute - 15 + o_orderkey * 3 % 40')} end as arrival_time,
+          case when {missed} then null else {d.clinical('o_orderdate', 'minute + 26 + o_orderkey * 7 % 70')} end as provider_seen_time,
+          {d.clinical('o_orderdate', 'minute + 200')} as departure_time, case when {missed} then null else {staff} end as seen_by_provider_id,
           case when {missed} then {choose('o_custkey', ['no show', 'NO SHOW'])} when o_orderkey % 97 = 1 then 'ZZZ'
             else {choose('o_custkey', ['completed', 'Completed', 'admitted '])} end as visit_status,
           case when {missed} then '1' else '0' end as is_no_show, case when o_orderkey % 30 = 7 then '1' else '0' end as escalated_to_inpatient,

@@ -569,10 +569,11 @@ ED_EXPECTATION = findings.Expectation(
     union all select 'type_nonconformance', 'heartrate' from bronze_ed_stays where heartrate is not null and try_cast(heartrate as double) is null
     union all select 'outlier_numeric', 'acuity' from bronze_ed_stays where try_cast(acuity as double) not between 1 and 5
     union all select 'outlier_numeric', 'heartrate' from bronze_ed_stays where try_cast(heartrate as double) not between 20 and 250
-    union all select 'temporal_inversion', 'intime/outtime' from bronze_ed_stays where outtime < intime
-    union all select 'temporal_inversion', 'intime/triage_time' from bronze_ed_stays where triage_time < intime
+    union all select 'temporal_inversion', 'intime/outtime' from bronze_ed_stays where {outtime} < {intime}
+    union all select 'temporal_inversion', 'intime/triage_time' from bronze_ed_stays where {triage_time} < {intime}
     union all select 'orphan_foreign_key', 'facility_id' from bronze_ed_stays where facility_id not in (select facility_id from bronze_facility)
-    union all select 'orphan_foreign_key', 'hadm_id' from bronze_ed_stays where hadm_id not in (select hadm_id from bronze_admissions)) group by all""")
+    union all select 'orphan_foreign_key', 'hadm_id' from bronze_ed_stays where hadm_id not in (select hadm_id from bronze_admissions)) group by all""".format(
+        **{c: ot.typed("clinical", c) for c in ("intime", "outtime", "triage_time")}))
 def _(h):
     return findings.find_defects(h.bronze, ED_EXPECTATION).groupBy("defect_type", "field").agg(F.count(F.lit(1)).alias("findings"))
 

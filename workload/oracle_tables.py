@@ -15,6 +15,9 @@ def typed(kind: str, raw: str) -> str:
         "int": f"try_cast(trunc(try_cast({raw} as double)) as integer)",
         "double": f"try_cast({raw} as double)", "money": f"try_cast({raw} as decimal(18,2))",
         "bool": f"try_cast({raw} as boolean)", "day": f"try_cast({raw} as date)",
+        "clinical": f"""coalesce(case source_system when 'ACADEMIC_CIS' then try_strptime({raw}, '%Y-%m-%dT%H:%M:%S')
+            when 'REGIONAL_HIS' then try_strptime({raw}, '%d/%m/%Y %H:%M') when 'COMMUNITY_CARE_EHR' then try_strptime({raw}, '%m/%d/%Y %H:%M') end,
+            try_cast({raw} as timestamp))""",
         "time": f"try_cast({raw} as timestamp)", "fold": f"lower(trim({raw}))",
     }[kind]
 
@@ -23,7 +26,7 @@ def shown(kind: str, column: str) -> str:
     """How a column of a given kind is printed in a registered query."""
     q = f'"{column}"'
     return {
-        "time": f"strftime({q}, '%Y-%m-%d %H:%M:%S') as {q}", "day": f"strftime({q}, '%Y-%m-%d') as {q}",
+        "clinical": f"strftime({q}, '%Y-%m-%d %H:%M:%S') as {q}", "time": f"strftime({q}, '%Y-%m-%d %H:%M:%S') as {q}", "day": f"strftime({q}, '%Y-%m-%d') as {q}",
         "money": f"cast({q} as double) as {q}", "rate": f"round({q}, 9) as {q}",
     }.get(kind, q)
 
@@ -52,6 +55,10 @@ CLAIM = (orphan("patient_control_number", "passed_claims", "patient_control_numb
          "patient_control_number not found in silver_claim_header")
 
 
+def unread(*columns: str) -> list[tuple[str, str]]:
+    return [(f'"{c}" is not null and "{c}_ts" is null', f"{c} unparseable") for c in columns]
+
+
 def person(column: str) -> tuple[str, str]:
     return ("canonical_patient_key is null", f"{column} not found in silver_patients")
 
@@ -89,20 +96,23 @@ SILVER: dict[str, tuple[dict[str, tuple[str, str]], list[tuple[str, str]], str |
     "patients": ({"BirthDate_date": ("day", '"BirthDate"'), "Healthcare_Expenses_float": ("money", '"Healthcare_Expenses"'),
                   "Healthcare_Coverage_float": ("money", '"Healthcare_Coverage"'), "is_high_risk_bool": ("bool", "is_high_risk")},
                  [null('"Id"', "Id null"), null('"BirthDate_date"', "BirthDate unparseable")], None),
-    "encounters": ({"Start_ts": ("time", '"Start"'), "Stop_ts": ("time", '"Stop"'), "Base_Encounter_Cost_float": ("money", '"Base_Encounter_Cost"'),
+    "encounters": ({"Start_ts": ("clinical", '"Start"'), "Stop_ts": ("clinical", '"Stop"'), "Base_Encounter_Cost_float": ("money", '"Base_Encounter_Cost"'),
                     "Total_Claim_Cost_float": ("money", '"Total_Claim_Cost"')},
-                   [null('"Id"', "encounter Id null"), ('"Stop_ts" < "Start_ts"', "Stop before Start"), FACILITY, UNIT, person("Patient")], '"Patient"'),
-    "admissions": ({"admittime_ts": ("time", "admittime"), "dischtime_ts": ("time", "dischtime"), "is_readmission_bool": ("bool", "is_readmission"),
+                   [null('"Id"', "encounter Id null"), ('"Stop_ts" < "Start_ts"', "Stop before Start"), FACILITY, UNIT, person("Patient"),
+                    *unread("Start", "Stop")], '"Patient"'),
+    "admissions": ({"admittime_ts": ("clinical", "admittime"), "dischtime_ts": ("clinical", "dischtime"), "is_readmission_bool": ("bool", "is_readmission"),
                     "is_planned_readmission_bool": ("bool", "is_planned_readmission"), "hospital_expire_flag_bool": ("bool", "hospital_expire_flag")},
-                   [null("hadm_id"), ("dischtime_ts < admittime_ts", "dischtime before admittime"), FACILITY, person("subject_id")], "subject_id"),
-    "ed_stays": ({"intime_ts": ("time", "intime"), "outtime_ts": ("time", "outtime"), "triage_time_ts": ("time", "triage_time"),
-                  "provider_seen_time_ts": ("time", "provider_seen_time"), "admit_decision_time_ts": ("time", "admit_decision_time"),
+                   [null("hadm_id"), ("dischtime_ts < admittime_ts", "dischtime before admittime"), FACILITY, person("subject_id"),
+                    *unread("admittime", "dischtime")], "subject_id"),
+    "ed_stays": ({"intime_ts": ("clinical", "intime"), "outtime_ts": ("clinical", "outtime"), "triage_time_ts": ("clinical", "triage_time"),
+                  "provider_seen_time_ts": ("clinical", "provider_seen_time"), "admit_decision_time_ts": ("clinical", "admit_decision_time"),
                   "disposition_folded": ("fold", "disposition"), "acuity_int": ("int", "acuity"), "heartrate_int": ("int", "heartrate")},
                  [null("stay_id"), ("acuity_int < 1 or acuity_int > 5", "acuity out of 1-5 range"), FACILITY,
                   ("triage_time_ts < intime_ts", "triage_time before intime"),
-                  (orphan("hadm_id", "picked_admissions", "hadm_id"), "hadm_id not found in silver_admissions"), person("subject_id")], "subject_id"),
-    "outpatient_visits": ({"appointment_time_ts": ("time", "appointment_time"), "arrival_time_ts": ("time", "arrival_time"),
-                           "provider_seen_time_ts": ("time", "provider_seen_time"), "departure_time_ts": ("time", "departure_time"),
+                  (orphan("hadm_id", "picked_admissions", "hadm_id"), "hadm_id not found in silver_admissions"), person("subject_id"),
+                  *unread("intime", "outtime", "triage_time", "provider_seen_time", "admit_decision_time")], "subject_id"),
+    "outpatient_visits": ({"appointment_time_ts": ("clinical", "appointment_time"), "arrival_time_ts": ("clinical", "arrival_time"),
+                           "provider_seen_time_ts": ("clinical", "provider_seen_time"), "departure_time_ts": ("clinical", "departure_time"),
                            "visit_status_folded": ("fold", "visit_status"), "is_no_show_bool": ("bool", "is_no_show"),
                            "escalated_to_inpatient_bool": ("bool", "escalated_to_inpatient")},
                           [null("visit_id"), ("visit_status_folded not in ('completed','no show','admitted')", "invalid visit_status"), FACILITY, UNIT,
@@ -110,7 +120,8 @@ SILVER: dict[str, tuple[dict[str, tuple[str, str]], list[tuple[str, str]], str |
                            (orphan("payer_id", "picked_payer", "payer_id"), "payer_id not found in silver_payer"),
                            (orphan("primary_diagnosis_code", "picked_icd10", "icd10_code"), "primary_diagnosis_code not found in silver_icd10"),
                            (orphan("seen_by_provider_id", "bronze_staff", "staff_id"), "seen_by_provider_id not found in silver_staff"),
-                           person("subject_id")], "subject_id"),
+                           person("subject_id"),
+                           *unread("appointment_time", "arrival_time", "provider_seen_time", "departure_time")], "subject_id"),
     "transfers": ({"intime_ts": ("time", "intime"), "outtime_ts": ("time", "outtime")},
                   [null("transfer_id"), FACILITY, UNIT, ("outtime_ts < intime_ts", "outtime before intime"), person("subject_id")], "subject_id"),
     "diagnoses": ({"seq_num_int": ("int", "seq_num"), "icd_version_int": ("int", "icd_version")},
