@@ -51,7 +51,10 @@ def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
         "line_words": F.log1p(share(F.size(words), F.size(lines))),
         "distinct_lines": share(F.size(F.array_distinct(lines)), F.size(lines)),
     }
-    return taken.withColumn("stats", F.struct(*[stats[s].alias(s) for s in STATISTICS])).drop("_text", "_words", "_lines")
+    # As the output of a generator the struct is computed once; in a projection the optimizer would copy its expressions into
+    # every rule of a filter on the score.
+    once = F.explode(F.array(F.struct(*[stats[s].alias(s) for s in STATISTICS])))
+    return taken.withColumn("stats", once).drop("_text", "_words", "_lines")
 
 
 Rule = tuple[tuple[int, bool, float], ...]  # (statistic, above, bound)
