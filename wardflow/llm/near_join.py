@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardflow.llm.common import release
 from wardflow.session import settle
 
 SHINGLE = 5
@@ -90,7 +91,12 @@ def _prefix(n: Column) -> Column:
     return F.least(n, n - _least(n) + _k(n))
 
 
-def _sets(docs: DataFrame, whole: bool) -> DataFrame:
+def _signature(tokens: np.ndarray) -> bytes:
+    return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
+
+
+def _prefix_sets(docs: DataFrame) -> DataFrame:
+    """``SETS`` of every row: size and signature of its set, and the A-prefix of its tokens."""
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
@@ -98,9 +104,7 @@ def _sets(docs: DataFrame, whole: bool) -> DataFrame:
                 for text in part.column(1).to_pylist():
                     tokens = shingles(text)
                     n = len(tokens)
-                    sig = hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
-                    prefix = min(n, n - (4 * n + 4) // 5 + max(1, (n + 19) // 20))
-                    found.append((n, sig, tokens if whole else tokens[:prefix]))
+                    found.append((n, _signature(tokens), tokens[:min(n, n - (4 * n + 4) // 5 + max(1, (n + 19) // 20))]))
                 offsets = np.cumsum([0, *[len(t) for _, _, t in found]], dtype=np.int32)
                 flat = np.concatenate([t for _, _, t in found]).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
@@ -125,9 +129,32 @@ def candidates(docs: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFram
     enough = (_shared_tokens(first).groupBy("node", "n").agg(F.count("*").alias("shared"))
               .filter(F.col("shared") >= F.greatest(F.lit(1), F.floor((F.col("n") + 24) / 25))))
     chosen = settle(enough.select("node").join(classes.hint("merge"), "node").select("node", "sig", "first"))
-    texts = docs.join(chosen.select(F.col("first").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi")
-    whole = _sets(texts, True).join(chosen.select("node", "sig").hint("merge"), "sig")
-    return settle(whole.select("node", "n", "tokens").dropDuplicates(["node"]))
+    del first, enough
+    release(docs.sparkSession)
+    texts = docs.join(chosen.select(F.col("first").alias("doc_id"), "node", F.col("sig").alias("class")).hint("merge"), "doc_id")
+    out = settle(texts.select("text", "node", "class").mapInArrow(_class_sets, "node long, n int, tokens array<long>"))
+    release(docs.sparkSession)
+    return out
+
+
+def _class_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Whole sets of ``text, node, class`` rows whose text has the class's set; of rows given twice the first in a row."""
+    last = None
+    for batch in batches:
+        for at in range(0, batch.num_rows, 128):
+            nodes, sizes, sets = [], [], []
+            for text, node, sig in zip(*[c.to_pylist() for c in batch.slice(at, 128).columns], strict=True):
+                tokens = shingles(text)
+                if node != last and _signature(tokens) == sig:
+                    last = node
+                    nodes.append(node)
+                    sizes.append(len(tokens))
+                    sets.append(tokens)
+            if nodes:
+                offsets = np.cumsum([0, *sizes], dtype=np.int32)
+                flat = np.concatenate(sets).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()),
+                                                  pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["node", "n", "tokens"])
 
 
 def buckets(sets: DataFrame) -> DataFrame:
@@ -181,7 +208,8 @@ def components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def connected(sets: DataFrame) -> DataFrame:
     """``node, component`` of candidate sets."""
-    spark, near = sets.sparkSession, buckets(sets)
+    near = buckets(sets)
+    release(sets.sparkSession)
     counted = settle(near.join(near.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1").hint("merge"), "token"))
     few, many = counted.filter(F.col("c") <= SMALL), counted.filter(F.col("c") > SMALL)
     other = few.select("token", F.col("node").alias("b"), F.col("n").alias("n_b"))
@@ -252,11 +280,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     none = F.lit(2**62)
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), none).alias("doc_id"), F.col("text").alias("text"))
-    sets = settle(_sets(docs, False))
+    sets = settle(_prefix_sets(docs))
     classes = settle(sets.filter("n > 0").groupBy("sig").agg(F.min("doc_id").alias("first"))
                      .select("sig", "first", F.monotonically_increasing_id().alias("node")))
     chosen = candidates(docs, classes, sets)
     # Nodes are numbered without regard to ids, so a component takes the smallest id among its classes.
+    release(docs.sparkSession)
     grouped = connected(chosen).join(classes, "node").select("sig", "component", "first")
     lowest = grouped.groupBy("component").agg(F.min("first").alias("component_id"))
     found = grouped.join(lowest, "component").select("sig", "component_id")
