@@ -19,6 +19,7 @@ def stack(frames: Sequence[DataFrame]) -> DataFrame:
 
 def run_summary(silver: DataFrame, table: str, run_id: str | None = None) -> DataFrame:
     """One row of the run log: rows in, passed and failed."""
+    # The run log's column names.
     out = silver.agg(F.count(F.lit(1)).alias("rows_total"),
                      F.count_if(F.col(PASSED)).alias("rows_passed"),
                      F.count_if(~F.col(PASSED)).alias("rows_failed"))

@@ -33,6 +33,7 @@ def staffed_beds_by_week(hourly: DataFrame, facilities: DataFrame, weekly: DataF
     names = facilities.select("facility_id", "facility_name")
     compared = (detail.join(names, "facility_id")
                 .join(report, ["facility_name", "iso_week", "iso_year"]))
+    # The names of the result's columns.
     variance = F.abs(F.col("hourly_total_staffed_beds") - F.col("all_hospital_inpatient_beds_int"))
     return (compared.select("facility_id", "facility_name", "snapshot_date", "week_ending_date_d",
                             "hourly_total_staffed_beds", "all_hospital_inpatient_beds_int",

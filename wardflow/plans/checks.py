@@ -79,25 +79,25 @@ def run_checks(tables: Callable[[str], DataFrame]) -> DataFrame:
     match = census_match_rate(census_reconciliation(beds, tables("bed_nhsn")))
     stock = kpi_pharmacy.stockout_risk(inventory)
     return stack([
-        check(ed_counts, "OP-18 / ED-1 / ED-2 all computable", F.col("n") == 3, F.col("n"), "FAIL"),
-        band_check(occupancy, "occupancy in a plausible band", "mean_occupancy", *OCCUPANCY_BAND),
-        check(occupancy, "capacity-risk units identifiable", F.col("share_at_capacity") > 0,
+        check(ed_counts, "ed_throughput_measures_present", F.col("n") == 3, F.col("n"), "FAIL"),
+        band_check(occupancy, "mean_occupancy_in_band", "mean_occupancy", *OCCUPANCY_BAND),
+        check(occupancy, "some_units_at_capacity", F.col("share_at_capacity") > 0,
               F.round("share_at_capacity", 4)),
-        check(kpi_beds.zero_bed_rows(beds), "zero-bed rows carry no occupancy", F.col("wrongly_rated") == 0,
+        check(kpi_beds.zero_bed_rows(beds), "bedless_rows_unrated", F.col("wrongly_rated") == 0,
               F.col("zero_bed_rows"), "FAIL"),
-        check(match, "weekly report reconciles to hourly detail", F.col("match_rate") >= 0.9,
+        check(match, "weekly_census_agrees", F.col("match_rate") >= 0.9,
               F.round("match_rate", 4)),
-        check(understaffed, "staffing vs ratio target computable", F.col("share_understaffed") > 0,
+        check(understaffed, "some_shifts_below_target", F.col("share_understaffed") > 0,
               F.round("share_understaffed", 4)),
-        check(kpi_staffing.understaffing_spread(roster, units), "understaffing is non-uniform", F.col("spread") > 0.2,
+        check(kpi_staffing.understaffing_spread(roster, units), "understaffing_varies_by_department", F.col("spread") > 0.2,
               F.round("spread", 4)),
-        check(readmission, "readmission rate computable", F.col("is_computable"), F.col("index_admissions")),
-        band_check(readmission, "readmission rate plausible", "rate", *READMISSION_BAND),
-        band_check(claims, "denial rate near published benchmark", "denial_rate", *DENIAL_BAND),
-        check(claims, "days to payment computable", F.col("median_days_to_pay").isNotNull(),
+        check(readmission, "enough_index_stays", F.col("is_computable"), F.col("index_admissions")),
+        band_check(readmission, "readmission_rate_in_band", "rate", *READMISSION_BAND),
+        band_check(claims, "denial_rate_in_band", "denial_rate", *DENIAL_BAND),
+        check(claims, "some_claims_paid", F.col("median_days_to_pay").isNotNull(),
               F.round("median_days_to_pay", 1), "FAIL"),
-        violations(adjustments, "reason 16 always carries a remark code", kpi_claims.missing_remark()),
-        violations(adjustments, "retired reason 15 not used", kpi_claims.retired_reason()),
-        check(stock, "stockout risk computable", F.col("share_at_risk") > 0, F.round("share_at_risk", 4)),
-        violations(inventory, "propofol and dexmedetomidine not scheduled", kpi_pharmacy.wrongly_scheduled()),
+        violations(adjustments, "reason_16_has_remark", kpi_claims.missing_remark()),
+        violations(adjustments, "reason_15_absent", kpi_claims.retired_reason()),
+        check(stock, "some_stock_at_risk", F.col("share_at_risk") > 0, F.round("share_at_risk", 4)),
+        violations(inventory, "sedatives_unscheduled", kpi_pharmacy.wrongly_scheduled()),
     ])

@@ -22,6 +22,7 @@ from wardflow.sources.layers import Layers
 CALENDAR = ("1900-01-01", "2100-12-31")
 
 
+# The column names in the strings given to ``_renamed`` are the schemas of the star.
 def _renamed(df: DataFrame, columns: str) -> DataFrame:
     """Select ``name`` or ``source:name`` entries, in order."""
     pairs = [entry.partition(":") for entry in columns.split()]

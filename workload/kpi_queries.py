@@ -584,23 +584,23 @@ def _ungated(sql: str) -> str:
 
 
 _PASS = {
-    "OP-18 / ED-1 / ED-2 all computable": (f"(select count(distinct measure) from {_ungated(ED_TALL)} where m is not null and measure in ('OP-18', 'ED-1', 'ED-2')) = 3", "FAIL"),
-    "occupancy in a plausible band": (f"(select avg(occ) filter (where not bad) from {BEDS}) between 0.55 and 0.95", "WARN"),
-    "capacity-risk units identifiable": (f"(select avg(cast(occ >= 0.85 as int)) filter (where not bad) from {BEDS}) > 0", "WARN"),
-    "zero-bed rows carry no occupancy": ("(select count(*) from silver_bed_hourly where staffed_beds_int - blocked_beds_int <= 0 and staffed_beds_int >= 0 and occupancy_rate_float is not null) = 0", "FAIL"),
-    "weekly report reconciles to hourly detail": ("""(select avg(cast(abs(h - r) <= greatest(2.0, h * 0.05) as int)) from (select nhsn_org_id as facility_id, collection_date_d as d, all_hospital_inpatient_occupancy_int as r from silver_bed_nhsn)
+    "ed_throughput_measures_present": (f"(select count(distinct measure) from {_ungated(ED_TALL)} where m is not null and measure in ('OP-18', 'ED-1', 'ED-2')) = 3", "FAIL"),
+    "mean_occupancy_in_band": (f"(select avg(occ) filter (where not bad) from {BEDS}) between 0.55 and 0.95", "WARN"),
+    "some_units_at_capacity": (f"(select avg(cast(occ >= 0.85 as int)) filter (where not bad) from {BEDS}) > 0", "WARN"),
+    "bedless_rows_unrated": ("(select count(*) from silver_bed_hourly where staffed_beds_int - blocked_beds_int <= 0 and staffed_beds_int >= 0 and occupancy_rate_float is not null) = 0", "FAIL"),
+    "weekly_census_agrees": ("""(select avg(cast(abs(h - r) <= greatest(2.0, h * 0.05) as int)) from (select nhsn_org_id as facility_id, collection_date_d as d, all_hospital_inpatient_occupancy_int as r from silver_bed_nhsn)
       join (select facility_id, cast(snapshot_datetime_ts as date) as d, sum(occupied_beds_int) / 24 as h from silver_bed_hourly where staffed_beds_int - blocked_beds_int > 0 and not coalesce(occupied_beds_int > staffed_beds_int - blocked_beds_int or occupied_beds_int < 0 or staffed_beds_int <= 0, false) group by all) using (facility_id, d)) >= 0.9""", "WARN"),
-    "staffing vs ratio target computable": (f"(select avg(cast(under as int)) from {_ungated(SHIFTS)}) > 0", "WARN"),
-    "understaffing is non-uniform": (f"(select max(pct) - min(pct) from {_ungated(BY_DEPARTMENT)}) > 0.2", "WARN"),
-    "readmission rate computable": ("(select count(*) from index_stays) >= 30", "WARN"),
-    "readmission rate plausible": ("""(select case when (select count(*) from index_stays) >= 30 then (select count(*) from unplanned_returns where index_encounter_id in (select encounter_id from index_stays))
+    "some_shifts_below_target": (f"(select avg(cast(under as int)) from {_ungated(SHIFTS)}) > 0", "WARN"),
+    "understaffing_varies_by_department": (f"(select max(pct) - min(pct) from {_ungated(BY_DEPARTMENT)}) > 0.2", "WARN"),
+    "enough_index_stays": ("(select count(*) from index_stays) >= 30", "WARN"),
+    "readmission_rate_in_band": ("""(select case when (select count(*) from index_stays) >= 30 then (select count(*) from unplanned_returns where index_encounter_id in (select encounter_id from index_stays))
       / (select count(*) from index_stays) end) between 0.05 and 0.30""", "WARN"),
-    "denial rate near published benchmark": (f"(select avg(cast(denied as int)) from {_ungated(CLAIMS)}) between 0.08 and 0.16", "WARN"),
-    "days to payment computable": (f"(select count(days) from {_ungated(CLAIMS)}) > 0", "FAIL"),
-    "reason 16 always carries a remark code": ("(select count(*) from silver_remit_adjustment where reason_code = '16' and is_denial_bool and remark_code is null) = 0", "FAIL"),
-    "retired reason 15 not used": ("(select count(*) from silver_remit_adjustment where reason_code = '15') = 0", "FAIL"),
-    "stockout risk computable": ("(select count(*) from silver_pharmacy_inventory where qty_on_hand_int <= reorder_point_int) > 0", "WARN"),
-    "propofol and dexmedetomidine not scheduled": ("(select count(*) from silver_pharmacy_inventory where regexp_matches(lower(drug_name), 'propofol|dexmedetomidine') and dea_schedule is not null) = 0", "FAIL"),
+    "denial_rate_in_band": (f"(select avg(cast(denied as int)) from {_ungated(CLAIMS)}) between 0.08 and 0.16", "WARN"),
+    "some_claims_paid": (f"(select count(days) from {_ungated(CLAIMS)}) > 0", "FAIL"),
+    "reason_16_has_remark": ("(select count(*) from silver_remit_adjustment where reason_code = '16' and is_denial_bool and remark_code is null) = 0", "FAIL"),
+    "reason_15_absent": ("(select count(*) from silver_remit_adjustment where reason_code = '15') = 0", "FAIL"),
+    "some_stock_at_risk": ("(select count(*) from silver_pharmacy_inventory where qty_on_hand_int <= reorder_point_int) > 0", "WARN"),
+    "sedatives_unscheduled": ("(select count(*) from silver_pharmacy_inventory where regexp_matches(lower(drug_name), 'propofol|dexmedetomidine') and dea_schedule is not null) = 0", "FAIL"),
 }
 
 
