@@ -87,6 +87,7 @@ def running_total(df: DataFrame, value: str, tiebreak: Sequence[str], name: str)
 
 def abc_classes(df: DataFrame, key: str, value: str, a: float = 0.80, b: float = 0.95) -> DataFrame:
     """Pareto classes by cumulative share of value, largest first."""
+    df = settle(df)  # read for the sample, the range totals, the sums and the grand total
     total = df.agg(F.sum(value).alias("_total"))
     share = running_total(df, value, [key], "cumulative_value").withColumn(
         "cumulative_share",

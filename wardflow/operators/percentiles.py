@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardflow.operators.joins import group_join
+from wardflow.session import settle
 
 
 def _band(value: Column) -> Column:
@@ -75,7 +76,11 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,
 
 def medians_with(df: DataFrame, keys: Sequence[str], value: str,
                  wanted: Mapping[str, float], *aggregates: Column) -> DataFrame:
-    """Percentiles joined to other aggregates of the same groups (NULL keys included)."""
+    """Percentiles joined to other aggregates of the same groups (NULL keys included).
+
+    The rows are read by both, so they are computed once and written.
+    """
+    df = settle(df)
     ranks = exact_percentiles(df, keys, value, wanted)
     plain = df.groupBy(*keys).agg(*aggregates) if keys else df.agg(*aggregates)
     if not keys:

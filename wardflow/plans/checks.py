@@ -11,6 +11,7 @@ from wardflow.operators.audit import Relation, band_check, check, orphan_matrix,
 from wardflow.operators.reconcile import census_by_week, census_match_rate
 from wardflow.plans import kpi_beds, kpi_claims, kpi_ed, kpi_pharmacy, kpi_readmissions, kpi_staffing
 from wardflow.plans.star import LINKS
+from wardflow.session import settle
 
 # Bands in which a figure is plausible.
 OCCUPANCY_BAND = (0.55, 0.95)
@@ -69,7 +70,18 @@ def census_reconciliation(beds: DataFrame, weekly: DataFrame) -> DataFrame:
 
 
 def run_checks(tables: Callable[[str], DataFrame]) -> DataFrame:
-    """One row per check: name, PASS / WARN / FAIL, detail.  ``tables`` supplies Silver bases."""
+    """One row per check: name, PASS / WARN / FAIL, detail.  ``tables`` supplies Silver bases.
+
+    Several checks look at each table, so a table is computed once and written.
+    """
+    written: dict[str, DataFrame] = {}
+    supplied = tables
+
+    def tables(name: str) -> DataFrame:
+        if name not in written:
+            written[name] = settle(supplied(name))
+        return written[name]
+
     ed, beds, roster, units = tables("ed_stays"), tables("bed_hourly"), tables("staff_schedules"), tables("unit")
     admissions, adjustments, inventory = tables("admissions"), tables("remit_adjustment"), tables("pharmacy_inventory")
     claims = kpi_claims.claims_kpis(kpi_claims.with_remit(tables("claim_header"), tables("remit")))

@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 from wardflow.operators.aggregates import both_sides, ratio
 from wardflow.operators.joins import attribute_to_index
 from wardflow.operators.neighbours import neighbour
+from wardflow.session import settle
 
 FOLLOW_UP_DAYS = 30
 MIN_INDEX = 30
 # Stays that are no index admission.
 AGAINST_ADVICE = "AGAINST ADVICE"
 PSYCHIATRIC = "PSYCH"
+HRRP_COLUMNS = ["encounter_id", "index_encounter_id", "dischtime_ts", "hospital_expire_flag_bool", "discharge_location",
+                "hospital_service", "is_readmission_bool", "is_planned_readmission_bool"]
 
 
 def eligible_index(admissions: DataFrame) -> DataFrame:
@@ -43,7 +46,11 @@ def linked_readmissions(admissions: DataFrame) -> DataFrame:
 
 
 def hrrp(admissions: DataFrame, min_index: int = MIN_INDEX) -> DataFrame:
-    """The rate, or NULL ("not computable") on fewer than ``min_index`` index stays."""
+    """The rate, or NULL ("not computable") on fewer than ``min_index`` index stays.
+
+    Four figures come from the admissions, so the few columns they need are computed once and written.
+    """
+    admissions = settle(admissions.select(*HRRP_COLUMNS))
     base = admissions.agg(F.max("dischtime_ts").alias("window_end"))
     out = (base.withColumn("index_admissions", eligible_index(admissions).agg(F.count(F.lit(1))).scalar())
            .withColumn("unplanned_readmissions", unplanned(admissions).agg(F.count(F.lit(1))).scalar())
