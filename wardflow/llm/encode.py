@@ -86,7 +86,7 @@ class Remembered:
 class Encoder:
     """Little-endian 32-bit ids of texts, without special tokens added."""
 
-    def __init__(self, path: str, most: int = 350_000):
+    def __init__(self, path: str, most: int = 500_000):
         quiet_tokenizers()
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
