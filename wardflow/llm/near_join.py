@@ -10,8 +10,9 @@ under several orders, and a pair is compared in full only if it passes all of th
 
 Equal sets are one node. Groups of thousands of near copies share all tokens, and their pairs are never listed: in a bucket
 of more than ``SMALL`` documents each is compared with a hub, then what is not yet connected with further hubs, and only pairs that are
-still in different components are compared directly, less those that distances to a common hub rule out (the Jaccard
-distance is a metric). So no link that would join two components is missed. Components and links stay distributed.
+still in different components are compared directly, less those that sizes and places of their first common token, or distances to a
+common hub (the Jaccard distance is a metric), rule out. So no link that would join two components is missed. Components and links
+stay distributed.
 """
 
 from __future__ import annotations
@@ -158,19 +159,26 @@ def _class_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def buckets(sets: DataFrame) -> DataFrame:
-    """``token, node, n``: each set under the tokens of its B-prefix that others have.
+    """``token, node, n, pos``: each set under the tokens of its B-prefix that others have, with their place in order B.
 
     Tokens of one set alone come first in order B and make no bucket; where they fill the prefix the set has no partner.
     """
     ranked = (_shared_tokens(sets).groupBy("node", "n")
               .agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("common"))
               .withColumn("take", F.size("common") - _least(F.col("n")) + 1).filter("take > 0"))
-    return settle(ranked.select("node", "n", F.explode(F.slice("common", 1, F.col("take"))).alias("t"))
-                  .select("t.token", "node", "n"))
+    return settle(ranked.select("node", "n", (F.col("n") - F.size("common")).alias("alone"),
+                                F.posexplode(F.slice("common", 1, F.col("take"))).alias("at", "t"))
+                  .select("t.token", "node", "n", (F.col("alone") + F.col("at")).alias("pos")))
 
 
-def _close_in_size(a: str, b: str) -> Column:
-    return F.least(F.col(a), F.col(b)) * 5 >= F.greatest(F.col(a), F.col(b)) * 4
+def _may_link() -> Column:
+    """Whether sizes and places allow a link between sets a and b that have a token at ``pos_a`` and ``pos_b`` of order B.
+
+    Asked of their first common token: before it nothing is shared, so they share at most what is left from it on, and must
+    share 4/9 of the sum of their sizes. A pair that fails there fails in later buckets too, and a linked pair passes there.
+    """
+    left = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b"))
+    return (left * 9 >= (F.col("n_a") + F.col("n_b")) * 4) & (F.least("n_a", "n_b") * 5 >= F.greatest("n_a", "n_b") * 4)
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -212,9 +220,9 @@ def connected(sets: DataFrame) -> DataFrame:
     release(sets.sparkSession)
     counted = settle(near.join(near.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1").hint("merge"), "token"))
     few, many = counted.filter(F.col("c") <= SMALL), counted.filter(F.col("c") > SMALL)
-    other = few.select("token", F.col("node").alias("b"), F.col("n").alias("n_b"))
-    listed = (few.withColumnsRenamed({"node": "a", "n": "n_a"}).join(other, "token")
-              .filter((F.col("a") < F.col("b")) & _close_in_size("n_a", "n_b")).select("a", "b"))
+    other = few.select("token", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("pos").alias("pos_b"))
+    listed = (few.withColumnsRenamed({"node": "a", "n": "n_a", "pos": "pos_a"}).join(other, "token")
+              .filter((F.col("a") < F.col("b")) & _may_link()).select("a", "b"))
 
     labels = settle(counted.select("node").distinct().select("node", F.col("node").alias("component")))
     nodes, checked, open_ = labels, None, many
@@ -227,9 +235,10 @@ def connected(sets: DataFrame) -> DataFrame:
                        .agg(F.max(F.struct("m", "component")).alias("top")).select("token", F.col("top.component").alias("top")))
             placed = placed.join(largest, "token")
             pool, placed = placed.filter("component = top"), placed.filter("component <> top")
-        hubs = pool.groupBy("token").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "n")).alias("hub")).select(
-            "token", F.col("hub.node").alias("b"), F.col("hub.n").alias("n_b"))
-        stars = (placed.withColumnsRenamed({"node": "a", "n": "n_a"}).join(hubs, "token").filter("a <> b")
+        hubs = pool.groupBy("token").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "n", "pos")).alias("hub")).select(
+            "token", F.col("hub.node").alias("b"), F.col("hub.n").alias("n_b"), F.col("hub.pos").alias("pos_b"))
+        stars = (placed.withColumnsRenamed({"node": "a", "n": "n_a", "pos": "pos_a"}).join(hubs, "token")
+                 .filter((F.col("a") != F.col("b")) & _may_link())
                  .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
         pairs = (listed.union(stars) if turn == 0 else stars).distinct()
         if checked is not None:
@@ -262,11 +271,11 @@ def _across(open_: DataFrame, checked: DataFrame) -> DataFrame:
     known = checked.filter("distance is not null")
     far = known.select("a", "b", "distance").union(known.select("b", "a", "distance")).toDF("node", "hub", "distance")
     open_ = settle(open_.join(hub, "token").join(far, ["node", "hub"], "left"))
-    left = open_.filter("component <> top").select("token", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"),
-                                                   F.col("distance").alias("d_a"))
-    right = open_.select("token", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"), F.col("distance").alias("d_b"))
+    side = lambda df, x: df.select("token", F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("pos").alias(f"pos_{x}"),
+                                   F.col("component").alias(f"c_{x}"), F.col("distance").alias(f"d_{x}"))
     possible = F.coalesce(F.abs(F.col("d_a") - F.col("d_b")) <= 0.2 + 1e-9, F.lit(True))
-    return (left.join(right, "token").filter((F.col("c_a") != F.col("c_b")) & _close_in_size("n_a", "n_b") & possible)
+    return (side(open_.filter("component <> top"), "a").join(side(open_, "b"), "token")
+            .filter((F.col("c_a") != F.col("c_b")) & _may_link() & possible)
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
             .join(checked.select("a", "b"), ["a", "b"], "left_anti"))
 
