@@ -1,7 +1,8 @@
 """From raw documents to packed training sequences: five stages, each written as Parquet and read again by the next.
 
 A stage takes ``(spark, docs, sf_dir)`` and returns documents it keeps with the columns of ``documents``; the last returns
-the packed pieces. What a stage rejects is gone for the next one.
+the packed pieces. What a stage rejects is gone for the next one. Stages decide per row: rows are numbered where a decision is
+joined back, so that repeated and null ids do not share one.
 """
 
 from __future__ import annotations
@@ -10,16 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardflow.llm import decontaminate, exact_dedup, near_join, packing, quality
-from wardflow.llm.common import table, vocabulary
+from wardflow.llm.common import ROW, numbered, only, table, vocabulary
 from wardflow.session import settle
 
 
-def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Documents whose id is among ``ids``; always by a sort-merge join, as the list grows with the corpus."""
-    kept = ids.select(F.col(ids.columns[0]).alias("_kept")).distinct().hint("merge")
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-
-
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rule ensemble scores 0.7 or more; it learns from the labels of documents that came in."""
     model = quality.train(docs, table(spark, sf_dir, "labels"))
@@ -27,20 +22,23 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def no_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the one with most code points, then the smallest id."""
+    """Of equal texts the one row with most code points, then the smallest id."""
     return exact_dedup.keep_one(docs)
 
 
 def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near duplicates the document with the smallest id."""
-    found = near_join.near_duplicates(docs)
-    return _only(docs, found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id"))
+    """Of each component of near duplicates the one row with the smallest id, a null id being the largest; every row without words."""
+    rows = numbered(docs)
+    found = near_join.near_duplicates(rows, ROW)
+    alone = F.when(F.col("component").isNull(), F.col(ROW)).alias("alone")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", ROW)).alias("first")
+    return only(rows, found.groupBy("component", alone).agg(first).select(f"first.{ROW}"))
 
 
 def no_benchmark_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any occurrence of a benchmark window."""
-    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
-    return _only(docs, found.filter(~F.col("contaminated")).select("doc_id"))
+    rows = numbered(docs)
+    return only(rows, decontaminate.contamination(rows, table(spark, sf_dir, "benchmark"), row_col=ROW).filter(~F.col("contaminated")))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,8 +8,11 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardflow.session import settle
+
 WHITE = " \t\n\x0b\x0c\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+ROW = "_row_of_stage"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -26,6 +29,16 @@ def ascii_lower(column: Column) -> Column:
     return F.translate(column, UPPER, UPPER.lower())
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """The rows, each with a number of its own in ``ROW``; written out, so that a row has the same number whenever it is read."""
+    return settle(docs.withColumn(ROW, F.monotonically_increasing_id()))
+
+
+def only(rows: DataFrame, kept: DataFrame) -> DataFrame:
+    """The numbered rows whose ``ROW`` is among ``kept``, without it; always by a sort-merge join, as the list grows with the corpus."""
+    return rows.join(kept.select(ROW).hint("merge"), ROW, "left_semi").drop(ROW)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark remove the shuffle files of finished steps.
 

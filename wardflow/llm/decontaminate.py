@@ -39,17 +39,17 @@ def windows(items: DataFrame, n: int = WINDOW) -> tuple[DataFrame, DataFrame]:
     return terms, of_items
 
 
-def build_index(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
+def build_index(docs: DataFrame, vocabulary: DataFrame, row_col: str | None = None) -> DataFrame:
     """``term, doc, pos`` of every occurrence of the words in ``vocabulary`` (``word, term``).
 
-    Each input row gets a number ``doc``; its row with ``term`` -1 carries ``doc_id`` and, as ``pos``, the number of words.
+    Each input row gets a number ``doc``, that of ``row_col`` if given; its row with ``term`` -1 carries ``doc_id`` and, as ``pos``, the number of words.
     The vocabulary joins without a hint: Spark broadcasts it if its size allows and shuffles otherwise.
     """
     spark = docs.sparkSession
     known = vocabulary.unionByName(spark.createDataFrame([(END, -1)], "word string, term long"))
     known = settle(known.coalesce(1))
-    entries = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
-               .withColumn("doc", F.monotonically_increasing_id())
+    number = F.monotonically_increasing_id() if row_col is None else F.col(row_col)
+    entries = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"), number.alias("doc"))
                .select("doc", "doc_id", F.posexplode(F.concat(words(F.col("text")), F.array(F.lit(END)))).alias("pos", "word")))
     return settle(entries.join(known, "word").select(
         "term", "doc", "pos", F.when(F.col("term") == -1, F.col("doc_id")).alias("doc_id")))
@@ -103,16 +103,17 @@ def proximity_matches(index: DataFrame, phrases: DataFrame, within: int) -> Data
     return met.filter(F.col("met") == F.col("terms") - 1).select("window", "doc", "near")
 
 
-def contamination(docs: DataFrame, items: DataFrame, n: int = WINDOW) -> DataFrame:
+def contamination(docs: DataFrame, items: DataFrame, n: int = WINDOW, row_col: str | None = None) -> DataFrame:
     """``doc_id, n_words, n_hit, n_items, items_sha256, contaminated`` of every document row.
 
     A word inside any occurrence of a window is hit. ``items_sha256`` is of the item ids with occurring windows, sorted as
     strings and joined by commas. Without items, or without words, nothing is hit. Null item ids take part as an empty id.
+    Where ``row_col`` numbers the rows, it is returned too.
     """
     of_phrases, of_items = windows(items.select(F.col("item_id"), F.col("text")), n)
     vocabulary = settle(of_phrases.select("word").distinct().select("word", F.monotonically_increasing_id().alias("term")))
     phrases = of_phrases.join(vocabulary, "word").select("window", "size", "offset", "term")
-    index = build_index(docs, vocabulary)
+    index = build_index(docs, vocabulary, row_col)
     found = phrase_matches(index, phrases)
     hit = (found.select("doc", F.explode(F.sequence("start", F.col("start") + F.col("size") - 1)).alias("pos")).distinct()
            .groupBy("doc").agg(F.count("*").alias("n_hit")))
@@ -124,7 +125,8 @@ def contamination(docs: DataFrame, items: DataFrame, n: int = WINDOW) -> DataFra
     return (rows.join(hit, "doc", "left").join(whose, "doc", "left")
             .select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
                     F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
-                    F.sha2(F.array_join(F.coalesce("items", none), ","), 256).alias("items_sha256"))
+                    F.sha2(F.array_join(F.coalesce("items", none), ","), 256).alias("items_sha256"),
+                    *[F.col("doc").alias(c) for c in [row_col] if c])
             .withColumn("contaminated", F.col("n_hit") > 0))
 
 

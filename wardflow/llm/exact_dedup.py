@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardflow.llm.common import WHITE
+from wardflow.llm.common import ROW, WHITE, numbered, only
 from wardflow.session import settle
 
 MEMBERS_PER_SALT = 4096
@@ -34,63 +34,67 @@ def _stays() -> Column:
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 digest: Callable[[Column], Column] = digest128) -> DataFrame:
+                 digest: Callable[[Column], Column] = digest128, row_col: str | None = None) -> DataFrame:
     """One row per input row: ``doc_id, keep_id, group_size, kept, text_sha256``.
 
     Of equal texts exactly one row is kept, also where a row is given twice. Empty and null texts form one group.
     A null id sorts as the largest. Other columns of the input, whatever their names, are not read.
-    An empty table gives an empty result.
+    An empty table gives an empty result. Where ``row_col`` numbers the rows, it is returned too, and rows are told apart by it
+    among colliding digests as well.
     """
-    raw = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(2**62)).alias("id"), F.col(text_col).alias("text"))
+    row = [] if row_col is None else ["row"]
+    raw = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(2**62)).alias("id"), F.col(text_col).alias("text"),
+                      *[F.col(row_col).alias(r) for r in row])
     bare = raw.select("id", F.coalesce(F.char_length("text"), F.lit(0)).alias("n_chars"),
-                      without_space(F.col("text")).alias("bare"))
+                      without_space(F.col("text")).alias("bare"), *row)
     keyed = settle(bare.select("id", "n_chars", digest(F.col("bare").cast("binary")).alias("key"),
                                F.sha2("bare", 256).alias("text_sha256"),
-                               F.monotonically_increasing_id().alias("row")))
+                               *(row or [F.monotonically_increasing_id().alias("row")])))
     groups = keyed.groupBy("key").agg(F.count("*").alias("n"), _stays().alias("stays"))
     several = settle(groups.filter("n > 1").select(
         "key", "n", (-F.col("stays.minus_id")).alias("keep_id"), F.col("stays.n_chars").alias("keep_chars"),
         (-F.col("stays.minus_row")).alias("keep_row")))
 
     differing = settle(_differing(bare, several, digest))
+    which = row or ["id", "n_chars"]
     own = differing.groupBy("key", "bare").agg(
-        F.count("*").alias("own_n"), F.min(F.struct((-F.col("n_chars")).alias("m"), F.col("id"))).alias("own"))
+        F.count("*").alias("own_n"), F.min(F.struct((-F.col("n_chars")).alias("m"), F.col("id"), *row)).alias("own"))
     apart = (differing.join(own, ["key", "bare"])
-             .select("key", "id", "n_chars", "own_n", F.col("own.id").alias("own_id")).distinct())
+             .select("key", *which, "own_n", F.col("own.id").alias("own_id"), *[F.col("own.row").alias("own_row") for _ in row]).distinct())
     fewer = differing.groupBy("key").agg(F.count("*").alias("gone"))
 
     all_rows = (keyed.join(several, "key", "left").join(fewer, "key", "left")
-                .join(apart, ["key", "id", "n_chars"], "left"))
+                .join(apart, ["key", *which], "left"))
     alone = F.col("n").isNull()
     keep_id = F.when(F.col("own_n").isNotNull(), F.col("own_id")).when(alone, F.col("id")).otherwise(F.col("keep_id"))
     size = F.when(F.col("own_n").isNotNull(), F.col("own_n")).when(alone, F.lit(1)).otherwise(
         F.col("n") - F.coalesce("gone", F.lit(0)))
-    kept = F.when(F.col("own_n").isNotNull(), F.col("own_id") == F.col("id")).otherwise(
+    kept = F.when(F.col("own_n").isNotNull(), F.col("own_row") == F.col("row") if row else F.col("own_id") == F.col("id")).otherwise(
         alone | (F.col("row") == F.col("keep_row")))
     shown = lambda c: F.when(c < 2**62, c)
     return all_rows.select(shown(F.col("id")).alias("doc_id"), shown(keep_id).alias("keep_id"),
-                           size.cast("long").alias("group_size"), kept.alias("kept"), "text_sha256")
+                           size.cast("long").alias("group_size"), kept.alias("kept"), "text_sha256", *[F.col(r).alias(row_col) for r in row])
 
 
 def _differing(bare: DataFrame, several: DataFrame, digest: Callable[[Column], Column]) -> DataFrame:
     """Members of groups whose bytes are not those of the row that stays."""
+    row = [c for c in bare.columns if c == "row"]
     salts = F.ceil(F.col("n") / MEMBERS_PER_SALT)
+    stays = F.col("row") == F.col("keep_row") if row else (F.col("id") == F.col("keep_id")) & (F.col("n_chars") == F.col("keep_chars"))
     members = settle(
         bare.withColumn("key", digest(F.col("bare").cast("binary"))).join(several.hint("merge"), "key")
         .select("key", "id", "n_chars", "bare", "n",
-                ((F.col("id") == F.col("keep_id")) & (F.col("n_chars") == F.col("keep_chars"))).alias("keeper"),
-                F.pmod(F.xxhash64("id"), salts).cast("int").alias("salt")))
+                stays.alias("keeper"), F.pmod(F.xxhash64(*(row or ["id"])), salts).cast("int").alias("salt"), *row))
     keepers = (members.filter("keeper").groupBy("key").agg(F.first("bare").alias("kept_text"), F.first("n").alias("n"))
                .select("key", "kept_text", F.explode(F.sequence(F.lit(0), (salts - 1).cast("int"))).alias("salt")))
     return (members.filter("not keeper").join(keepers, ["key", "salt"])
-            .filter(F.col("bare") != F.col("kept_text")).select("key", "id", "n_chars", "bare"))
+            .filter(F.col("bare") != F.col("kept_text")).select("key", "id", "n_chars", "bare", *row))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with all their columns. A row given twice stays twice: it is one document."""
-    stay = exact_groups(docs).filter("kept").select(F.col("doc_id").alias("_id"), F.unhex("text_sha256").alias("_sha")).distinct()
-    return docs.join(stay.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id"))
-                     & (F.unhex(F.sha2(without_space(F.col("text")), 256)) == F.col("_sha")), "left_semi")
+    """The documents that stay, with all their columns: of equal texts exactly one row, also where ids repeat or are null."""
+    rows = numbered(docs)
+    return only(rows, exact_groups(rows, row_col=ROW).filter("kept"))
 
 
 ORACLE = r"""

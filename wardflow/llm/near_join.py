@@ -97,7 +97,9 @@ def _signature(tokens: np.ndarray) -> bytes:
 
 
 def _prefix_sets(docs: DataFrame) -> DataFrame:
-    """``SETS`` of every row: size and signature of its set, and the A-prefix of its tokens."""
+    """``SETS`` of every row: size and signature of its set, and the A-prefix of its tokens; then its ``row``, if it has one."""
+    more = docs.columns[2:]
+
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
@@ -110,9 +112,9 @@ def _prefix_sets(docs: DataFrame) -> DataFrame:
                 flat = np.concatenate([t for _, _, t in found]).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([n for n, _, _ in found], pa.int32()), pa.array([s for _, s, _ in found], pa.binary()),
-                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["doc_id", "n", "sig", "tokens"])
+                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), *part.columns[2:]], ["doc_id", "n", "sig", "tokens", *more])
 
-    return docs.mapInArrow(make, SETS)
+    return docs.mapInArrow(make, ", ".join([SETS, *[f"{c} long" for c in more]]))
 
 
 def _shared_tokens(sets: DataFrame) -> DataFrame:
@@ -123,16 +125,20 @@ def _shared_tokens(sets: DataFrame) -> DataFrame:
 
 
 def candidates(docs: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
-    """``node, n, tokens`` of the sets that pass order A: they share at least ceil(0.04 n) tokens of their A-prefix."""
-    first = (sets.join(classes.select("node", F.col("sig").alias("_sig"), F.col("first").alias("_first")).hint("merge"),
-                       (F.col("sig") == F.col("_sig")) & (F.col("doc_id") == F.col("_first")))
+    """``node, n, tokens`` of the sets that pass order A: they share at least ceil(0.04 n) tokens of their A-prefix.
+
+    A class is met again at its first row: by number where rows have one, else by id.
+    """
+    at, of = ("row", "first_row") if "row" in docs.columns else ("doc_id", "first")
+    first = (sets.join(classes.select("node", F.col("sig").alias("_sig"), F.col(of).alias("_first")).hint("merge"),
+                       (F.col("sig") == F.col("_sig")) & (F.col(at) == F.col("_first")))
              .select("node", "n", "tokens").filter("n > 0"))
     enough = (_shared_tokens(first).groupBy("node", "n").agg(F.count("*").alias("shared"))
               .filter(F.col("shared") >= F.greatest(F.lit(1), F.floor((F.col("n") + 24) / 25))))
-    chosen = settle(enough.select("node").join(classes.hint("merge"), "node").select("node", "sig", "first"))
+    chosen = settle(enough.select("node").join(classes.hint("merge"), "node").select("node", "sig", of))
     del first, enough
     release(docs.sparkSession)
-    texts = docs.join(chosen.select(F.col("first").alias("doc_id"), "node", F.col("sig").alias("class")).hint("merge"), "doc_id")
+    texts = docs.join(chosen.select(F.col(of).alias(at), "node", F.col("sig").alias("class")).hint("merge"), at)
     out = settle(texts.select("text", "node", "class").mapInArrow(_class_sets, "node long, n int, tokens array<long>"))
     release(docs.sparkSession)
     return out
@@ -280,29 +286,38 @@ def _across(open_: DataFrame, checked: DataFrame) -> DataFrame:
             .join(checked.select("a", "b"), ["a", "b"], "left_anti"))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, row_col: str | None = None) -> DataFrame:
     """``doc_id, n_shingles, component_id, class_id`` of every row.
 
     ``class_id`` is the smallest id with the same set; ``component_id`` the smallest reachable by links. Documents without words
     (null, empty, white space) link with nothing. Rows that share an id are classified each by its own text, and a null id is null
     in the result (inside, the largest). Tokens are 64-bit hashes: within a pair two shingles meet by chance with a probability under 1e-10.
+
+    Where ``row_col`` numbers the rows, it is returned too, and so is ``component``: a number that no two components share, even if
+    their ids do; null without words.
     """
+    row = [] if row_col is None else ["row"]
     none = F.lit(2**62)
-    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), none).alias("doc_id"), F.col("text").alias("text"))
+    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), none).alias("doc_id"), F.col("text").alias("text"),
+                       *[F.col(row_col).cast("long").alias(r) for r in row])
     sets = settle(_prefix_sets(docs))
-    classes = settle(sets.filter("n > 0").groupBy("sig").agg(F.min("doc_id").alias("first"))
-                     .select("sig", "first", F.monotonically_increasing_id().alias("node")))
+    least = F.min(F.struct("doc_id", "row") if row else "doc_id").alias("first")
+    firsts = [F.col("first.doc_id").alias("first"), F.col("first.row").alias("first_row")] if row else ["first"]
+    classes = settle(sets.filter("n > 0").groupBy("sig").agg(least).select("sig", *firsts, F.monotonically_increasing_id().alias("node")))
     chosen = candidates(docs, classes, sets)
     # Nodes are numbered without regard to ids, so a component takes the smallest id among its classes.
     release(docs.sparkSession)
     grouped = connected(chosen).join(classes, "node").select("sig", "component", "first")
     lowest = grouped.groupBy("component").agg(F.min("first").alias("component_id"))
-    found = grouped.join(lowest, "component").select("sig", "component_id")
+    whole = ["component"] if row else []
+    found = grouped.join(lowest, "component").select("sig", "component_id", *whole)
     by_sig = settle(classes.join(found, "sig", "left").select(
-        F.col("sig"), F.col("first").alias("class_id"), F.coalesce("component_id", "first").alias("component_id")))
+        F.col("sig"), F.col("first").alias("class_id"), F.coalesce("component_id", "first").alias("component_id"),
+        *[F.coalesce(c, "node").alias(c) for c in whole]))
     shown = lambda c: F.when(c < none, c)
     alone = F.col("n") == 0
-    return (sets.select("doc_id", "n", "sig").join(by_sig, "sig", "left")
+    return (sets.select("doc_id", "n", "sig", *row).join(by_sig, "sig", "left")
             .select(shown(F.col("doc_id")).alias("doc_id"), F.col("n").cast("long").alias("n_shingles"),
                     shown(F.when(alone, F.col("doc_id")).otherwise(F.col("component_id"))).alias("component_id"),
-                    shown(F.when(alone, F.col("doc_id")).otherwise(F.col("class_id"))).alias("class_id")))
+                    shown(F.when(alone, F.col("doc_id")).otherwise(F.col("class_id"))).alias("class_id"),
+                    *[F.col(r).alias(row_col) for r in row], *whole))
