@@ -1,6 +1,6 @@
 """Personal data by a semi-Markov conditional random field over candidate spans.
 
-A text is cut around characters that personal data has (digits, ``@``, ``+``): everything else is outside. In each zone, atoms
+A text is cut around what personal data has (digits, ``@``, ``+``, ``(at)`` in any case): everything else is outside. In each zone, atoms
 (runs of letters, runs of digits, single other characters) are the positions; a segment is one outside atom, or up to ``MOST_ATOMS``
 atoms taken together as an email, an ip address, a card or a phone number. Features look at the whole segment and what stands
 around it, so boundaries and types are chosen jointly, by dynamic programming over segments of bounded length: the best
@@ -81,14 +81,14 @@ def base_spans(text: str) -> list[Span]:
 
 # ---- the field ----
 
-_SIGNAL = re.compile(r"[0-9@+]")
+_SIGNAL = re.compile(r"[0-9@+]|\(at\)", re.I)
 _ATOM = re.compile(r"[^\W\d_]+|[0-9]+|\s+|.", re.S)
 _REACH = 40
 _NUMERIC = frozenset("0123456789+-.()/ \t\n")
 
 
 def zones(text: str) -> list[tuple[int, int]]:
-    """Stretches that hold a digit, ``@`` or ``+`` and what stands within a few dozen characters, cut at white space or symbols."""
+    """Stretches that hold a digit, ``@``, ``+`` or ``(at)`` and what stands within a few dozen characters, cut at white space or symbols."""
     out: list[list[int]] = []
     for m in _SIGNAL.finditer(text):
         start, end = max(0, m.start() - _REACH), min(len(text), m.end() + _REACH)
@@ -122,7 +122,7 @@ def features(zone: str, start: int, end: int) -> list[str] | None:
         cues.append(f"phone:{text[0] == '+' and 10 <= n <= 15}")
     if ats:
         tail = re.split(r"@|\(at\)", text, maxsplit=1, flags=re.I)[1]
-        cues += [f"domain:{bool(re.fullmatch(r'[A-Za-z0-9-]+((\.|\(dot\))[A-Za-z0-9-]+)+', tail))}", f"head:{text[0].isalnum()}"]
+        cues += [f"domain:{bool(re.fullmatch(r'[A-Za-z0-9-]+((\.|\(dot\))[A-Za-z0-9-]+)+', tail, re.I | re.A))}", f"head:{text[0].isalnum()}"]
     if set(text) - set("0123456789+-.() @_%") and not ats:
         cues.append("other")
     return cues
@@ -269,13 +269,13 @@ def fit(texts: Sequence[str], seed: int = 5, rounds: int = 3, most_zones: int =
 
 
 def train(docs: DataFrame, max_rows: int = TRAIN_ROWS) -> SemiCRF:
-    """Fit on at most ``max_rows`` short texts with a digit, ``@`` or ``+``: those with the smallest hash of their id and text.
+    """Fit on at most ``max_rows`` short texts with a digit, ``@``, ``+`` or ``(at)``: those with the smallest hash of their id and text.
 
     Such texts are counted first, and only one in so many by hash is ordered, so that what tasks send to the driver is bounded by
     ``max_rows`` and not by the number of tasks.
     """
     fit_for = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("hash")).filter(
-        F.col("text").rlike("[0-9@+]") & (F.char_length("text") < 4000))
+        F.col("text").rlike(r"(?i)[0-9@+]|\(at\)") & (F.char_length("text") < 4000))
     one_in = max(1, fit_for.count() // (2 * max_rows))
     sample = fit_for.filter(F.pmod("hash", F.lit(one_in)) == 0).orderBy("hash", "doc_id").limit(max_rows)
     return fit([r["text"] for r in sample.collect()])
