@@ -29,7 +29,7 @@ CONTAINER_SHARE = 0.8
 
 # Element classes of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = "script|style|noscript|template|title|textarea|iframe|svg|math|object|canvas|select|video|audio"
+RAW = "script|style|noscript|template|title|textarea|iframe"
 BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form "
                   "h1 h2 h3 h4 h5 h6 head header hgroup html legend li main menu nav ol p pre section summary table tbody td tfoot th "
                   "thead tr ul".split())
@@ -37,18 +37,20 @@ LEAF = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre blockquote td th figcaption u
 CLOSED_BY = {"p": BLOCK, "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]),
              "tr": frozenset(["tr", "tbody", "tfoot"]), "td": frozenset(["td", "th", "tr", "tbody", "tfoot"]), "th": frozenset(["td", "th", "tr", "tbody", "tfoot"])}
 # Names of parts of a page that are not its article.
-APART_TAGS = frozenset("nav footer aside form head menu dialog button label legend fieldset".split())
+EMBEDDED = frozenset("svg object canvas select video audio".split())
+APART_TAGS = EMBEDDED | frozenset("nav footer aside form head menu dialog button label legend fieldset".split())
 APART_NAMES = frozenset("ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr "
                         "notice notices alert popup modal overlay newsletter subscribe subscription signup paywall menu navbar nav navigation "
                         "breadcrumb breadcrumbs sidebar widget related recommended share sharing social comment comments reply replies "
                         "respond discussion disqus footer header masthead login search pagination pager toolbar skip".split())
 
 _ATTRIBUTES = r"""(?:"[^"]*"|'[^']*'|[^'">])*+"""
-_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?P<raw>{RAW})\b(?:{_ATTRIBUTES}>|[^>]*>).*?(?:</(?P=raw)\s*>|\Z)"
+_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?P<raw>{RAW})(?=[\s/>])(?:{_ATTRIBUTES}>|[^>]*>).*?(?:</(?P=raw)\s*>|\Z)"
                     rf"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attributes>{_ATTRIBUTES}|[^>]*)>|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^>]*\Z", re.S | re.I)
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _WORD = re.compile(r"[a-z]+|[0-9]+")
 _WHITE = re.compile(r"\s+")
+_VALUE_WITH_SLASH = re.compile(r"""=\s*[^\s"'=]*/\Z""")
 
 
 class Page:
@@ -57,8 +59,9 @@ class Page:
     def __init__(self, source: str | None):
         self.blocks: list[list[tuple[tuple[str, ...], str]]] = [[]]
         self.tree = _entry("")
-        stack: list[tuple[str, str, dict]] = [("", "", self.tree)]  # tag, key, entry
+        stack: list[tuple[str, str, dict, int]] = [("", "", self.tree, -1)]  # tag, key, entry, place of an inline tag
         path: tuple[str, ...] = ()
+        pairs: dict[int, int] | None = None
         at, links, source = 0, 0, source or ""
 
         def leave(depth: int) -> None:
@@ -87,7 +90,17 @@ class Page:
             elif tag == "br":
                 self.blocks.append([])
             elif tag not in BLOCK:
-                continue
+                if m.group("end"):
+                    start = pairs.get(m.start()) if pairs else None
+                    depth = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][3] == start), 0) if start is not None else 0
+                    if depth:  # blocks left open in it go on without it
+                        del stack[depth]
+                        path = path[:depth - 1] + path[depth:]
+                elif tag in EMBEDDED and not _empty(m.group("attributes")):
+                    pairs = _closed(source) if pairs is None else pairs
+                    if m.start() in pairs:
+                        stack.append((tag, tag, _entry(tag), m.start()))
+                        path = (*path, tag)
             elif m.group("end"):
                 depth = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == tag), 0)
                 if depth:
@@ -98,7 +111,7 @@ class Page:
                 key, entry = _key(tag, m.group("attributes")), None
                 entry = _entry(key)
                 stack[-1][2]["e"].append(entry)
-                stack.append((tag, key, entry))
+                stack.append((tag, key, entry, -1))
                 path = (*path, key)
                 self.blocks.append([])
                 if tag in ("div", "section", "article", "body"):
@@ -115,6 +128,34 @@ class Page:
         return "\n".join(out)
 
 
+def _empty(attributes: str | None) -> bool:
+    """Whether a tag ends in ``/>``; a slash that ends an unquoted value does not count."""
+    return bool(attributes) and attributes.endswith("/") and not _VALUE_WITH_SLASH.search(attributes)
+
+
+def _closed(source: str) -> dict[int, int]:
+    """Places of the inline tags that are closed inside the block they stand in, and of their end tags, each by the other."""
+    pairs: dict[int, int] = {}
+    stack: list[tuple[str, int]] = []
+    count: dict[str, int] = {}
+    for m in _TOKEN.finditer(source):
+        tag = (m.group("tag") or "").lower()
+        if not tag or tag in VOID:
+            continue
+        if not m.group("end"):
+            if tag in BLOCK or not _empty(m.group("attributes")):
+                stack.append((tag, m.start()))
+                count[tag] = count.get(tag, 0) + 1
+        elif count.get(tag):
+            depth = next(k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag)
+            if tag not in BLOCK:
+                pairs[stack[depth][1]], pairs[m.start()] = m.start(), stack[depth][1]
+            for gone, _ in stack[depth:] if tag in BLOCK else stack[depth:depth + 1]:
+                count[gone] -= 1
+            del stack[depth:len(stack) if tag in BLOCK else depth + 1]
+    return pairs
+
+
 def _key(tag: str, attributes: str) -> str:
     """Tag and the words of its class, id and role; numbers in them are not structure."""
     if not attributes or "=" not in attributes:
