@@ -19,3 +19,12 @@ def test_rewritten_address_without_a_digit_is_found(spark, field, mail):
     text = f"Please write to {mail} soon"
     docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
     assert [(text[s.start:s.end], s.kind) for s in pii.personal_data(docs, field).first().spans] == [(mail, "email")]
+
+
+@pytest.mark.parametrize("text", ["1.2.3.4 " * 300, "a@b.c," * 300, "1.2.3.4@b.c " * 200])
+def test_added_segments_never_overlap_base_matches_in_dense_lists(text):
+    class Same:
+        def best(self, zone):
+            return [x for x in pii.base_spans(zone) if x[2] == pii.base_spans(zone)[0][2]]
+
+    assert pii.find(text, Same()) == pii.base_spans(text)

@@ -13,7 +13,9 @@ The base matches always stay; segments that the field finds apart from them are
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator, Sequence
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -284,13 +286,12 @@ def train(docs: DataFrame, max_rows: int = TRAIN_ROWS) -> SemiCRF:
 def find(text: str, field: SemiCRF, base: list[Span] | None = None) -> list[Span]:
     """Base matches, and the field's segments that overlap none of them; by start, then kind as listed."""
     base = base_spans(text) if base is None else base
-    added, k = [], 0
+    starts, reach, added = [x[0] for x in base], list(accumulate((x[1] for x in base), max)), []
     for a, b in zones(text):
         for s, e, kind in field.best(text[a:b]):
             s, e = s + a, e + a
-            while k < len(base) and base[k][1] <= s - 400:
-                k += 1
-            if all(e <= x[0] or s >= x[1] for x in base[k:k + 50]):
+            before = bisect_left(starts, e)  # base spans that start before the segment ends
+            if not before or reach[before - 1] <= s:
                 added.append((s, e, kind))
     return sorted([*base, *added], key=lambda x: (x[0], KINDS.index(x[2]), x[1]))
 
