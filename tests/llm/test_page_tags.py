@@ -22,3 +22,10 @@ def test_math_is_text_and_embedded_text_is_not():
     assert text("<p>a <video>no <b>no</b></video>b<svg><text>no</text></svg> c</p>") == "a b c"
     assert text("<div><video><div>no</video> yes</div><p>two</p>") == "yes\ntwo"
     assert text("<script>no</script ><style/>no</style><p>a</p>") == "a"
+
+
+@pytest.mark.parametrize("inline", [
+    '<span class="ad">no <span>no</span></span>', '<a class="share" href="/x">no</a>', "<cookie-banner>no<p>no</p></cookie-banner>", "<button>no</button>",
+    "<label>no</label>", '<a class=share href=/x/>no</a>', '<span class="ad"/>', '<span class="share">'])
+def test_inline_parts_that_are_apart_are_left_out(inline):
+    assert text(f"<article><p>one {inline}</p><p>two</p><p>three <b class='big'>four</b></p></article>") == "one\ntwo\nthree four"

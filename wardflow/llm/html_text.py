@@ -87,7 +87,7 @@ class Page:
             tag = tag.lower()
             if tag == "a":
                 links = max(0, links + (-1 if m.group("end") else 1))
-            elif tag == "br":
+            if tag == "br":
                 self.blocks.append([])
             elif tag not in BLOCK:
                 if m.group("end"):
@@ -96,11 +96,11 @@ class Page:
                     if depth:  # blocks left open in it go on without it
                         del stack[depth]
                         path = path[:depth - 1] + path[depth:]
-                elif tag in EMBEDDED and not _empty(m.group("attributes")):
+                elif tag not in VOID and apart(key := _key(tag, m.group("attributes"))) and not _empty(m.group("attributes")):
                     pairs = _closed(source) if pairs is None else pairs
                     if m.start() in pairs:
-                        stack.append((tag, tag, _entry(tag), m.start()))
-                        path = (*path, tag)
+                        stack.append((tag, key, _entry(key), m.start()))
+                        path = (*path, key)
             elif m.group("end"):
                 depth = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == tag), 0)
                 if depth:
@@ -168,12 +168,13 @@ _APART: dict[str, bool] = {}
 
 
 def apart(key: str) -> bool:
-    """Whether an element is a part that is not the article: by its tag, or a word of its class, id or role."""
+    """Whether an element is a part that is not the article: by its tag, or a word of its class, id, role or custom tag."""
     known = _APART.get(key)
     if known is None:
         if len(_APART) > 10_000:
             _APART.clear()
         tag, *names = key.split(".")
+        names += tag.split("-") if "-" in tag else []
         body = tag in ("html", "body", "main", "article")
         known = _APART[key] = tag in APART_TAGS or not body and not APART_NAMES.isdisjoint(names)
     return known
