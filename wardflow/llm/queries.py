@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from wardflow.llm import decontaminate, exact_dedup, html_text, near_join, packing, pii, quality, token_counts, token_ids, warc_zip
+from wardflow.llm import decontaminate, exact_dedup, html_text, merkle, near_join, packing, pii, quality, token_counts, token_ids, warc_zip
 from wardflow.llm.common import table, vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {"op4_benchmark_decontamination": decontaminate.ORACLE, "op6_exact_dedup": exact_dedup.ORACLE, "op9_warc_zip": warc_zip.ORACLE}
+ORACLE: dict[str, str] = {"op4_benchmark_decontamination": decontaminate.ORACLE, "op6_exact_dedup": exact_dedup.ORACLE, "op9_warc_zip": warc_zip.ORACLE,
+                          "op13_merkle_manifest": merkle.ORACLE}
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
 
@@ -82,6 +83,11 @@ def op10_pii(spark, folder):
     return found.select("doc_id", *counts, F.sha2(pii.as_text("base"), 256).alias("base_sha256"), pii.as_text("spans").alias("spans"))
 
 
+@_register
+def op13_merkle_manifest(spark, folder):
+    return merkle.manifest(table(spark, folder, "documents")).drop("n_levels")
+
+
 @_register
 def pipeline(spark, folder):
     return corpus_pipeline.run(spark, folder)
