@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from wardflow.llm import decontaminate, exact_dedup, html_text, merkle, near_join, packing, pii, quality, token_counts, token_ids, warc_zip
+from wardflow.llm import (
+    decontaminate, exact_dedup, html_text, merkle, near_join, packing, pii, prefix_hash, quality, token_counts, token_ids, warc_zip)
 from wardflow.llm.common import table, vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,6 +84,11 @@ def op10_pii(spark, folder):
     return found.select("doc_id", *counts, F.sha2(pii.as_text("base"), 256).alias("base_sha256"), pii.as_text("spans").alias("spans"))
 
 
+@_register
+def op11_prefix_hash_fingerprints(spark, folder):
+    return prefix_hash.fingerprints(table(spark, folder, "documents"))
+
+
 @_register
 def op13_merkle_manifest(spark, folder):
     return merkle.manifest(table(spark, folder, "documents")).drop("n_levels")
