@@ -29,6 +29,14 @@ def ascii_lower(column: Column) -> Column:
     return F.translate(column, UPPER, UPPER.lower())
 
 
+def crc32_sql(text: str) -> str:
+    """DuckDB SQL for the unsigned CRC-32 of a text of ASCII characters: its bits one by one."""
+    zeros = ", ".join(["0::UBIGINT"] * 7)
+    bits = f"flatten(list_transform(string_split({text}, ''), lambda c: [ord(c)::UBIGINT, {zeros}]))"
+    step = "xor(xor(a, e) >> 1, 3988292384::UBIGINT * (xor(a, e) & 1::UBIGINT))"
+    return f"xor(list_reduce(list_prepend(4294967295::UBIGINT, {bits}), lambda a, e: {step}), 4294967295::UBIGINT)"
+
+
 def numbered(docs: DataFrame) -> DataFrame:
     """The rows, each with a number of its own in ``ROW``; written out, so that a row has the same number whenever it is read."""
     return settle(docs.withColumn(ROW, F.monotonically_increasing_id()))

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardflow.llm.common import ascii_lower
+from wardflow.llm.common import ascii_lower, crc32_sql
 from wardflow.session import settle
 
 FANOUT = 8
@@ -156,9 +156,7 @@ def _oracle(levels: int = 7, top_levels: int = 3) -> str:
     enc = lambda c: f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR END"
     low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     row = lambda t: "sha256(" + " || ".join(enc(t if c == "text" else c) for c in FIELDS) + ")"
-    crc = ("xor(list_reduce(list_prepend(4294967295::UBIGINT, flatten(list_transform(string_split(doc_id::VARCHAR, ''),"
-           " lambda c: [ord(c)::UBIGINT, 0::UBIGINT, 0::UBIGINT, 0::UBIGINT, 0::UBIGINT, 0::UBIGINT, 0::UBIGINT, 0::UBIGINT]))),"
-           " lambda a, e: xor(xor(a, e) >> 1, 3988292384::UBIGINT * (xor(a, e) & 1::UBIGINT))), 4294967295::UBIGINT)")
+    crc = crc32_sql("doc_id::VARCHAR")
     parts = [f"""l AS (SELECT row_number() OVER () AS rid, doc_id, CASE WHEN lang IS NULL THEN '-' ELSE '=' || lang END AS grp,
         {row('text')} AS leaf, CASE WHEN coalesce({crc} % 3 = 0, false) THEN {row(low)} ELSE {row('text')} END AS offered FROM documents)""",
              """d AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM l)""",

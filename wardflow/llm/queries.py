@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from wardflow.llm import (
-    decontaminate, exact_dedup, html_text, merkle, near_join, packing, pii, prefix_hash, quality, token_counts, token_ids, warc_zip)
+    conversation_repair, decontaminate, exact_dedup, html_text, merkle, near_join, packing, pii, prefix_hash, quality, token_counts, token_ids, warc_zip)
 from wardflow.llm.common import table, vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {"op4_benchmark_decontamination": decontaminate.ORACLE, "op6_exact_dedup": exact_dedup.ORACLE, "op9_warc_zip": warc_zip.ORACLE,
-                          "op13_merkle_manifest": merkle.ORACLE}
+                          "op12_conversation_repair": conversation_repair.ORACLE, "op13_merkle_manifest": merkle.ORACLE}
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
 
@@ -89,6 +89,11 @@ def op11_prefix_hash_fingerprints(spark, folder):
     return prefix_hash.fingerprints(table(spark, folder, "documents"))
 
 
+@_register
+def op12_conversation_repair(spark, folder):
+    return conversation_repair.repair_drill(table(spark, folder, "conversations"))
+
+
 @_register
 def op13_merkle_manifest(spark, folder):
     return merkle.manifest(table(spark, folder, "documents")).drop("n_levels")
