@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 import random
 
 import numpy as np
@@ -231,3 +232,21 @@ def test_shared_folder_must_be_named_off_a_local_master():
     context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None, getConf=lambda: {})
     with pytest.raises(ValueError):
         shared_folder(SimpleNamespace(sparkContext=context))
+
+
+def _bytes_under(folder):
+    return sum(os.path.getsize(os.path.join(at, name)) for at, _, names in os.walk(folder) for name in names)
+
+
+def test_settled_tables_are_discarded(spark):
+    """A discarded table's files go; what was made from it before stays."""
+    from wardflow.session import discard, settle, shared_folder
+    folder = shared_folder(spark).removeprefix("file:")
+    start = _bytes_under(folder)
+    first = settle(spark.range(200_000).selectExpr("id", "sha2(cast(id as string), 256) AS text"))
+    second = settle(first.groupBy("id").count())
+    held = _bytes_under(folder)
+    discard(first)
+    discard(first)  # nothing more happens
+    assert held - start > 8_000_000 and _bytes_under(folder) < held - 8_000_000
+    assert second.count() == 200_000

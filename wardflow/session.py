@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,12 +47,35 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+#: Makes Spark remove the shuffle files of an execution at its end.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_FOLDERS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Compute once, write to the shared folder, go on from the written table.
 
     Cuts lineage like ``checkpoint()``, survives lost executors, and being Parquet still lets
-    later steps read only the columns they need.
+    later steps read only the columns they need. What was shuffled to make the table is removed once it is written.
     """
-    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+    written = spark.read.schema(df.schema).parquet(path)
+    _FOLDERS[written] = path
+    return written
+
+
+def discard(*tables: DataFrame) -> None:
+    """Give back the disk of settled tables that nothing will read again: their folders are overwritten with no rows."""
+    for table in tables:
+        path = _FOLDERS.pop(table, None)
+        if path is not None:
+            table.sparkSession.createDataFrame([], "gone boolean").write.mode("overwrite").parquet(path)
