@@ -25,11 +25,11 @@ from wardflow.session import settle
 
 WINDOW = 16
 ANCHORS = 16
-LADDER = 16
+LADDER = 8
 ROWS_AT_ONCE = 128
 _PRIMES = np.array([[2**31 - 1], [2**31 - 19]], dtype=np.uint64)
 _BASES = (1_103_515_245, 1_664_525_001)
-_ANCHOR = np.dtype([("at", "<u8"), ("window", "<u4"), ("prefix", "<u8")])
+_ANCHOR = np.dtype([("at", "<u4"), ("window", "<u4"), ("prefix", "<u8")])
 _TABLES: dict[str, np.ndarray] = {}
 
 
@@ -124,9 +124,11 @@ class Excerpt:
         self.n, self.whole, self.ladder, self.anchors = n, whole, ladder, anchors
         self.step = 1 << max(0, -(-n // LADDER) - 1).bit_length()
 
+    def packed(self) -> bytes:
+        return np.array([self.n, self.whole], "<u8").tobytes() + self.ladder.astype("<u8").tobytes() + self.anchors.tobytes()
+
     def __str__(self) -> str:
-        raw = np.array([self.n, self.whole], "<u8").tobytes() + self.ladder.astype("<u8").tobytes() + self.anchors.tobytes()
-        return base64.b64encode(raw).decode("ascii")
+        return base64.b64encode(self.packed()).decode("ascii")
 
     @classmethod
     def read(cls, fingerprint: str) -> Excerpt:
@@ -195,19 +197,16 @@ def edited_text(own: str, following: str) -> tuple[str, int]:
     return own[:len(own) - gone] + following[:gone], len(own) - gone
 
 
-Row = tuple[str, int, str, str, float, float]
-
-
 def _finished(own: Hashed, excerpt: Excerpt, following: str, next_excerpt: Excerpt) -> tuple:
     text, same = edited_text(own.text, following)
     changed = Hashed(text, own, same).excerpt()
-    return (own.n, hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest(), str(excerpt), str(changed),
+    return (own.n, hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest(), excerpt.packed(), changed.packed(),
             likeness(excerpt, changed), likeness(excerpt, next_excerpt))
 
 
-_RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+_RESULT = "doc_id long, n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
 _EDGE = "part int, first boolean, text string"
-_TYPES = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int32(), pa.bool_(), pa.string()]
+_TYPES = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.float64(), pa.float64(), pa.int32(), pa.bool_(), pa.string()]
 _NAMES = [c.split(" ")[0] for c in f"{_RESULT}, {_EDGE}".split(", ")]
 
 
@@ -265,4 +264,6 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     order = firsts.select("part", F.coalesce(F.lead("part").over(Window.orderBy("part")), F.first("part").over(everything)).alias("next"))
     edges = (lasts.join(order, "part").join(firsts.withColumnRenamed("part", "next"), "next").select("doc_id", "text", "following")
              .mapInArrow(_at_edges, _RESULT))
-    return found.filter("part is null").drop("part", "first", "text").unionByName(edges)
+    return found.filter("part is null").drop("part", "first", "text").unionByName(edges).select(
+        "doc_id", "n_chars", F.lower(F.hex("edited_sha256")).alias("edited_sha256"), F.base64("fingerprint").alias("fingerprint"),
+        F.base64("edited_fingerprint").alias("edited_fingerprint"), "near_edited", "near_next")
