@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from wardflow.llm import exact_dedup
+from wardflow.llm import exact_dedup, near_join
 
 
 def test_stages_decide_per_row_where_ids_repeat_or_are_null(spark, monkeypatch):
@@ -26,3 +26,21 @@ def test_stages_decide_per_row_where_ids_repeat_or_are_null(spark, monkeypatch):
     monkeypatch.setattr(corpus_pipeline, "table", lambda *_: spark.createDataFrame([(1, leak)], "item_id long, text string"))
     found = corpus_pipeline.no_benchmark_text(spark, frame([(None, "clean one"), (None, leak), (3, "clean two"), (3, "so " + leak)]), "")
     assert texts(found) == [(3, "clean two"), (None, "clean one")]
+
+
+EXTREME = [2**62, 2**62 + 5, 2**63 - 1, -2**63, 0, None]
+
+
+def test_ids_of_any_value(spark):
+    """Ids at the ends of their range and null are told apart, null coming last."""
+    words = " ".join(f"word{i}" for i in range(60))
+    rows = [(i, words) for i in EXTREME] + [(i, f"{words} {i}") for i in EXTREME[:3]] + [(2**62 + 7, "  "), (None, ""), (None, "only null ids here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted((str(r.doc_id), r.component_id, r.class_id) for r in near_join.near_duplicates(docs).collect() if r.n_shingles > 1)
+    assert found == sorted([(str(i), -2**63, -2**63) for i in EXTREME] + [(str(i), -2**63, i) for i in EXTREME[:3]])
+    groups = exact_dedup.exact_groups(docs)
+    assert sorted(str(r.doc_id) for r in groups.filter("keep_id = -9223372036854775808").collect()) == sorted(map(str, EXTREME))
+    assert {r.doc_id for r in groups.filter("text_sha256 = sha2('', 256) and kept").collect()} == {2**62 + 7}
+    colliding = exact_dedup.exact_groups(docs, digest=lambda text: F.unhex(F.lit("00")))
+    assert sorted(map(str, colliding.collect())) == sorted(map(str, groups.collect()))
+    assert exact_dedup.keep_one(docs).count() == 6

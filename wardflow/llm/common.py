@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,16 +46,6 @@ def only(rows: DataFrame, kept: DataFrame) -> DataFrame:
     return rows.join(kept.select(ROW).hint("merge"), ROW, "left_semi").drop(ROW)
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark remove the shuffle files of finished steps.
-
-    Its cleaner removes them once the driver has collected the frames that made them as garbage, which an idle driver may not
-    do for half an hour. Called after a step's result has been written; it changes nothing but disk use.
-    """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def quiet_tokenizers() -> None:
     """One thread per task: Spark already runs a task on every core."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"

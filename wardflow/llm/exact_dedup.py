@@ -29,8 +29,8 @@ def digest128(text: Column) -> Column:
 
 
 def _stays() -> Column:
-    """Most code points in the original text, then the smallest id; of one row given twice, the first read."""
-    return F.max(F.struct(F.col("n_chars"), (-F.col("id")).alias("minus_id"), (-F.col("row")).alias("minus_row")))
+    """Most code points in the original text, then the smallest id, a null id last; of one row given twice, the first read."""
+    return F.min(F.struct((-F.col("n_chars")).alias("minus_chars"), F.col("id").isNull().alias("no_id"), "id", "row"))
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -43,7 +43,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     among colliding digests as well.
     """
     row = [] if row_col is None else ["row"]
-    raw = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(2**62)).alias("id"), F.col(text_col).alias("text"),
+    raw = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"),
                       *[F.col(row_col).alias(r) for r in row])
     bare = raw.select("id", F.coalesce(F.char_length("text"), F.lit(0)).alias("n_chars"),
                       without_space(F.col("text")).alias("bare"), *row)
@@ -52,35 +52,36 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                                *(row or [F.monotonically_increasing_id().alias("row")])))
     groups = keyed.groupBy("key").agg(F.count("*").alias("n"), _stays().alias("stays"))
     several = settle(groups.filter("n > 1").select(
-        "key", "n", (-F.col("stays.minus_id")).alias("keep_id"), F.col("stays.n_chars").alias("keep_chars"),
-        (-F.col("stays.minus_row")).alias("keep_row")))
+        "key", "n", F.col("stays.id").alias("keep_id"), (-F.col("stays.minus_chars")).alias("keep_chars"), F.col("stays.row").alias("keep_row")))
 
     differing = settle(_differing(bare, several, digest))
     which = row or ["id", "n_chars"]
     own = differing.groupBy("key", "bare").agg(
-        F.count("*").alias("own_n"), F.min(F.struct((-F.col("n_chars")).alias("m"), F.col("id"), *row)).alias("own"))
+        F.count("*").alias("own_n"), F.min(F.struct((-F.col("n_chars")).alias("m"), F.col("id").isNull().alias("no_id"), "id", *row)).alias("own"))
     apart = (differing.join(own, ["key", "bare"])
-             .select("key", *which, "own_n", F.col("own.id").alias("own_id"), *[F.col("own.row").alias("own_row") for _ in row]).distinct())
+             .select(F.col("key").alias("_key"), *[F.col(c).alias(f"_{c}") for c in which], "own_n", F.col("own.id").alias("own_id"),
+                     *[F.col("own.row").alias("own_row") for _ in row]).distinct())
     fewer = differing.groupBy("key").agg(F.count("*").alias("gone"))
 
-    all_rows = (keyed.join(several, "key", "left").join(fewer, "key", "left")
-                .join(apart, ["key", *which], "left"))
-    alone = F.col("n").isNull()
-    keep_id = F.when(F.col("own_n").isNotNull(), F.col("own_id")).when(alone, F.col("id")).otherwise(F.col("keep_id"))
-    size = F.when(F.col("own_n").isNotNull(), F.col("own_n")).when(alone, F.lit(1)).otherwise(
-        F.col("n") - F.coalesce("gone", F.lit(0)))
-    kept = F.when(F.col("own_n").isNotNull(), F.col("own_row") == F.col("row") if row else F.col("own_id") == F.col("id")).otherwise(
+    all_rows = keyed.join(several, "key", "left").join(fewer, "key", "left")
+    met = F.col("key") == F.col("_key")
+    for c in which:
+        met &= F.col(c).eqNullSafe(F.col(f"_{c}"))
+    all_rows = all_rows.join(apart, met, "left")
+    alone, regrouped = F.col("n").isNull(), F.col("own_n").isNotNull()
+    keep_id = F.when(regrouped, F.col("own_id")).when(alone, F.col("id")).otherwise(F.col("keep_id"))
+    size = F.when(regrouped, F.col("own_n")).when(alone, F.lit(1)).otherwise(F.col("n") - F.coalesce("gone", F.lit(0)))
+    kept = F.when(regrouped, F.col("own_row") == F.col("row") if row else F.col("own_id").eqNullSafe(F.col("id"))).otherwise(
         alone | (F.col("row") == F.col("keep_row")))
-    shown = lambda c: F.when(c < 2**62, c)
-    return all_rows.select(shown(F.col("id")).alias("doc_id"), shown(keep_id).alias("keep_id"),
-                           size.cast("long").alias("group_size"), kept.alias("kept"), "text_sha256", *[F.col(r).alias(row_col) for r in row])
+    return all_rows.select(F.col("id").alias("doc_id"), keep_id.alias("keep_id"), size.cast("long").alias("group_size"), kept.alias("kept"),
+                           "text_sha256", *[F.col(r).alias(row_col) for r in row])
 
 
 def _differing(bare: DataFrame, several: DataFrame, digest: Callable[[Column], Column]) -> DataFrame:
     """Members of groups whose bytes are not those of the row that stays."""
     row = [c for c in bare.columns if c == "row"]
     salts = F.ceil(F.col("n") / MEMBERS_PER_SALT)
-    stays = F.col("row") == F.col("keep_row") if row else (F.col("id") == F.col("keep_id")) & (F.col("n_chars") == F.col("keep_chars"))
+    stays = F.col("row") == F.col("keep_row") if row else F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("n_chars") == F.col("keep_chars"))
     members = settle(
         bare.withColumn("key", digest(F.col("bare").cast("binary"))).join(several.hint("merge"), "key")
         .select("key", "id", "n_chars", "bare", "n",

@@ -25,8 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardflow.llm.common import release
-from wardflow.session import settle
+from wardflow.session import discard, settle
 
 SHINGLE = 5
 SMALL = 16
@@ -118,8 +117,11 @@ def _prefix_sets(docs: DataFrame) -> DataFrame:
 
 
 def _shared_tokens(sets: DataFrame) -> DataFrame:
-    """``token, node, n, df`` of the tokens that more than one set has. Tokens are dealt once, and counted where they lie."""
-    dealt = sets.select("node", "n", F.explode("tokens").alias("token")).repartition("token")
+    """``token, node, n, df`` of the tokens that more than one set has.
+
+    Counts are combined before they are shuffled, and the join is left to Spark, which splits a token that very many sets have.
+    """
+    dealt = sets.select("node", "n", F.explode("tokens").alias("token"))
     counts = dealt.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
     return dealt.join(counts.hint("merge"), "token")
 
@@ -127,20 +129,19 @@ def _shared_tokens(sets: DataFrame) -> DataFrame:
 def candidates(docs: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
     """``node, n, tokens`` of the sets that pass order A: they share at least ceil(0.04 n) tokens of their A-prefix.
 
-    A class is met again at its first row: by number where rows have one, else by id.
+    A class is met again at its first row: by number where rows have one, else by id. ``sets`` is used up.
     """
     at, of = ("row", "first_row") if "row" in docs.columns else ("doc_id", "first")
     first = (sets.join(classes.select("node", F.col("sig").alias("_sig"), F.col(of).alias("_first")).hint("merge"),
-                       (F.col("sig") == F.col("_sig")) & (F.col(at) == F.col("_first")))
+                       (F.col("sig") == F.col("_sig")) & F.col(at).eqNullSafe(F.col("_first")))
              .select("node", "n", "tokens").filter("n > 0"))
     enough = (_shared_tokens(first).groupBy("node", "n").agg(F.count("*").alias("shared"))
               .filter(F.col("shared") >= F.greatest(F.lit(1), F.floor((F.col("n") + 24) / 25))))
-    chosen = settle(enough.select("node").join(classes.hint("merge"), "node").select("node", "sig", of))
-    del first, enough
-    release(docs.sparkSession)
-    texts = docs.join(chosen.select(F.col(of).alias(at), "node", F.col("sig").alias("class")).hint("merge"), at)
+    chosen = settle(enough.select("node").join(classes.hint("merge"), "node").select("node", F.col("sig").alias("class"), F.col(of).alias("_first")))
+    discard(sets)
+    texts = docs.join(chosen.hint("merge"), F.col(at).eqNullSafe(F.col("_first")))
     out = settle(texts.select("text", "node", "class").mapInArrow(_class_sets, "node long, n int, tokens array<long>"))
-    release(docs.sparkSession)
+    discard(chosen)
     return out
 
 
@@ -207,31 +208,33 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """``node, component`` (smallest node reachable) by label propagation with pointer jumping; every round is written out."""
     both = settle(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = settle(nodes.select("node", F.col("node").alias("component")))
+    rounds = [settle(nodes.select("node", F.col("node").alias("component")))]
     while True:
+        labels = rounds[-1].select("node", "component")
         heard = (both.join(labels.select(F.col("node").alias("b"), "component"), "b").groupBy("a").agg(F.min("component").alias("heard")))
         lower = labels.join(heard.withColumnRenamed("a", "node"), "node", "left").select(
             "node", F.col("component").alias("was"), F.least("component", F.coalesce("heard", "component")).alias("component"))
         jump = labels.select(F.col("node").alias("component"), F.col("component").alias("further"))
-        new = settle(lower.join(jump, "component", "left").select(
-            "node", "was", F.least("component", F.coalesce("further", "component")).alias("component")))
-        labels = new.select("node", "component")
-        if new.filter("component <> was").isEmpty():
-            return labels
+        rounds.append(settle(lower.join(jump, "component", "left").select(
+            "node", "was", F.least("component", F.coalesce("further", "component")).alias("component"))))
+        discard(*rounds[:-1])
+        if rounds[-1].filter("component <> was").isEmpty():
+            discard(both)
+            return rounds[-1].select("node", "component")
 
 
 def connected(sets: DataFrame) -> DataFrame:
     """``node, component`` of candidate sets."""
     near = buckets(sets)
-    release(sets.sparkSession)
     counted = settle(near.join(near.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1").hint("merge"), "token"))
+    discard(near)
     few, many = counted.filter(F.col("c") <= SMALL), counted.filter(F.col("c") > SMALL)
     other = few.select("token", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("pos").alias("pos_b"))
     listed = (few.withColumnsRenamed({"node": "a", "n": "n_a", "pos": "pos_a"}).join(other, "token")
               .filter((F.col("a") < F.col("b")) & _may_link()).select("a", "b"))
 
-    labels = settle(counted.select("node").distinct().select("node", F.col("node").alias("component")))
-    nodes, checked, open_ = labels, None, many
+    nodes = settle(counted.select("node").distinct())
+    labels, checked, open_ = nodes.select("node", F.col("node").alias("component")), None, many
     for turn in range(HUB_ROUNDS):
         placed = open_.join(labels, "node")
         if turn == 0:
@@ -250,9 +253,13 @@ def connected(sets: DataFrame) -> DataFrame:
         if checked is not None:
             pairs = pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")
         seen = verified(pairs, sets)
-        checked = seen if checked is None else settle(checked.union(seen))
+        earlier, checked = checked, seen if checked is None else settle(checked.union(seen))
+        if earlier is not None:
+            discard(earlier, seen)
         labels = components(checked.filter("linked"), nodes)
-        open_ = settle(_still_apart(open_, labels))
+        rest = settle(_still_apart(open_, labels))
+        discard(open_, *([counted] if turn == 0 else []))
+        open_ = rest
         if open_.isEmpty():
             return labels
     seen = verified(_across(open_.join(labels, "node"), checked), sets)
@@ -291,33 +298,34 @@ def near_duplicates(docs: DataFrame, row_col: str | None = None) -> DataFrame:
 
     ``class_id`` is the smallest id with the same set; ``component_id`` the smallest reachable by links. Documents without words
     (null, empty, white space) link with nothing. Rows that share an id are classified each by its own text, and a null id is null
-    in the result (inside, the largest). Tokens are 64-bit hashes: within a pair two shingles meet by chance with a probability under 1e-10.
+    in the result and comes after all others. Tokens are 64-bit hashes: within a pair two shingles meet by chance with a probability under 1e-10.
 
     Where ``row_col`` numbers the rows, it is returned too, and so is ``component``: a number that no two components share, even if
     their ids do; null without words.
     """
     row = [] if row_col is None else ["row"]
-    none = F.lit(2**62)
-    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), none).alias("doc_id"), F.col("text").alias("text"),
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"),
                        *[F.col(row_col).cast("long").alias(r) for r in row])
     sets = settle(_prefix_sets(docs))
-    least = F.min(F.struct("doc_id", "row") if row else "doc_id").alias("first")
-    firsts = [F.col("first.doc_id").alias("first"), F.col("first.row").alias("first_row")] if row else ["first"]
-    classes = settle(sets.filter("n > 0").groupBy("sig").agg(least).select("sig", *firsts, F.monotonically_increasing_id().alias("node")))
+    slim = settle(sets.drop("tokens"))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *row)).alias("first")
+    classes = settle(slim.filter("n > 0").groupBy("sig").agg(least).select(
+        "sig", F.col("first.doc_id").alias("first"), *[F.col("first.row").alias("first_row") for _ in row],
+        F.monotonically_increasing_id().alias("node")))
     chosen = candidates(docs, classes, sets)
     # Nodes are numbered without regard to ids, so a component takes the smallest id among its classes.
-    release(docs.sparkSession)
-    grouped = connected(chosen).join(classes, "node").select("sig", "component", "first")
-    lowest = grouped.groupBy("component").agg(F.min("first").alias("component_id"))
+    grouped = settle(connected(chosen).join(classes, "node").select("sig", "component", "first"))
+    discard(chosen)
+    lowest = grouped.groupBy("component").agg(F.min(F.struct(F.col("first").isNull().alias("no_id"), "first")).alias("lowest"))
     whole = ["component"] if row else []
-    found = grouped.join(lowest, "component").select("sig", "component_id", *whole)
-    by_sig = settle(classes.join(found, "sig", "left").select(
+    found = grouped.join(lowest, "component").select("sig", F.col("lowest.first").alias("component_id"), *whole)
+    by_sig = settle(classes.join(found, "sig", "left").select(  # a component of rows without id has none, like its classes
         F.col("sig"), F.col("first").alias("class_id"), F.coalesce("component_id", "first").alias("component_id"),
         *[F.coalesce(c, "node").alias(c) for c in whole]))
-    shown = lambda c: F.when(c < none, c)
+    discard(grouped, classes)
     alone = F.col("n") == 0
-    return (sets.select("doc_id", "n", "sig", *row).join(by_sig, "sig", "left")
-            .select(shown(F.col("doc_id")).alias("doc_id"), F.col("n").cast("long").alias("n_shingles"),
-                    shown(F.when(alone, F.col("doc_id")).otherwise(F.col("component_id"))).alias("component_id"),
-                    shown(F.when(alone, F.col("doc_id")).otherwise(F.col("class_id"))).alias("class_id"),
+    return (slim.join(by_sig, "sig", "left")
+            .select("doc_id", F.col("n").cast("long").alias("n_shingles"),
+                    F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+                    F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
                     *[F.col(r).alias(row_col) for r in row], *whole))
