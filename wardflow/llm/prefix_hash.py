@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardflow.session import settle
@@ -241,6 +241,10 @@ def _at_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _batch([(doc, *_finished(own, own.excerpt(), following, Hashed(following).excerpt()))], 7)
 
 
+def _one_line(column: str) -> Column:
+    return F.translate(F.base64(column), "\r\n", "").alias(column)
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next`` of every row.
 
@@ -265,5 +269,4 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     edges = (lasts.join(order, "part").join(firsts.withColumnRenamed("part", "next"), "next").select("doc_id", "text", "following")
              .mapInArrow(_at_edges, _RESULT))
     return found.filter("part is null").drop("part", "first", "text").unionByName(edges).select(
-        "doc_id", "n_chars", F.lower(F.hex("edited_sha256")).alias("edited_sha256"), F.base64("fingerprint").alias("fingerprint"),
-        F.base64("edited_fingerprint").alias("edited_fingerprint"), "near_edited", "near_next")
+        "doc_id", "n_chars", F.lower(F.hex("edited_sha256")).alias("edited_sha256"), _one_line("fingerprint"), _one_line("edited_fingerprint"), "near_edited", "near_next")
