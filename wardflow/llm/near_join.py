@@ -9,8 +9,8 @@ under several orders, and a pair is compared in full only if it passes all of th
 * order C, by a second hash, and A once more, are checked per pair before the intersection.
 
 Equal sets are one node. Groups of thousands of near copies share all tokens, and their pairs are never listed: in a bucket
-of more than ``SMALL`` documents each is compared with a hub, then what is not yet connected with further hubs, and only pairs that are
-still in different components are compared directly, less those that sizes and places of their first common token, or distances to a
+of more than ``SMALL`` documents each is compared with a hub, then what is not yet connected with a dozen further hubs a round, and
+only pairs that are still in different components are compared directly, less those that sizes and places of their first common token, or distances to a
 common hub (the Jaccard distance is a metric), rule out. So no link that would join two components is missed. Components and links
 stay distributed.
 """
@@ -22,14 +22,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardflow.session import discard, settle
 
 SHINGLE = 5
 SMALL = 16
-HUB_ROUNDS = 3
+HUB_ROUNDS = 4
+HUBS = 12
 SETS = "doc_id long, n int, sig binary, tokens array<long>"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -219,8 +220,23 @@ def components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
             "node", "was", F.least("component", F.coalesce("further", "component")).alias("component"))))
         discard(*rounds[:-1])
         if rounds[-1].filter("component <> was").isEmpty():
-            discard(both)
-            return rounds[-1].select("node", "component")
+            out = settle(rounds[-1].select("node", "component"))
+            discard(both, rounds[-1])
+            return out
+
+
+def merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """Labels after more edges: only edges between different components count, and only components are relabelled."""
+    at = lambda x: labels.select(F.col("node").alias(x), F.col("component").alias(f"c_{x}"))
+    between = settle(edges.select("a", "b").join(at("a"), "a").join(at("b"), "b").filter("c_a <> c_b").select(
+        F.least("c_a", "c_b").alias("a"), F.greatest("c_a", "c_b").alias("b")).distinct())
+    if between.isEmpty():
+        return labels
+    tops = components(between, between.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+    renamed = tops.select(F.col("node").alias("component"), F.col("component").alias("top"))
+    out = settle(labels.join(renamed, "component", "left").select("node", F.coalesce("top", "component").alias("component")))
+    discard(between, labels, tops)
+    return out
 
 
 def connected(sets: DataFrame) -> DataFrame:
@@ -233,8 +249,8 @@ def connected(sets: DataFrame) -> DataFrame:
     listed = (few.withColumnsRenamed({"node": "a", "n": "n_a", "pos": "pos_a"}).join(other, "token")
               .filter((F.col("a") < F.col("b")) & _may_link()).select("a", "b"))
 
-    nodes = settle(counted.select("node").distinct())
-    labels, checked, open_ = nodes.select("node", F.col("node").alias("component")), None, many
+    labels = settle(counted.select("node").distinct().select("node", F.col("node").alias("component")))
+    checked, open_ = None, many
     for turn in range(HUB_ROUNDS):
         placed = open_.join(labels, "node")
         if turn == 0:
@@ -244,8 +260,9 @@ def connected(sets: DataFrame) -> DataFrame:
                        .agg(F.max(F.struct("m", "component")).alias("top")).select("token", F.col("top.component").alias("top")))
             placed = placed.join(largest, "token")
             pool, placed = placed.filter("component = top"), placed.filter("component <> top")
-        hubs = pool.groupBy("token").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "n", "pos")).alias("hub")).select(
-            "token", F.col("hub.node").alias("b"), F.col("hub.n").alias("n_b"), F.col("hub.pos").alias("pos_b"))
+        chance = Window.partitionBy("token").orderBy(F.xxhash64("node", F.lit(turn)))
+        hubs = pool.withColumn("nth", F.row_number().over(chance)).filter(F.col("nth") <= (1 if turn == 0 else HUBS)).select(
+            "token", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("pos").alias("pos_b"))
         stars = (placed.withColumnsRenamed({"node": "a", "n": "n_a", "pos": "pos_a"}).join(hubs, "token")
                  .filter((F.col("a") != F.col("b")) & _may_link())
                  .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
@@ -254,18 +271,16 @@ def connected(sets: DataFrame) -> DataFrame:
             pairs = pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")
         seen = verified(pairs, sets)
         earlier, checked = checked, seen if checked is None else settle(checked.union(seen))
+        labels = merged(labels, seen.filter("linked"))
         if earlier is not None:
             discard(earlier, seen)
-        labels = components(checked.filter("linked"), nodes)
         rest = settle(_still_apart(open_, labels))
         discard(open_, *([counted] if turn == 0 else []))
         open_ = rest
         if open_.isEmpty():
             return labels
     seen = verified(_across(open_.join(labels, "node"), checked), sets)
-    if seen.filter("linked").isEmpty():
-        return labels
-    return components(checked.union(seen).filter("linked"), nodes)
+    return merged(labels, seen.filter("linked"))
 
 
 def _still_apart(many: DataFrame, labels: DataFrame) -> DataFrame:
