@@ -33,6 +33,7 @@ TWO_WHITE = re.compile(r"\s\s")
 MOST_STATES = 900_000
 MOST_WORDS = 150_000
 LONG_PIECE = 64
+NEVER = 1 << 30
 LONG_CONTRACTIONS = ("'re", "'ve", "'ll")
 
 
@@ -57,30 +58,58 @@ class PrefixCounter:
         for rank, pair in enumerate(model["model"]["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
             self.rank[raw(a), raw(b)] = rank
-        self.lengths = sorted({len(t) for t in self.tokens}, reverse=True)
-        self.pairs: dict[tuple[bytes, bytes], bool] = {}
+        #: Lengths of the tokens that end in two given bytes, longest first.
+        ends: dict[bytes, set[int]] = {}
+        for t in self.tokens:
+            ends.setdefault(t[-2:], {1}).add(len(t))
+        self.lengths = {end: sorted(sizes, reverse=True) for end, sizes in ends.items()}
+        self.made: dict[bytes, tuple[bytes, bytes, int] | None] = {}
         self.words: dict[str, list[int]] = {}
         self.states: dict[bytes, tuple[bytes, int]] = {b"": (b"", 0)}
         self.memory = Remembered(lambda parts: [self._table(u) for u in parts], most)
 
-    def merge(self, piece: bytes) -> list[bytes]:
-        """Plain BPE of a short piece: lowest-ranked neighbours first."""
-        parts = [piece[i:i + 1] for i in range(len(piece))]
+    def merge(self, piece: bytes) -> tuple[list[bytes], tuple[bytes, bytes] | None]:
+        """Plain BPE of a short piece, lowest-ranked neighbours first; and the last two parts that were merged."""
+        parts, last = [piece[i:i + 1] for i in range(len(piece))], None
         while len(parts) > 1:
-            ranked = [(self.rank.get(p, 1 << 30), i) for i, p in enumerate(zip(parts, parts[1:]))]
+            ranked = [(self.rank.get(p, NEVER), i) for i, p in enumerate(zip(parts, parts[1:]))]
             rank, i = min(ranked)
-            if rank == 1 << 30:
+            if rank == NEVER:
                 break
+            last = parts[i], parts[i + 1]
             parts[i:i + 2] = [parts[i] + parts[i + 1]]
-        return parts
+        return parts, last
+
+    def _made(self, token: bytes) -> tuple[bytes, bytes, int] | None:
+        """The two parts a token is merged of at last and the rank of that merge; None if its bytes encode to something else."""
+        made = self.made.get(token, 0)
+        if made == 0:
+            parts, last = self.merge(token)
+            made = self.made[token] = None if len(parts) > 1 else (b"", b"", -1) if last is None else (*last, self.rank[last])
+        return made
 
     def _fits(self, left: bytes, right: bytes) -> bool:
-        fits = self.pairs.get((left, right))
-        if fits is None:
-            if len(self.pairs) > 400_000:
-                self.pairs.clear()
-            fits = self.pairs[left, right] = self.merge(left + right) == [left, right]
-        return fits
+        """Whether the pair encodes to itself: at no time would a merge across their border have come before those inside.
+
+        Walks back in time along the parts that touch the border; each pair of them could be merged until either became part of more.
+        """
+        made, ranks = self.made, self.rank
+        at_left, at_right = self._made(left), self._made(right)
+        if at_right is None:
+            return False
+        until_left = until_right = NEVER
+        while True:
+            rank = ranks.get((left, right))
+            if rank is not None and rank < until_left and rank <= until_right:  # of equal ranks the one further left comes first
+                return False
+            if at_left[2] > at_right[2]:
+                until_left, left = at_left[2], at_left[1]
+                at_left = made.get(left) or self._made(left)
+            elif at_right[2] >= 0:
+                until_right, right = at_right[2], at_right[0]
+                at_right = made.get(right) or self._made(right)
+            else:
+                return True
 
     def piece_counts(self, piece: str) -> list[int]:
         """Count of every code point prefix of one piece of the pre-tokenizer.
@@ -88,7 +117,7 @@ class PrefixCounter:
         ``states`` remembers (last token, count) of prefixes, and words of a language share their beginnings, so mostly the
         last few bytes of a new word are worked out.
         """
-        raw, states, tokens = piece.encode("utf-8"), self.states, self.tokens
+        raw, states, tokens, lengths = piece.encode("utf-8"), self.states, self.tokens, self.lengths
         n = len(raw)
         if len(states) > MOST_STATES:
             states = self.states = {b"": (b"", 0)}
@@ -96,13 +125,13 @@ class PrefixCounter:
         while raw[:known] not in states:
             known -= 1
         for i in range(known + 1, n + 1):
-            for size in self.lengths if i > 24 else range(i, 0, -1):
+            for size in lengths.get(raw[i - 2:i] if i > 1 else raw[:1], (1,)):
                 if size > i:
                     continue
                 token = raw[i - size:i]
                 if token in tokens:
                     last, count = states[raw[:i - size]]
-                    if self._fits(last, token) if last else size == 1 or self.merge(token) == [token]:
+                    if self._fits(last, token) if last else self._made(token) is not None:
                         states[raw[:i]] = (token, count + 1)
                         break
         at = range(1, n + 1) if n == len(piece) else [i for i in range(1, n + 1) if i == n or raw[i] & 0xC0 != 0x80]
@@ -116,10 +145,9 @@ class PrefixCounter:
         raw, tokens, n = piece.encode("utf-8"), self.tokens, len(piece.encode("utf-8"))
         last, count = [b""] * (n + 1), [0] * (n + 1)
         for i in range(1, n + 1):
-            for size in self.lengths:
+            for size in self.lengths.get(raw[max(i - 2, 0):i], (1,)):
                 token = raw[i - size:i] if size <= i else b""
-                if token in tokens and (self._fits(last[i - size], token) if size < i else
-                                        size == 1 or self.merge(token) == [token]):
+                if token in tokens and (self._fits(last[i - size], token) if size < i else self._made(token) is not None):
                     last[i], count[i] = token, count[i - size] + 1
                     break
         return [count[i] for i in range(1, n + 1) if i == n or raw[i] & 0xC0 != 0x80]
