@@ -104,3 +104,50 @@ def test_catalog_layer(spark, tmp_path):
     assert sorted(tuple(r) for r in layers.read("t").collect()) == [("a", "0012"), ("c", "0013")]
     layers.reset(["t"])
     assert not layers.exists("t")
+
+
+def test_second_landing_opens_no_old_file(spark, tmp_path, rows):
+    """Old files are made unreadable: a landing that opened them would fail."""
+    feed, layers = FEEDS["payer"], Layers(spark, str(tmp_path / "lake"))
+    csv(tmp_path, feed, "20260101", payer("001"))
+    land(spark, str(tmp_path), feed, layers)
+    before = sorted(str(p) for p in (tmp_path / "lake" / "bronze_payer").rglob("*.parquet"))
+    csv(tmp_path, feed, "20260101", "spoiled", header="not,the,declared,header")
+    csv(tmp_path, feed, "20260108", payer("002"))
+    csv(tmp_path, feed, "20260115")  # delivered without rows: in the ledger, not in the table
+    land(spark, str(tmp_path), feed, layers)
+    land(spark, str(tmp_path), feed, layers)
+    assert rows(layers.read("bronze_payer"), "payer_id", "_batch_id") == [("PAY001", "20260101"), ("PAY002", "20260108")]
+    assert rows(layers.read("landed_payer"), "batch_id") == [("20260101",), ("20260108",), ("20260115",)]
+    assert set(before) <= {str(p) for p in (tmp_path / "lake" / "bronze_payer").rglob("*.parquet")}
+
+
+def test_second_landing_opens_no_old_workbook(spark, tmp_path, rows):
+    feed, layers = next(f for f in FEEDS.values() if f.workbook), Layers(spark, str(tmp_path / "lake"))
+    (tmp_path / feed.folder).mkdir(parents=True)
+    def book(batch, facility):
+        workbook(tmp_path / feed.folder / f"{feed.table}_{batch}.xlsx", "Roster", [(1, ["Facility ID"]), (2, [facility])])
+    book("20260101", "F1")
+    land(spark, str(tmp_path), feed, layers)
+    (tmp_path / feed.folder / f"{feed.table}_20260101.xlsx").write_bytes(b"no workbook any more")
+    book("20260108", "F2")
+    land(spark, str(tmp_path), feed, layers)
+    assert rows(layers.read(f"bronze_{feed.table}"), "facility_id", "_batch_id") == [("F1", "20260101"), ("F2", "20260108")]
+
+
+def test_landing_after_a_kill_lands_nothing_twice(spark, tmp_path, monkeypatch, rows):
+    feed, layers = FEEDS["payer"], Layers(spark, str(tmp_path / "lake"))
+    csv(tmp_path, feed, "20260101", payer("001"))
+    def killed(*_):
+        raise RuntimeError("killed")
+    with monkeypatch.context() as patch:
+        patch.setattr(layers, "append", killed)
+        with pytest.raises(RuntimeError):
+            land(spark, str(tmp_path), feed, layers)
+    assert layers.read("bronze_payer").count() == 1
+    land(spark, str(tmp_path), feed, layers)
+    folder = tmp_path / feed.folder  # a second file of a landed batch
+    (folder / "late_20260101.csv").write_text("\n".join([",".join(feed.columns), payer("009")]) + "\n")
+    land(spark, str(tmp_path), feed, layers)
+    assert rows(layers.read("bronze_payer"), "payer_id", "_batch_id") == [("PAY001", "20260101"), ("PAY009", "20260101")]
+    assert layers.read("landed_payer").count() == 2

@@ -1,9 +1,13 @@
-"""Bronze: all-string landing of dated files, idempotent per batch."""
+"""Bronze: all-string landing of dated files, once per file.
+
+A ledger table per feed holds the files that have landed. A run lists the folder, takes what the ledger does not have, and opens
+only that: its work follows the delivery, not the history.
+"""
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,35 +25,45 @@ def with_provenance(df: DataFrame, file_name: str = "_file") -> DataFrame:
             .withColumn("_batch_id", F.regexp_extract(F.col(file_name), BATCH, 1)).drop(file_name))
 
 
-def read_feed(spark: SparkSession, root: str, feed: Feed) -> DataFrame:
-    """Every file of a feed as strings.
+def read_feed(spark: SparkSession, root: str, feed: Feed, paths: Sequence[str] | None = None) -> DataFrame:
+    """Every file of a feed, or the given ones, as strings.
 
     The declared schema names columns, and a file whose header disagrees (order included) fails
     instead of landing values under the wrong names.
     """
+    paths = list(paths or [f"{root}/{feed.folder}/*.{_kind(feed)}"])
     if feed.workbook:
-        return with_provenance(read_workbooks(spark, f"{root}/{feed.folder}/*.xlsx", feed.columns))
-    rows = (spark.read.schema(feed.schema).option("header", True).option("enforceSchema", False)
-            .csv(f"{root}/{feed.folder}/*.csv"))
+        return with_provenance(read_workbooks(spark, paths, feed.columns))
+    rows = spark.read.schema(feed.schema).option("header", True).option("enforceSchema", False).csv(paths)
     return with_provenance(rows.select(*feed.columns, F.col("_metadata.file_name").alias("_file")))
 
 
-def new_batches(rows: DataFrame, landed: DataFrame | None) -> DataFrame:
-    """Rows of batches the target does not hold yet.  An anti-join: no list reaches the driver."""
-    if landed is None:
-        return rows
-    return rows.join(landed.select("_batch_id").distinct(), "_batch_id", "left_anti").select(*rows.columns)
+def _kind(feed: Feed) -> str:
+    return "xlsx" if feed.workbook else "csv"
+
+
+def not_landed(spark: SparkSession, root: str, feed: Feed, layers: Layers) -> DataFrame:
+    """Listed files that the ledger does not have; nothing is opened. A name that has landed is never landed again."""
+    listed, ledger = list_files(spark, root, feed), f"landed_{feed.table}"
+    if not layers.exists(ledger):
+        return listed
+    return listed.join(layers.read(ledger).select("file").distinct(), "file", "left_anti").select(*listed.columns)
 
 
 def land(spark: SparkSession, root: str, feed: Feed, layers: Layers) -> None:
-    """Add new batches to the Bronze table.
+    """Add new files to the Bronze table, then to the ledger.
 
-    Each batch owns a partition and is written by replacing that partition, so a run that died
-    half-way is repaired by running it again.
+    Each file owns a partition below its batch and is written by replacing that partition, so a run that died half-way, also
+    between table and ledger, is repaired by running it again, and a file that comes late to a landed batch is added to it.
+    The new names go through the driver, where Spark's reader needs them anyway.
     """
-    target = f"bronze_{feed.table}"
-    held = layers.read(target) if layers.exists(target) else None
-    layers.replace_partitions(target, new_batches(read_feed(spark, root, feed), held), ["_batch_id"])
+    new = not_landed(spark, root, feed, layers).collect()
+    if not new:
+        return
+    rows = read_feed(spark, root, feed, [r["path"] for r in new])
+    layers.replace_partitions(f"bronze_{feed.table}", rows, ["_batch_id", "_source_file"])
+    layers.append(f"landed_{feed.table}", spark.createDataFrame(
+        [(r["file"], r["batch_id"], r["length"]) for r in new], "file string, batch_id string, length long").coalesce(1))
 
 
 def land_all(spark: SparkSession, root: str, layers: Layers, tables: Iterable[str] = FEEDS) -> None:
@@ -59,11 +73,10 @@ def land_all(spark: SparkSession, root: str, layers: Layers, tables: Iterable[st
 
 def list_files(spark: SparkSession, root: str, feed: Feed) -> DataFrame:
     """One row per delivered file, including files without rows (the content is not read)."""
-    pattern = "*.xlsx" if feed.workbook else "*.csv"
-    files = spark.read.format("binaryFile").load(f"{root}/{feed.folder}/{pattern}")
+    files = spark.read.format("binaryFile").load(f"{root}/{feed.folder}/*.{_kind(feed)}")
     name = F.element_at(F.split("path", "/"), -1)
     return files.select(F.lit(feed.table).alias("feed"), name.alias("file"),
-                        F.regexp_extract(name, BATCH, 1).alias("batch_id"), "length")
+                        F.regexp_extract(name, BATCH, 1).alias("batch_id"), "length", "path")
 
 
 def profile_headers(spark: SparkSession, root: str, feed: Feed) -> DataFrame:

@@ -21,11 +21,11 @@ class Layers:
         return f"{self.root}/{table}" if self.root else f"{self.schema}.{table}"
 
     def read(self, table: str) -> DataFrame:
-        """The table; folder values of ``_batch_id`` stay text, whatever they look like."""
+        """The table; folder values of ``_batch_id`` and ``_source_file`` stay text, whatever they look like."""
         if not self.root:
             return self.spark.read.table(self._name(table))
         df = self.spark.read.parquet(self._name(table))
-        fields = [T.StructField(f.name, T.StringType()) if f.name == "_batch_id" else f for f in df.schema]
+        fields = [T.StructField(f.name, T.StringType()) if f.name in ("_batch_id", "_source_file") else f for f in df.schema]
         declared = T.StructType(fields)
         return df if declared == df.schema else self.spark.read.schema(declared).parquet(self._name(table))
 

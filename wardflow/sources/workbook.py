@@ -1,4 +1,4 @@
-"""Roster workbooks: one task per file, every cell as text.
+"""Roster workbooks, every cell as text.
 
 The only row-level Python in the library.  An XLSX file is a zip of XML parts; the sheet is
 parsed as a stream, so a task holds one Arrow batch of rows, not the sheet.
@@ -10,26 +10,26 @@ from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 SHEET = "Roster"
 HEADER_START = "Facility ID"
 BATCH_ROWS = 5000
 
 
-def read_workbooks(spark: SparkSession, pattern: str, columns: Sequence[str], sheet: str = SHEET,
+def read_workbooks(spark: SparkSession, pattern: str | list[str], columns: Sequence[str], sheet: str = SHEET,
                    header_start: str = HEADER_START) -> DataFrame:
     """Rows below the header of ``sheet``; workbooks without that sheet are skipped.
 
     The header is the first row whose first cell is ``header_start``; title rows above and blank
-    rows below are dropped.  Cells are matched to ``columns`` by normalised header name.
+    rows below are dropped.  Cells are matched to ``columns`` by normalised header name.  Files are parsed by the tasks
+    that read them (no shuffle of their bytes); a task holds what ``spark.sql.files.maxPartitionBytes`` gives it, or one file.
     """
     wanted = list(columns)
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from wardflow.sources.workbook import sheet_rows
         for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
+            for path, content in zip(batch["path"], batch["content"], strict=True):
                 name, rows = path.rsplit("/", 1)[-1], []
                 for row in sheet_rows(content, sheet, header_start):
                     rows.append([row.get(c) for c in wanted] + [name])
@@ -41,7 +41,7 @@ def read_workbooks(spark: SparkSession, pattern: str, columns: Sequence[str], sh
 
     files = spark.read.format("binaryFile").load(pattern).select("path", "content")
     schema = ", ".join(f"`{c}` string" for c in [*wanted, "_file"])
-    return files.repartition(F.col("path")).mapInPandas(parse, schema)
+    return files.mapInPandas(parse, schema)
 
 
 def sheet_rows(content: bytes, sheet: str, header_start: str) -> Iterator[dict[str, str | None]]:

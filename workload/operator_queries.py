@@ -224,7 +224,7 @@ def _(h):
 
 
 @register("encounter_minutes_by_day", f"""select strftime(d, '%Y-%m-%d') as day, count(*) as stays, round(sum(date_diff('second', greatest(s, d), least(e, d + interval 1 day))) / 60, 9) as minutes from
-  (select s, e, unnest(generate_series(date_trunc('day', s), date_trunc('day', e), interval 1 day)) as d from (select {typed('time', '"Start"')} as s, {typed('time', '"Stop"')} as e from picked_encounters) where e > s)
+  (select s, e, unnest(generate_series(date_trunc('day', s), date_trunc('day', e), interval 1 day)) as d from (select {typed('clinical', '"Start"')} as s, {typed('clinical', '"Stop"')} as e from picked_encounters) where e > s)
   where least(e, d + interval 1 day) > greatest(s, d) group by 1""")
 def _(h):
     daily = clip_to_days(h._silver.base("encounters").select("Start_ts", "Stop_ts"), "Start_ts", "Stop_ts")
