@@ -250,3 +250,21 @@ def test_settled_tables_are_discarded(spark):
     discard(first)  # nothing more happens
     assert held - start > 8_000_000 and _bytes_under(folder) < held - 8_000_000
     assert second.count() == 200_000
+
+
+def test_percentiles_of_values_that_lie_close(spark, monkeypatch):
+    """All values of a group within 1 % of each other: histograms narrow the bands until each is short."""
+    monkeypatch.setattr(percentiles, "SHORT", 200)
+    rng = np.random.default_rng(5)
+    close = 1.7e9 + rng.integers(0, 2_000_000, 20_000) / 7
+    tiny = np.concatenate([rng.random(3000) * 1e-200, rng.random(3000) * 1e-3, -rng.random(3000) * 1e-3, [0.0, -0.0]])
+    far = [float("inf")] * 5 + [float("-inf")] * 6 + [1.0, 1.5, float("nan")]
+    rows = [("close", float(v)) for v in close] + [("tiny", float(v)) for v in tiny] + [("far", v) for v in far] + [(None, None), ("none", None)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(4)
+    wanted = {"p0": 0.0, "p10": 0.1, "p50": 0.5, "p999": 0.999, "p100": 1.0}
+    got = {r["k"]: r for r in percentiles.exact_percentiles(df, ["k"], "v", wanted).collect()}
+    assert set(got) == {"close", "tiny", "far"}
+    for name, values in (("close", close), ("tiny", tiny)):
+        for column, q in wanted.items():
+            assert got[name][column] == pytest.approx(float(np.quantile(values, q)), rel=1e-15, abs=1e-300)
+    assert (got["far"]["p0"], got["far"]["p50"], got["far"]["p100"]) == (float("-inf"), 1.0, float("inf"))

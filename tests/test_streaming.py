@@ -3,6 +3,7 @@
 import datetime as dt
 import gzip
 import json
+import os
 
 from pyspark.sql import functions as F
 
@@ -115,3 +116,29 @@ def test_in_flight_is_no_orphan(spark, rows):
     stream = spark.createDataFrame([("E1",), ("E2",)], "encounter_id string")
     known = spark.createDataFrame([("E1", "F1")], "encounter_id string, facility string")
     assert rows(ev.enrich_static(stream, known, ["facility"])) == [("E1", "F1", "closed"), ("E2", None, "in_flight")]
+
+
+def test_silence_alarms_are_live_and_equal_batch(spark, tmp_path, rows):
+    """Micro-batches with readings out of order: one alarm per silence, none after discharge, no state left."""
+    from wardflow.streaming.alarms import silence_alarms, silences
+    minute = lambda m: (START + dt.timedelta(minutes=m)).strftime("%Y-%m-%dT%H:%M:%S")
+    batches = [[("A", 0, 0), ("A", 3, 0), ("B", 1, 0), ("C", 2, 0)],
+               [("A", 12, 0), ("A", 11, 0), ("B", 3, 1), ("C", 4, 0), (None, 5, 0)],
+               [("A", 8, 0), ("C", 30, 0), ("C", 31, 1), ("D", 31, 0)],
+               [("A", 33, 0), ("A", 34, 1), ("B", 60, 0), ("B", 61, 1), ("D", 60, 1), ("Z", 90, 1)]]
+    (tmp_path / "in").mkdir()
+    for number, batch in enumerate(batches):
+        path = tmp_path / "in" / f"{number}.json"
+        path.write_text("\n".join(json.dumps({"encounter_id": e, "event_time": minute(m), "ends": bool(x)}) for e, m, x in batch))
+        os.utime(path, (1_700_000_000 + number, 1_700_000_000 + number))
+    schema = "encounter_id string, event_time timestamp, ends boolean"
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(str(tmp_path / "in")).withWatermark("event_time", "5 minutes")
+    query = (silence_alarms(stream).writeStream.format("memory").queryName("silence").outputMode("append")
+             .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
+    query.awaitTermination(180)
+    live = rows(spark.table("silence"), "encounter_id", "silent_since", "alarm_at")
+    known = spark.read.schema(schema).json(str(tmp_path / "in"))
+    assert live == rows(silences(known, minute(85)), "encounter_id", "silent_since", "alarm_at")
+    assert [(r[0], int((r[1] - START).total_seconds() // 60)) for r in live] == [("A", 12), ("C", 4), ("D", 31)]
+    left = query.lastProgress["stateOperators"][0]["numRowsTotal"]
+    assert left <= 1  # at most the last discharge, which the watermark has not passed

@@ -2,10 +2,11 @@
 
 Spark's ``percentile`` keeps every distinct value of a group in one task's memory.  That is the
 right tool where the domain is small (days between two dates), and is used there.  For free
-values this operator counts (group, value) pairs first, then finds the target ranks through
-coarse value bands: only the bands that hold a target are ever ordered.  A band is a function of
-the value alone (a step of about 1 % in magnitude), so no estimate is involved and the result
-equals linear-interpolation percentiles exactly.
+values this operator counts (group, value) pairs first and selects the wanted ranks by histograms, level by level:
+first over bands of the value's magnitude (steps of about 1 %), then over ``DIGIT`` equal slots between the least and
+the largest value of each band that holds a wanted rank, and so on until those bands are short.  Only what is left of
+them is ordered.  A slot never decreases with the value, so no estimate is involved and the result equals
+linear-interpolation percentiles exactly; and no task orders more than ``SHORT`` values of a band, however close a group's values lie.
 """
 
 from __future__ import annotations
@@ -19,6 +20,12 @@ from wardflow.operators.joins import group_join
 from wardflow.session import settle
 
 
+#: Slots of a histogram below the first level.
+DIGIT = 256
+#: Distinct values of a band that one task may order.
+SHORT = 50_000
+
+
 def _band(value: Column) -> Column:
     finite = F.when(F.abs(value) == float("inf"), F.lit(2.0 ** 25)).otherwise(F.log2(F.abs(value) + 1) * 64)
     band = (F.signum(value) * F.floor(finite)).cast("int")  # infinities have the outermost bands
@@ -37,30 +44,31 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,
     null_safe = [F.coalesce(F.col(k).cast("string"), F.lit("\0")).alias(f"_k{i}")
                  for i, k in enumerate(keys)]
     ids = [f"_k{i}" for i in range(len(keys))]
-    counted = (base.select(*keys, *null_safe, F.col(value).cast("double").alias("_v"))
-               .filter("_v IS NOT NULL AND NOT isnan(_v)").groupBy(*keys, *ids, "_v")
-               .agg(F.count(F.lit(1)).alias("_n")).withColumn("_band", _band(F.col("_v"))))
-    bands = counted.groupBy(*keys, *ids, "_band").agg(F.sum("_n").alias("_n"))
+    counted = settle(base.select(*keys, *null_safe, F.col(value).cast("double").alias("_v"))
+                     .filter("_v IS NOT NULL AND NOT isnan(_v)").groupBy(*keys, *ids, "_v")
+                     .agg(F.count(F.lit(1)).alias("_n")).withColumn("_band", _band(F.col("_v"))))
+    histogram = [F.sum("_n").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"), F.count(F.lit(1)).alias("_distinct")]
+    bands = counted.groupBy(*keys, *ids, "_band").agg(*histogram)
     group = Window.partitionBy(*ids)
     upto = group.orderBy("_band").rowsBetween(Window.unboundedPreceding, -1)
-    placed = bands.select(*keys, *ids, "_band", "_n", F.sum("_n").over(group).alias("_size"),
-                          F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_before"))
+    placed = bands.withColumn("_size", F.sum("_n").over(group)).withColumn("_before", F.coalesce(F.sum("_n").over(upto), F.lit(0)))
     ranks = F.array(*[F.struct(F.lit(name).alias("name"), (F.lit(q) * (F.col("_size") - 1)).alias("at"))
                       for name, q in wanted.items()])
-    targets = (placed.withColumn("_t", F.explode(ranks))
-               .withColumn("_rank", F.explode(F.array_distinct(F.array(
-                   F.floor("_t.at"), F.ceil("_t.at")))))
-               .filter((F.col("_rank") >= F.col("_before"))
-                       & (F.col("_rank") < F.col("_before") + F.col("_n")))
-               .select(*ids, "_band", "_before", "_rank", F.col("_t.name").alias("_name"),
-                       F.col("_t.at").alias("_at")))
-    needed = targets.select(*ids, "_band", "_before").distinct()
-    inside = (Window.partitionBy(*ids, "_band").orderBy("_v")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    ordered = (counted.join(needed, [*ids, "_band"])
+    within_band = (F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_n"))
+    wanted_ranks = placed.withColumn("_t", F.explode(ranks)).withColumn("_rank", F.explode(F.array_distinct(F.array(
+        F.floor("_t.at"), F.ceil("_t.at"))))).withColumns({"_name": F.col("_t.name"), "_at": F.col("_t.at")})
+    mine = [*ids, "_name", "_at", "_rank"]
+    targets = settle(wanted_ranks.filter(within_band).select(*mine, "_band", "_low", "_high", "_before", "_distinct"))
+    inner = counted.join(targets.select(*ids, "_band").distinct(), [*ids, "_band"])
+    while (targets.agg(F.max("_distinct")).first()[0] or 0) > SHORT:
+        targets = settle(_narrowed(inner, targets, ids, mine, histogram, within_band))
+    # bands are told apart by their least value; a short one is ordered whole
+    needed = targets.select(*ids, "_band", F.col("_low").alias("_from_v"), F.col("_high").alias("_to_v"), "_before").distinct()
+    inside = (Window.partitionBy(*ids, "_from_v").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1))
+    ordered = (inner.join(needed, [*ids, "_band"]).filter(F.col("_v").between(F.col("_from_v"), F.col("_to_v")))
                .withColumn("_from", F.col("_before") + F.coalesce(F.sum("_n").over(inside), F.lit(0)))
-               .drop("_before"))
-    hits = (ordered.join(targets.drop("_before"), [*ids, "_band"])
+               .drop("_before", "_band"))
+    hits = (ordered.join(targets.select(*mine, F.col("_low").alias("_from_v")), [*ids, "_from_v"])
             .filter((F.col("_rank") >= F.col("_from"))
                     & (F.col("_rank") < F.col("_from") + F.col("_n"))))
     low, part = F.floor("_at"), F.col("_at") - F.floor("_at")
@@ -74,6 +82,19 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,
     return out.drop(*ids, "_all")
 
 
+def _narrowed(inner: DataFrame, targets: DataFrame, ids: list[str], mine: list[str], histogram: list[Column], within_band: Column) -> DataFrame:
+    """Targets, each with the slot of its band that holds its rank as the new band. A histogram has one row per band and slot."""
+    open_ = targets.select(*ids, "_band", F.col("_low").alias("_from_v"), F.col("_high").alias("_to_v"), "_before").distinct()
+    width = F.col("_to_v") - F.col("_from_v")
+    slot = F.when(width > 0, F.floor((F.col("_v") - F.col("_from_v")) / width * DIGIT)).otherwise(F.lit(0)).cast("int")
+    slots = (inner.join(open_, [*ids, "_band"]).filter(F.col("_v").between(F.col("_from_v"), F.col("_to_v")))
+             .groupBy(*ids, "_band", "_from_v", "_before", slot.alias("_slot")).agg(*histogram))
+    upto = Window.partitionBy(*ids, "_from_v").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    shifted = slots.withColumn("_before", F.col("_before") + F.coalesce(F.sum("_n").over(upto), F.lit(0)))
+    return (targets.select(*mine, "_band", F.col("_low").alias("_from_v")).join(shifted, [*ids, "_band", "_from_v"])
+            .filter(within_band).select(*mine, "_band", "_low", "_high", "_before", "_distinct"))
+
+
 def medians_with(df: DataFrame, keys: Sequence[str], value: str,
                  wanted: Mapping[str, float], *aggregates: Column) -> DataFrame:
     """Percentiles joined to other aggregates of the same groups (NULL keys included).

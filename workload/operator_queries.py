@@ -13,6 +13,7 @@ from wardflow.operators import aggregates, dedupe, joins, neighbours, ordered, s
 from wardflow.operators.intervals import clip_to_days
 from wardflow.operators.percentiles import exact_percentiles, medians_with
 from wardflow.operators.quality import add_issue, gate
+from wardflow.streaming.alarms import silences
 from wardflow.streaming import events as ev
 from wardflow.streaming import prescriptions, vitals
 from workload import oracle_tables as ot
@@ -430,6 +431,16 @@ def _(h):
     return present(vitals.signal_gaps(readings(h), 7200), ["encounter_id", "charttime", "gap_seconds"])
 
 
+@register("silence_alarms", """select encounter_id, strftime(c, '%Y-%m-%d %H:%M:%S') as silent_since, strftime(c + interval 2 hour, '%Y-%m-%d %H:%M:%S') as alarm_at from
+  (select encounter_id, c, ends, lead(c) over (partition by encounter_id order by c, ends) as n from
+    (select distinct user_id::varchar as encounter_id, date_trunc('second', ts) as c, event_type = 'error' as ends from events where user_id is not null and ts is not null))
+  where not ends and coalesce(n, timestamp '2030-01-01') > c + interval 2 hour""")
+def _(h):
+    watched = t(h, "events").select(F.col("user_id").alias("encounter_id"), F.date_trunc("second", "ts").alias("event_time"),
+                                    (F.col("event_type") == "error").alias("ends"))
+    return present(silences(watched, "2030-01-01", 7200))
+
+
 @register("stream_in_flight", """select case when e."Id" is null then 'in_flight' else 'closed' end as encounter_state, count(*) as events from stream_readings r
   left join (select "Id" from silver_encounters where _dq_passed) e on e."Id" = r.encounter_id group by 1""", **STREAM)
 def _(h):
