@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,6 +52,7 @@ def shared_folder(spark: SparkSession) -> str:
 #: Makes Spark remove the shuffle files of an execution at its end.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _FOLDERS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+_WATCHED: list[list[DataFrame]] = []
 
 
 def settle(df: DataFrame) -> DataFrame:
@@ -70,9 +73,22 @@ def settle(df: DataFrame) -> DataFrame:
             spark.conf.set(_CLEANUP, before)
     written = spark.read.schema(df.schema).parquet(path)
     _FOLDERS[written] = path
+    for tables in _WATCHED:
+        tables.append(written)
     return written
 
 
+@contextmanager
+def watched() -> Iterator[list[DataFrame]]:
+    """The list of tables settled inside, to be discarded when what was made of them has been written."""
+    tables: list[DataFrame] = []
+    _WATCHED.append(tables)
+    try:
+        yield tables
+    finally:
+        _WATCHED[:] = [t for t in _WATCHED if t is not tables]
+
+
 def discard(*tables: DataFrame) -> None:
     """Give back the disk of settled tables that nothing will read again: their folders are overwritten with no rows."""
     for table in tables:
