@@ -73,7 +73,7 @@ def phrase_matches(index: DataFrame, phrases: DataFrame) -> DataFrame:
                 .agg(F.count("*").alias("met")).filter("met = need").select("window", "doc", "start", "size"))
 
     by_rarest = settle(shifted(posted, ranked.filter(F.col("nth") <= RAREST)))
-    in_docs = posted.join(settle(by_rarest.select("doc").distinct().coalesce(1)), "doc", "left_semi")
+    in_docs = posted.join(settle(by_rarest.select("doc").distinct()), "doc", "left_semi")
     rest = ranked.filter(F.col("nth") > RAREST)
     expected = (by_rarest.join(rest.select("window", "offset", "term"), "window")
                 .select("window", "doc", "start", "size", (F.col("start") + F.col("offset")).alias("pos"), "term"))

@@ -169,14 +169,18 @@ def remainder(doc_id: Column) -> Column:
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> RuleModel:
     """Fit on labelled rows outside the held-out quarter (crc32 of the id as text mod 4 is 2).
 
-    At most ``max_rows`` labels are used, those with the smallest hash of their id: a bound on what the driver holds,
-    the same rows at every layout. Null labels and labels without a document are left out.
+    At most ``max_rows`` distinct pairs of id and label are used, those with the smallest hash of their id, and of documents that share an
+    id the one with the least statistics: a bound on what the driver holds, the same rows at every layout. Labels are counted
+    first and only one in so many by hash is ordered. Null labels and labels without a document are left out.
     """
-    sample = (labels.filter(F.col("quality").isNotNull() & (remainder(F.col("doc_id")) != 2))
-              .select(F.col("doc_id").alias("_id"), F.col("quality").cast("int").alias("_quality"))
-              .orderBy(F.xxhash64("_id"), "_id", "_quality").limit(max_rows))
+    fit_for = (labels.filter(F.col("quality").isNotNull() & (remainder(F.col("doc_id")) != 2))
+               .select(F.col("doc_id").alias("_id"), F.col("quality").cast("int").alias("_quality")).distinct()
+               .withColumn("_hash", F.xxhash64("_id")))
+    one_in = max(1, fit_for.count() // (2 * max_rows))
+    sample = (fit_for.filter(F.pmod("_hash", F.lit(one_in)) == 0).orderBy("_hash", "_id", "_quality").limit(max_rows).drop("_hash"))
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id"))  # max_rows bounds its size
-    told = with_statistics(rows.select("_id", "text", "_quality")).select("_id", "_quality", "stats.*").toPandas()
+    told = (with_statistics(rows.select("_id", "text", "_quality")).groupBy("_id", "_quality").agg(F.min("stats").alias("stats"))
+            .select("_id", "_quality", "stats.*").toPandas())
     told = told.sort_values(["_id", "_quality", *STATISTICS])
     return fit_rules(told[STATISTICS].to_numpy(dtype=float), told["_quality"].tolist())
 
