@@ -1,5 +1,7 @@
 """Stages of the pipeline on rows that share an id or have none."""
 
+import zlib
+
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -44,3 +46,36 @@ def test_ids_of_any_value(spark):
     colliding = exact_dedup.exact_groups(docs, digest=lambda text: F.unhex(F.lit("00")))
     assert sorted(map(str, colliding.collect())) == sorted(map(str, groups.collect()))
     assert exact_dedup.keep_one(docs).count() == 6
+
+
+def test_what_the_quality_fit_holds_is_bounded_by_its_labels(spark, monkeypatch):
+    """20,000 rows of one id are one lesson, whatever they say; repeated labels count once."""
+    from pyspark.sql import functions as F
+
+    from wardflow.llm import quality
+    held = []
+    monkeypatch.setattr(quality, "fit_rules", lambda x, y: held.append((x, list(y))))
+    docs = spark.range(20_000).select(F.lit(1).cast("long").alias("doc_id"), F.concat(F.lit("word "), F.col("id").cast("string")).alias("text"))
+    docs = docs.unionByName(spark.createDataFrame([(3, "other words"), (4, None)], "doc_id long, text string"))
+    labels = spark.createDataFrame([(1, 1), (1, 1), (3, 0), (4, 0), (None, 1), (9, 1)], "doc_id long, quality int")
+    quality.train(docs, labels, max_rows=100)
+    x, y = held[0]
+    assert len(x) == len(y) == len({i for i in (1, 3, 4) if zlib.crc32(str(i).encode()) % 4 != 2}) and len(x) > 1
+
+
+def test_ids_of_one_document_id_are_cut_into_ranges(spark, tmp_path):
+    """20,000 rows that share an id are written by several tasks, in one order, and read back whole."""
+    from pyspark.sql import functions as F
+
+    from wardflow.llm import token_ids
+    from wardflow.llm.common import vocabulary
+    docs = spark.range(20_000).select(F.lit(7).cast("long").alias("doc_id"), F.concat(F.lit("row "), F.col("id").cast("string")).alias("text"))
+    merging = "spark.sql.adaptive.coalescePartitions.enabled"  # would make one task of so few rows
+    spark.conf.set(merging, "false")
+    token_ids.write_ids(docs.repartition(4), str(tmp_path / "ids"), vocabulary("word_bpe_49k.json"))
+    spark.conf.set(merging, "true")
+    read = token_ids.read_ids(spark, str(tmp_path / "ids"))
+    per_shard = [r["n"] for r in read.groupBy("shard").agg(F.count("*").alias("n")).collect()]
+    assert sum(per_shard) == 20_000 and len(per_shard) > 1
+    at = sorted((r["start"], r["n_tokens"]) for r in token_ids.positions(read).collect())
+    assert all(a + n == b for (a, n), (b, _) in zip(at, at[1:])) and at[0][0] == 0

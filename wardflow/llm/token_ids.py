@@ -46,7 +46,8 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str, end: int = END) -> No
                 seq += n
 
     ordered = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
-               .repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text")))
+               .withColumn("_print", F.xxhash64("text"))  # rows of one id or without one are cut into ranges as well
+               .repartitionByRange("doc_id", "_print").sortWithinPartitions("doc_id", "_print").drop("_print"))
     (ordered.mapInArrow(encode, "shard int, seq long, doc_id long, ids array<int>").write.mode("overwrite")
      .option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", "0.01")
      .option("orc.row.index.stride", ROW_GROUP).option("compression", "zstd").orc(path))
