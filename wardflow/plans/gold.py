@@ -112,6 +112,10 @@ class Gold:
             self._tables[name] = getattr(self, f"_{name}")()
         return self._tables[name]
 
+    def use(self, **tables: DataFrame) -> None:
+        """Take these tables as they are instead of building them."""
+        self._tables.update(tables)
+
     # dimensions
     def _dim_date(self) -> DataFrame:
         return dim_date(self._spark, *self._calendar)
