@@ -48,3 +48,11 @@ def test_rows_of_every_kind(spark):
     long = next(r for r in got if r[0] == 3)
     assert long[1:3] == (12000, 3001) and 4 * 1023 <= long[3] <= 4 * 1024
     assert token_prefixes(docs.limit(0), vocabulary("byte_bpe_50k.json")).collect() == []
+
+
+def test_counts_without_tables_are_those_of_the_tables():
+    counter = PrefixCounter(vocabulary("byte_bpe_50k.json"), most=40)
+    for text in [None, "", "the " * 300, "日本" * 90 + " x", *[" ".join(_texts(6, seed)) for seed in range(400)]]:
+        table = counter.table(text)
+        for budget in (0, 1, 2, 7, 20, 1024):
+            assert counter.counted(text, budget) == (count_at(table, len(table)), longest_prefix(table, budget)), (text, budget)
