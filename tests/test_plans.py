@@ -123,6 +123,24 @@ def test_freshness_tells_empty_from_missing(spark, rows):
     assert got == [("daily", "20260105", "ok"), ("daily", "20260106", "empty"), ("daily", "20260107", "missing"), ("weekly", "20260105", "ok")]
 
 
+def test_due_from_first_to_last_batch_of_each_feed(spark, rows):
+    delivered = spark.createDataFrame([("daily", "20260105", 10), ("daily", "20260107", 0), ("weekly", "20260104", 3), ("weekly", "20260113", 3),
+                                       ("daily", "no day", 1), ("unknown", "20260105", 1)], "feed string, batch_id string, rows long")
+    due = audit.due_deliveries([audit.Cadence("daily"), audit.Cadence("weekly", 1), audit.Cadence("never")], delivered)
+    assert rows(due, "feed", "batch_id") == [("daily", "20260105"), ("daily", "20260106"), ("daily", "20260107"),
+                                             ("weekly", "20260105"), ("weekly", "20260112")]
+
+
+def test_every_feed_has_a_cadence():
+    from wardflow.sources.feeds import FEEDS, cadences
+    assert {c.feed for c in cadences()} == set(FEEDS) and len(FEEDS) == 22
+
+
+def test_check_summary(spark, rows):
+    results = spark.createDataFrame([("a", "PASS"), ("b", "PASS"), ("c", "WARN")], "check_name string, status string")
+    assert rows(audit.check_summary(results), "status", "checks") == [("PASS", 2), ("WARN", 1)]
+
+
 def test_truncated_batch(spark, rows):
     counts = [("f", f"2026010{i}", n) for i, n in enumerate([100, 101, 99, 100, 60, 100], 1)]
     got = rows(audit.volume_check(spark.createDataFrame(counts, "feed string, batch_id string, rows long")), "batch_id", "status")

@@ -13,7 +13,7 @@ from workload.compare import compare, connect
 FOLDER = "/root/testdata/sf0.001"
 DEFAULT = ["silver_claim_header", "silver_staff_schedules", "silver_patients", "gold_fact_claims", "gold_fact_staffing", "gold_dim_staff",
            "kpi_ed_waits_by_facility", "kpi_revenue_at_risk_by_payer", "kpi_readmission_by_cohort", "kpi_midnight_census", "kpi_stockout_risk",
-           "dash_operational", "dq_orphan_matrix", "dq_volume", "customer_versions_closed", "orders_as_of_version", "skewed_event_lookup",
+           "dash_operational", "dq_orphan_matrix", "dq_volume", "dq_freshness", "customer_history_applied", "customer_versions_closed", "orders_as_of_version", "skewed_event_lookup",
            "abc_classes_of_parts", "stream_news2"]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="supplied tables not present")

@@ -130,6 +130,20 @@ def expected_deliveries(spark: SparkSession, cadences: Sequence[Cadence], first:
                     F.date_format("due", "yyyyMMdd").alias("batch_id")))
 
 
+def due_deliveries(cadences: Sequence[Cadence], delivered: DataFrame) -> DataFrame:
+    """What each feed owed between its first and its last batch, found in ``delivered`` (feed, batch_id, ...) itself.
+
+    Batches whose id is no yyyyMMdd day set no bound; a feed without any batch owes nothing yet. One row per feed and day.
+    """
+    weekday = F.try_element_at(F.create_map(*[F.lit(x) for c in cadences for x in (c.feed, c.weekday or 0)]), F.col("feed"))
+    day = F.try_to_date("batch_id", "yyyyMMdd")
+    spans = (delivered.groupBy("feed").agg(F.min(day).alias("_first"), F.max(day).alias("_last"))
+             .withColumn("_weekday", weekday).filter("_weekday IS NOT NULL"))
+    return (spans.withColumn("due", F.explode(F.sequence("_first", "_last")))
+            .filter((F.col("_weekday") == 0) | (F.weekday("due") + 1 == F.col("_weekday")))
+            .select("feed", "due", F.date_format("due", "yyyyMMdd").alias("batch_id")))
+
+
 def freshness(expected: DataFrame, delivered: DataFrame) -> DataFrame:
     """``missing`` (no file) against ``empty`` (a file without rows) against ``ok``.
 

@@ -92,6 +92,7 @@ def run_checks(tables: Callable[[str], DataFrame]) -> DataFrame:
     stock = kpi_pharmacy.stockout_risk(inventory)
     return stack([
         check(ed_counts, "ed_throughput_measures_present", F.col("n") == 3, F.col("n"), "FAIL"),
+        check(ed.agg(F.count_distinct(F.to_date("intime_ts")).alias("n")), "wait_trend_has_points", F.col("n") > 1, F.col("n")),
         band_check(occupancy, "mean_occupancy_in_band", "mean_occupancy", *OCCUPANCY_BAND),
         check(occupancy, "some_units_at_capacity", F.col("share_at_capacity") > 0,
               F.round("share_at_capacity", 4)),
@@ -105,11 +106,16 @@ def run_checks(tables: Callable[[str], DataFrame]) -> DataFrame:
               F.round("spread", 4)),
         check(readmission, "enough_index_stays", F.col("is_computable"), F.col("index_admissions")),
         band_check(readmission, "readmission_rate_in_band", "rate", *READMISSION_BAND),
+        check(kpi_readmissions.rule_breaks(admissions), "index_stays_follow_rules", F.col("rule_breaks") == 0, F.col("rule_breaks"), "FAIL"),
         band_check(claims, "denial_rate_in_band", "denial_rate", *DENIAL_BAND),
         check(claims, "some_claims_paid", F.col("median_days_to_pay").isNotNull(),
               F.round("median_days_to_pay", 1), "FAIL"),
+        check(adjustments.agg(F.count_if(kpi_claims.adjustment_class() == "write_off").alias("n")), "write_offs_told_from_denials",
+              F.col("n") > 0, F.col("n")),
         violations(adjustments, "reason_16_has_remark", kpi_claims.missing_remark()),
         violations(adjustments, "reason_15_absent", kpi_claims.retired_reason()),
         check(stock, "some_stock_at_risk", F.col("share_at_risk") > 0, F.round("share_at_risk", 4)),
+        check(inventory.agg(F.count("dea_schedule").alias("n")), "controlled_drugs_flagged", F.col("n") > 0, F.col("n")),
         violations(inventory, "sedatives_unscheduled", kpi_pharmacy.wrongly_scheduled()),
+        check(ed.agg(F.count_if(kpi_ed.visible_defect()).alias("n")), "stay_defects_detectable", F.col("n") > 0, F.col("n")),
     ])

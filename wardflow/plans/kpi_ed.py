@@ -106,3 +106,9 @@ def outpatient_waits(visits: DataFrame, by: str = "facility_id") -> DataFrame:
     counts = visits.groupBy(by).agg(F.count(F.lit(1)).alias("visits"),
                                     share_of(F.col("is_no_show_bool")).alias("no_show_rate"))
     return group_join(counts, medians, [by])
+
+
+def visible_defect() -> Column:
+    """Defects that a stay shows by itself: it ends before it begins, has no acuity, or a heart rate that is no number."""
+    return (F.coalesce(F.col("outtime_ts") < F.col("intime_ts"), F.lit(False)) | F.col("acuity").isNull()
+            | (F.col("heartrate").isNotNull() & F.col("heartrate_int").isNull()))

@@ -39,6 +39,15 @@ def unplanned(admissions: DataFrame) -> DataFrame:
                              & ~F.coalesce("is_planned_readmission_bool", F.lit(False)))
 
 
+def rule_breaks(admissions: DataFrame) -> DataFrame:
+    """``rule_breaks``: index stays that died, left against advice, were psychiatric, or share their encounter with another index stay."""
+    barred = (F.col("hospital_expire_flag_bool") | (F.col("discharge_location") == AGAINST_ADVICE) | (F.col("hospital_service") == PSYCHIATRIC))
+    per_encounter = eligible_index(admissions).groupBy("encounter_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(barred).alias("barred"))
+    repeats = F.when(F.col("encounter_id").isNotNull(), F.col("n") - 1).otherwise(0)
+    return per_encounter.agg(F.coalesce(F.sum(F.col("barred") + repeats), F.lit(0)).alias("rule_breaks"))
+
+
 def linked_readmissions(admissions: DataFrame) -> DataFrame:
     """Unplanned readmissions whose index stay is itself eligible: one population, not two."""
     index = eligible_index(admissions).select(F.col("encounter_id").alias("index_encounter_id")).distinct()

@@ -10,6 +10,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from wardflow.operators.audit import Cadence
+
 PROVENANCE = ["_ingested_at", "_source_file", "_batch_id"]
 
 
@@ -135,6 +137,11 @@ FEEDS = {f.table: f for f in [
 ]}
 
 
+def cadences() -> list[Cadence]:
+    """When each registered feed is due."""
+    return [Cadence(f.table, f.weekday) for f in FEEDS.values()]
+
+
 def conform(df: DataFrame, feed: Feed) -> DataFrame:
     """All declared columns as strings in declared order (absent ones NULL), plus provenance."""
     have = set(df.columns)

@@ -10,7 +10,8 @@ from wardflow.plans import (checks, dashboards, findings, kpi_beds, kpi_casemix,
                             kpi_readmissions, kpi_staffing)
 from wardflow.plans.measures import Model
 from wardflow.plans.star import Attribute, Slice
-from wardflow.sources.feeds import FEEDS
+from wardflow.session import settle
+from wardflow.sources.feeds import FEEDS, cadences
 from workload import oracle_tables as ot
 from workload.oracle_tables import minutes
 from workload.queries import Hospital, present, register
@@ -531,24 +532,24 @@ def _(h):
     return present(checks.census_reconciliation(h._silver.base("bed_hourly"), h._silver.base("bed_nhsn")))
 
 
-SOURCES = {"claim_header": "orders", "bed_hourly": "events", "claim_line": "lineitem"}
-CADENCES = [audit.Cadence("claim_header"), audit.Cadence("claim_line"), audit.Cadence("bed_hourly", 3)]
-
-
 def _delivered(h):
-    return audit.stack([h.bronze(n).groupBy("_batch_id").agg(F.count(F.lit(1)).alias("rows"))
-                        .select(F.lit(n).alias("feed"), F.col("_batch_id").alias("batch_id"), "rows") for n in SOURCES])
+    return settle(audit.stack([h.bronze(n).groupBy("_batch_id").agg(F.count(F.lit(1)).alias("rows"))
+                               .select(F.lit(n).alias("feed"), F.col("_batch_id").alias("batch_id"), "rows") for n in FEEDS]))
 
 
-DELIVERED = " union all ".join(f"select '{n}' as feed, _batch_id as batch_id, count(*) as rows from bronze_{n} group by _batch_id" for n in SOURCES)
+DELIVERED = " union all ".join(f"select '{n}' as feed, _batch_id as batch_id, count(*) as rows from bronze_{n} group by _batch_id" for n in FEEDS)
+# The delivery calendar as agreed with the senders: reference data and rosters each Monday, the weekly bed report each Sunday, the rest daily.
+MONDAYS = ["facility", "unit", "payer", "drug", "staff", "icd10", "drg", "staff_schedules"]
+DUE_ON = f"case when feed in ({', '.join(repr(n) for n in MONDAYS)}) then isodow(d) = 1 when feed = 'bed_nhsn' then isodow(d) = 7 else true end"
 
 
-@register("dq_freshness", """select feed, strftime(due, '%Y-%m-%d') as due, batch_id, rows, case when rows is null then 'missing' when rows = 0 then 'empty' else 'ok' end as status
-  from (select feed, cast(d as date) as due, strftime(d, '%Y%m%d') as batch_id from (select unnest(generate_series(date '1995-01-01', date '2001-12-31', interval 1 day)) as d),
-    (values ('claim_header', null), ('claim_line', null), ('bed_hourly', 3)) f(feed, wd) where wd is null or isodow(d) = wd) left join delivered_batches using (feed, batch_id)""", delivered_batches=DELIVERED)
+@register("dq_freshness", f"""select feed, strftime(due, '%Y-%m-%d') as due, batch_id, rows, case when rows is null then 'missing' when rows = 0 then 'empty' else 'ok' end as status
+  from (select feed, cast(d as date) as due, strftime(d, '%Y%m%d') as batch_id from
+    (select feed, unnest(generate_series(min(strptime(batch_id, '%Y%m%d')), max(strptime(batch_id, '%Y%m%d')), interval 1 day)) as d from delivered_batches group by feed)
+    where {DUE_ON}) left join delivered_batches using (feed, batch_id)""", delivered_batches=DELIVERED)
 def _(h):
-    expected = audit.expected_deliveries(h.spark, CADENCES, "1995-01-01", "2001-12-31")
-    return present(audit.freshness(expected, _delivered(h)))
+    delivered = _delivered(h)
+    return present(audit.freshness(audit.due_deliveries(cadences(), delivered), delivered))
 
 
 @register("dq_volume", """select feed, batch_id, rows, usual_rows, case when rows < usual_rows * 0.95 then 'truncated' else 'ok' end as status from
@@ -585,6 +586,7 @@ def _ungated(sql: str) -> str:
 
 _PASS = {
     "ed_throughput_measures_present": (f"(select count(distinct measure) from {_ungated(ED_TALL)} where m is not null and measure in ('OP-18', 'ED-1', 'ED-2')) = 3", "FAIL"),
+    "wait_trend_has_points": (f"(select count(distinct cast(intime_ts as date)) from {_ungated(ED)}) > 1", "WARN"),
     "mean_occupancy_in_band": (f"(select avg(occ) filter (where not bad) from {BEDS}) between 0.55 and 0.95", "WARN"),
     "some_units_at_capacity": (f"(select avg(cast(occ >= 0.85 as int)) filter (where not bad) from {BEDS}) > 0", "WARN"),
     "bedless_rows_unrated": ("(select count(*) from silver_bed_hourly where staffed_beds_int - blocked_beds_int <= 0 and staffed_beds_int >= 0 and occupancy_rate_float is not null) = 0", "FAIL"),
@@ -595,16 +597,28 @@ _PASS = {
     "enough_index_stays": ("(select count(*) from index_stays) >= 30", "WARN"),
     "readmission_rate_in_band": ("""(select case when (select count(*) from index_stays) >= 30 then (select count(*) from unplanned_returns where index_encounter_id in (select encounter_id from index_stays))
       / (select count(*) from index_stays) end) between 0.05 and 0.30""", "WARN"),
+    "index_stays_follow_rules": ("""(select count(*) from index_stays where hospital_expire_flag_bool or discharge_location = 'AGAINST ADVICE' or hospital_service = 'PSYCH')
+      + (select count(*) - count(distinct encounter_id) from index_stays where encounter_id is not null) = 0""", "FAIL"),
     "denial_rate_in_band": (f"(select avg(cast(denied as int)) from {_ungated(CLAIMS)}) between 0.08 and 0.16", "WARN"),
     "some_claims_paid": (f"(select count(days) from {_ungated(CLAIMS)}) > 0", "FAIL"),
+    "write_offs_told_from_denials": ("(select count(*) from silver_remit_adjustment where group_code = 'CO' and reason_code in ('45', '97', '24')) > 0", "WARN"),
     "reason_16_has_remark": ("(select count(*) from silver_remit_adjustment where reason_code = '16' and is_denial_bool and remark_code is null) = 0", "FAIL"),
     "reason_15_absent": ("(select count(*) from silver_remit_adjustment where reason_code = '15') = 0", "FAIL"),
     "some_stock_at_risk": ("(select count(*) from silver_pharmacy_inventory where qty_on_hand_int <= reorder_point_int) > 0", "WARN"),
+    "controlled_drugs_flagged": ("(select count(dea_schedule) from silver_pharmacy_inventory) > 0", "WARN"),
     "sedatives_unscheduled": ("(select count(*) from silver_pharmacy_inventory where regexp_matches(lower(drug_name), 'propofol|dexmedetomidine') and dea_schedule is not null) = 0", "FAIL"),
+    "stay_defects_detectable": ("""(select count(*) from silver_ed_stays where outtime_ts < intime_ts or acuity is null
+      or (heartrate is not null and heartrate_int is null)) > 0""", "WARN"),
 }
+CHECK_CTES = {name: _ungated(sql) for name, sql in {**ADM_CTES, **LAST}.items()}
+CHECKS = " union all ".join(f"select '{name}' as check_name, case when {test} then 'PASS' else '{bad}' end as status" for name, (test, bad) in _PASS.items())
 
 
-@register("dq_checks", " union all ".join(f"select '{name}' as check_name, case when {test} then 'PASS' else '{bad}' end as status" for name, (test, bad) in _PASS.items()),
-          **{name: _ungated(sql) for name, sql in {**ADM_CTES, **LAST}.items()})
+@register("dq_checks", CHECKS, **CHECK_CTES)
 def _(h):
     return checks.run_checks(h._silver.base).select("check_name", "status")
+
+
+@register("dq_check_summary", f"select status, count(*) as checks from ({CHECKS}) group by status", **CHECK_CTES)
+def _(h):
+    return audit.check_summary(checks.run_checks(h._silver.base))

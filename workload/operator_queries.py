@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +15,9 @@ from wardflow.operators import aggregates, dedupe, joins, neighbours, ordered, s
 from wardflow.operators.intervals import clip_to_days
 from wardflow.operators.percentiles import exact_percentiles, medians_with
 from wardflow.operators.quality import add_issue, gate
+from wardflow.plans.history import History
+from wardflow.session import shared_folder
+from wardflow.sources.layers import Layers
 from wardflow.streaming.alarms import silences
 from wardflow.streaming import events as ev
 from wardflow.streaming import prescriptions, vitals
@@ -182,6 +187,18 @@ def _(h):
     return scd.current(_customer_versions(h, compress=True), "o_custkey").select("o_custkey", "priority")
 
 
+@register("customer_history_applied", """select o_custkey, priority, b as valid_from, coalesce(e, case when seen < newest then seen end) as valid_to,
+  coalesce(e, case when seen < newest then seen end) is null as is_current from (select *, lead(b) over (partition by o_custkey order by b) as e from
+    (select *, lag(priority) over (partition by o_custkey order by b) as was, max(b) over (partition by o_custkey) as seen, max(b) over () as newest from
+      (select o_custkey, strftime(o_orderdate, '%Y1231') as b, max(o_orderpriority) as priority from orders group by all)) where was is null or was <> priority)""")
+def _(h):
+    yearly = t(h, "orders").groupBy("o_custkey", F.date_format("o_orderdate", "yyyy1231").alias("b")).agg(F.max("o_orderpriority").alias("priority"))
+    history = History(Layers(h.spark, f"{shared_folder(h.spark)}/{uuid.uuid4().hex}"), "customer_history", "o_custkey", ("priority",), buckets=8)
+    for (batch,) in yearly.select("b").distinct().orderBy("b").collect():  # the years
+        history.apply(yearly.filter(F.col("b") == batch).drop("b"), batch)
+    return history.read().select("o_custkey", "priority", "valid_from", "valid_to", "is_current")
+
+
 # --- joins ------------------------------------------------------------------------------------
 
 @register("skewed_event_lookup", """select e.event_id, e.k, u.n from (select event_id, case when event_id % 3 = 0 then 0 when event_id % 7 = 0 then null else user_id end as k from events) e
