@@ -39,6 +39,25 @@ def test_dense_number_equals_row_number(spark, rows, monkeypatch):
     assert rows(stepped) == sorted([(i, n + 1) for n, i in enumerate(range(5, 500, 3))], key=lambda r: [(False, str(v)) for v in r])
 
 
+@pytest.mark.parametrize("ranges", [1, 7, 1000])
+def test_numbers_do_not_depend_on_the_ranges(spark, rows, monkeypatch, ranges):
+    monkeypatch.setattr(ordered, "RANGES", ranges)
+    monkeypatch.setattr(ordered, "SAMPLE", 4 * ranges)
+    df = spark.range(3000).selectExpr("pmod(xxhash64(id), 1000003) AS k", "id").repartition(5)
+    want = sorted((r.k, r.id) for r in df.collect())
+    got = ordered.dense_number(df, ["k", "id"], "n").collect()
+    assert {(r.k, r.id): r.n for r in got} == {key: n for n, key in enumerate(want, 1)}
+
+
+def test_ranges_grow_with_rows(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "RANGES", 2)
+    monkeypatch.setattr(ordered, "SAMPLE", 64)
+    monkeypatch.setattr(ordered, "SPAN", 100)
+    for rows, least in [(100, 2), (1000, 8), (5000, 40)]:
+        found = ordered._with_range(spark.range(rows), ["id"]).groupBy("_range").count().collect()
+        assert least <= len(found) <= 2 * least + 20 and max(r["count"] for r in found) <= max(rows / 2 + 10, 400)
+
+
 def test_dense_number_of_nothing(spark):
     assert ordered.dense_number(spark.createDataFrame([], "w string"), ["w"], "n").count() == 0
 

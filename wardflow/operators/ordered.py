@@ -4,36 +4,50 @@
 into ranges of the key first; the ranges' boundaries come from a sample of fixed size chosen
 by hash, as a scalar subquery, so a row's range depends on its key alone and stays the same when a
 lost task is run again.  Each range is numbered (or summed) by itself and shifted by what the
-ranges before it hold; those totals are at most ``RANGES + 1`` rows.
+ranges before it hold. There is a range for every ``SPAN`` rows, ``RANGES`` at least and about ``MOST_RANGES`` at most, so
+that bounds stay a short list; a row finds its range by binary search.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardflow.session import settle
 
 RANGES = 128
+MOST_RANGES = 4096
 SAMPLE = RANGES * 32
 SPAN = 250_000
 
 
+def _places_up_to(bounds: Column, key: Column, most: int) -> Column:
+    """How many of the sorted ``bounds``, ``most`` at the outside, are ``key`` or less; by binary search."""
+    def step(found: Column, size: Column) -> Column:
+        to = found["at"] + size
+        fits = (to <= F.size(found["bounds"])) & (F.try_element_at(found["bounds"], to) <= key)
+        return F.struct(F.when(fits, to).otherwise(found["at"]).alias("at"), found["bounds"].alias("bounds"))
+    sizes = F.array(*[F.lit(1 << k) for k in reversed(range(most.bit_length()))])
+    start = F.struct(F.lit(0).alias("at"), bounds.alias("bounds"))
+    return F.aggregate(sizes, start, step, lambda found: found["at"])
+
+
 def _with_range(df: DataFrame, keys: Sequence[str], descending: bool = False) -> DataFrame:
-    """Add ``_range``.  The sample keeps one key in so many by hash, SAMPLE to 2 * SAMPLE in all."""
+    """Add ``_range``.  The sample keeps one key in so many by hash: for each range as many as SAMPLE has for RANGES, to twice that."""
     key = F.struct(*keys)
     rows = df.agg(F.count(F.lit(1)).alias("_rows"))
-    one_in = F.greatest(F.lit(1), F.floor(rows.scalar() / F.lit(SAMPLE))).cast("long")
+    ranges = F.least(F.lit(max(RANGES, MOST_RANGES)), F.greatest(F.lit(RANGES), F.floor(rows.scalar() / F.lit(SPAN))))
+    one_in = F.greatest(F.lit(1), F.floor(rows.scalar() / (ranges * F.lit(SAMPLE / RANGES)))).cast("long")
     sample = (df.select(key.alias("_key")).filter(F.pmod(F.xxhash64("_key"), one_in) == 0)
               .agg(F.array_sort(F.collect_list("_key")).alias("_sample")))
-    step = F.greatest(F.lit(1), F.floor(F.size("_sample") / F.lit(RANGES)).cast("int"))
-    bounds = sample.select(F.when(F.size("_sample") > 0, F.transform(
-        F.sequence(F.lit(0), F.size("_sample") - 1, step),
+    step = F.greatest(F.lit(1), F.floor(F.size("_sample") / ranges).cast("int"))
+    bounds = sample.withColumn("_step", step).select(F.when(F.size("_sample") > 0, F.transform(
+        F.sequence(F.lit(0), F.size("_sample") - 1, F.col("_step")),
         lambda i: F.element_at("_sample", i.cast("int") + 1))).alias("_bounds"))
     numbered = (df.withColumn("_bounds", bounds.scalar())
-                .withColumn("_range", F.size(F.filter("_bounds", lambda b: b <= key)))
+                .withColumn("_range", _places_up_to(F.col("_bounds"), key, 2 * max(RANGES, MOST_RANGES)))
                 .drop("_bounds"))
     return numbered.withColumn("_range", -F.col("_range")) if descending else numbered
 
