@@ -63,17 +63,43 @@ def deltas(df: DataFrame, keys: Sequence[str], spans: Mapping[str, tuple[Column,
         *[F.sum(F.when(F.col("_e.n") == name, F.col("_e.d")).otherwise(0)).alias(name) for name in spans])
 
 
+def levels(changes: DataFrame, keys: Sequence[str], names: Sequence[str], at: str = "at") -> DataFrame:
+    """Counts from each change of a key on, as running sums of its signed changes: one row per change, none per grid instant."""
+    upto = Window.partitionBy(*keys).orderBy(at).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return changes.withColumns({n: F.sum(F.coalesce(F.col(n), F.lit(0))).over(upto).cast("long") for n in names})
+
+
+def _filled(steps: DataFrame, keys: Sequence[str], names: Sequence[str], grid: str, at: str, last: DataFrame) -> DataFrame:
+    """Every grid instant from a row's own to just before the key's next one (to ``last`` for its last row)."""
+    step = F.expr(f"INTERVAL 1 {grid.upper()}")
+    following = F.lead(at).over(Window.partitionBy(*keys).orderBy(at))
+    return (steps.withColumn("_until", following - step).withColumn("_until", F.coalesce("_until", last.scalar()))
+            .select(*keys, F.explode(F.sequence(at, "_until", step)).alias(at), *names))
+
+
 def running_counts(changes: DataFrame, keys: Sequence[str], names: Sequence[str], grid: str,
                    at: str = "at") -> DataFrame:
-    """Counts at every grid instant from a key's first change to the last change of any key."""
+    """Counts at every grid instant from a key's first change to the last change of any key.
+
+    Only changes are shuffled and summed; a count is repeated over the instants up to the next change afterwards.
+    """
     last = changes.agg(F.max(at).alias("_last"))
-    step = F.expr(f"INTERVAL 1 {grid.upper()}")
-    frame = (changes.groupBy(*keys).agg(F.min(at).alias("_first"))
-             .withColumn("_last", last.scalar())
-             .select(*keys, F.explode(F.sequence("_first", "_last", step)).alias(at)))
-    upto = Window.partitionBy(*keys).orderBy(at)
-    return frame.join(changes, [*keys, at], "left").select(
-        *keys, at, *[F.sum(F.coalesce(F.col(n), F.lit(0))).over(upto).cast("long").alias(n) for n in names])
+    return _filled(levels(changes, keys, names, at), keys, names, grid, at, last)
+
+
+def total_counts(rows: DataFrame, keys: Sequence[str], values: Mapping[str, Column], grid: str, last: DataFrame,
+                 at: str = "at") -> DataFrame:
+    """Sums of ``values`` over all keys at every grid instant from the first row to ``last``.
+
+    ``rows`` tells what holds for a key from an instant on (``levels``). Each row counts as the difference from the
+    key's row before it; differences are added up per instant, so no key is expanded over the grid.
+    """
+    order = Window.partitionBy(*keys).orderBy(at)
+    named = rows.select(*keys, at, *[F.coalesce(v.cast("long"), F.lit(0)).alias(n) for n, v in values.items()])
+    turns = named.select(at, *[(F.col(n) - F.coalesce(F.lag(n).over(order), F.lit(0))).alias(n) for n in values])
+    summed = turns.groupBy(at).agg(*[F.sum(n).alias(n) for n in values])
+    # one row per grid instant with a change: as long as the calendar
+    return _filled(levels(summed, [], list(values), at), [], list(values), grid, at, last)
 
 
 def counts_over_time(df: DataFrame, keys: Sequence[str], spans: Mapping[str, tuple[Column, Column]],

@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardflow.operators.aggregates import count_where, share_of, top
-from wardflow.operators.intervals import (counts_over_time, deltas, presence, running_counts, within_next)
+from wardflow.operators.intervals import (counts_over_time, deltas, levels, presence, running_counts, total_counts,
+                                          within_next)
 from wardflow.operators.quality import quarantine
+from wardflow.session import settle
 
 AT_CAPACITY = 0.85
 LOOK_AHEAD_HOURS = 4
@@ -54,16 +56,28 @@ def zero_bed_rows(beds: DataFrame) -> DataFrame:
                     count_where(none & F.col("occupancy_rate_float").isNotNull()).alias("wrongly_rated"))
 
 
+def _bed_changes(stays: DataFrame) -> tuple[DataFrame, list[str]]:
+    spans = {"occupied_beds": presence("intime_ts", "outtime_ts", "hour"),
+             "pending_discharges": within_next("outtime_ts", LOOK_AHEAD_HOURS, "hour")}
+    return deltas(stays, ["unit_id"], spans, "snapshot_datetime"), list(spans)
+
+
+def _available(usable: Column) -> Column:
+    return F.greatest(F.lit(0), usable - F.col("occupied_beds"))
+
+
+def _at_capacity(usable: Column) -> Column:
+    return F.when(usable > 0, F.col("occupied_beds") / usable >= AT_CAPACITY)
+
+
 def bed_snapshots(stays: DataFrame, units: DataFrame, boarding: DataFrame | None = None) -> DataFrame:
     """Hourly unit snapshots from stays (unit_id, intime_ts, outtime_ts).
 
     ``boarding`` (facility_id, start_ts, end_ts) gives pending admissions per facility; stays that
     end within the next four hours are the pending discharges.
     """
-    spans = {"occupied_beds": presence("intime_ts", "outtime_ts", "hour"),
-             "pending_discharges": within_next("outtime_ts", LOOK_AHEAD_HOURS, "hour")}
-    changes = deltas(stays, ["unit_id"], spans, "snapshot_datetime")
-    hourly = running_counts(changes, ["unit_id"], list(spans), "hour", "snapshot_datetime")
+    changes, spans = _bed_changes(stays)
+    hourly = running_counts(changes, ["unit_id"], spans, "hour", "snapshot_datetime")
     if boarding is None:
         waiting = None
     else:
@@ -80,10 +94,23 @@ def bed_snapshots(stays: DataFrame, units: DataFrame, boarding: DataFrame | None
     rate = F.when(usable > 0, F.round(F.col("occupied_beds") / usable, 4))
     return out.select(
         "snapshot_datetime", "facility_id", "unit_id", "unit_code", "licensed_beds", "staffed_beds", "blocked_beds",
-        "occupied_beds", F.greatest(F.lit(0), usable - F.col("occupied_beds")).alias("available_beds"),
+        "occupied_beds", _available(usable).alias("available_beds"),
         F.coalesce("pending_admissions", F.lit(0)).alias("pending_admissions"), "pending_discharges",
         rate.alias("occupancy_rate"),
-        F.when(usable > 0, F.col("occupied_beds") / usable >= AT_CAPACITY).alias("is_at_capacity"))
+        _at_capacity(usable).alias("is_at_capacity"))
+
+
+def bed_totals(stays: DataFrame, units: DataFrame) -> DataFrame:
+    """``bed_snapshots`` summed per hour over all units, from the hours in which a unit changes; no unit is expanded into hours."""
+    changes, spans = _bed_changes(stays)
+    changes = settle(changes)  # read for the last hour and the levels
+    held = levels(changes, ["unit_id"], spans, "snapshot_datetime").join(
+        units.select("unit_id", "staffed_beds", "blocked_beds"), "unit_id")
+    usable = F.col("staffed_beds") - F.col("blocked_beds")
+    values = {"units": F.lit(1), "occupied_beds": F.col("occupied_beds"), "pending_discharges": F.col("pending_discharges"),
+              "available_beds": _available(usable), "units_at_capacity": _at_capacity(usable)}
+    last = changes.agg(F.max("snapshot_datetime").alias("_last"))
+    return total_counts(held, ["unit_id"], values, "hour", last, "snapshot_datetime")
 
 
 def midnight_census(stays: DataFrame) -> DataFrame:
