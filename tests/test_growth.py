@@ -5,8 +5,12 @@ import random
 
 from pyspark.sql import functions as F
 
-from wardflow.operators import intervals
+from wardflow.operators import audit, intervals
+from wardflow.operators.quality import ForeignKey
 from wardflow.plans import kpi_beds
+from wardflow.plans.silver import Silver
+from wardflow.session import once
+from wardflow.sources.feeds import FEEDS
 
 
 def _stays(spark):
@@ -36,5 +40,42 @@ def test_bed_totals_equal_summed_snapshots(spark, rows):
 def test_counts_are_shuffled_per_change_and_not_per_instant(spark):
     spans = {"n": intervals.presence("intime_ts", "outtime_ts", "hour")}
     counts = intervals.counts_over_time(_stays(spark), ["unit_id"], spans, "hour")
-    plan = counts._jdf.queryExecution().executedPlan().toString().split("Subquery")[0]
-    assert "Join" not in plan and plan.index("explode(sequence") < plan.index("Exchange"), plan
+    plan = counts._jdf.queryExecution().optimizedPlan().toString().split("scalar-subquery")[0]
+    assert "Join" not in plan, plan
+
+
+def test_parent_keys_are_computed_once_and_without_choosing_rows(spark):
+    made = []
+
+    def bronze(name):
+        made.append(name)
+        return spark.createDataFrame([], ", ".join(f"`{c}` string" for c in [*FEEDS[name].columns, "_batch_id"]))
+    silver = Silver(bronze)
+    for name in ("claim_line", "remit_adjustment", "remit"):
+        assert silver.table(name).count() == 0
+    assert made.count("claim_header") == 1 and len(silver._known) == len(set(silver._known))
+    plan = silver.known(ForeignKey("facility_id", "facility", "facility_id", ""))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Join" not in plan
+
+
+def test_dimensions_and_facts_are_settled_once(spark):
+    made = []
+
+    def tables(name):
+        made.append(name)
+        return spark.range(3)
+    supplied = once(tables, "fact_")
+    assert supplied("fact_a") is supplied("fact_a") and made == ["fact_a"]
+    assert "parquet" in supplied("fact_a")._jdf.queryExecution().executedPlan().toString().lower()
+    assert supplied("dim_a") is not supplied("dim_a")
+
+
+def test_orphans_are_counted_in_one_grouping(spark, rows):
+    child = spark.createDataFrame([("a", "x"), ("a", None), ("b", "y"), (None, "z"), ("c", "z")], "k string, l string")
+    other = spark.createDataFrame([("a",), ("q",), ("q",)], "k string")
+    parent = spark.createDataFrame([("a", "x"), ("b", None), (None, "z")], "id string, code string")
+    relations = [audit.Relation("c", "k", "p", "id"), audit.Relation("c", "l", "p", "code", 0.2), audit.Relation("o", "k", "p", "id")]
+    out = audit.orphan_matrix(relations, {"c": child, "o": other, "p": parent})
+    assert rows(out) == [("c.k -> p.id", 5, 1, 0.0, "WARN"), ("c.l -> p.code", 5, 1, 0.2, "PASS"), ("o.k -> p.id", 3, 1, 0.0, "WARN")]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1, "only the list of relations is joined"

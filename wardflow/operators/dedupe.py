@@ -15,7 +15,8 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()
 
     ``row_number() = 1`` is planned with a partial group limit below the shuffle, so each map
     task sends at most one row per key and a key holding a third of the table costs no more
-    than any other.  The total order makes the survivor independent of file layout.
+    than any other.  The total order makes the survivor independent of file layout.  Groups are
+    sorted by a hash of the key first: keys that share their first letters cost no comparison of texts.
     """
     if keep_null_keys:
         missing = " OR ".join(f"`{k}` IS NULL" for k in keys)
@@ -23,7 +24,7 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()
         return whole.unionByName(df.filter(missing))
     by = ", ".join(f"`{k}`" for k in keys)
     terms = [*order, *[f"`{c}` DESC" for c in df.columns if c not in keys]] or ["1"]
-    rank = F.expr(f"row_number() OVER (PARTITION BY {by} ORDER BY {', '.join(terms)})")
+    rank = F.expr(f"row_number() OVER (PARTITION BY xxhash64({by}), {by} ORDER BY {', '.join(terms)})")
     return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
 
 

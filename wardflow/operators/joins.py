@@ -68,12 +68,20 @@ def hot_key_join(left: DataFrame, right: DataFrame, on: str, hot: list, how: str
     return salted.join(copies, [on, "_salt"], how).drop("_salt")
 
 
+def key_values(parents: DataFrame, parent_column: str) -> DataFrame:
+    """The distinct non-null values of a parent's key, under its own name."""
+    return parents.select(parent_column).filter(F.col(parent_column).isNotNull()).distinct()
+
+
 def with_exists(df: DataFrame, parents: DataFrame, key: str, parent_key: str, flag: str,
-                hot: list | None = None) -> DataFrame:
-    """Boolean ``flag``: does ``key`` exist among the non-null ``parent_key`` values?"""
-    keys = (parents.select(F.col(parent_key).alias(key)).filter(F.col(key).isNotNull())
-            .distinct().withColumn(flag, F.lit(True)))
-    linked = hot_key_join(df, keys, key, hot or [])
+                hot: list | None = None, unique: bool = False) -> DataFrame:
+    """Boolean ``flag``: does ``key`` exist among the non-null ``parent_key`` values?
+
+    ``unique``: ``parents`` is a written table of distinct values (``settle(key_values(...))``). Then both inputs are
+    shuffled for this join alone, and AQE splits a heavy key without being told which it is.
+    """
+    keys = parents if unique else key_values(parents, parent_key)
+    linked = hot_key_join(df, keys.select(F.col(parent_key).alias(key)).withColumn(flag, F.lit(True)), key, hot or [])
     return linked.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 

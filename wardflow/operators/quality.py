@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardflow.functions.parsing import as_col
-from wardflow.operators.joins import hot_keys, with_exists
+from wardflow.operators.joins import key_values, with_exists
+from wardflow.session import settle
 
 ISSUES = "_dq_issues"
 PASSED = "_dq_passed"
@@ -103,11 +104,12 @@ class AttachKey:
 
 
 def resolve_keys(df: DataFrame, checks: Iterable[Rule | ForeignKey | AttachKey],
-                 parents: Callable[[str, bool], DataFrame], raw: DataFrame) -> tuple[DataFrame, list[Rule]]:
+                 parents: Callable[[str, bool], DataFrame],
+                 known: Callable[[ForeignKey], DataFrame] | None = None) -> tuple[DataFrame, list[Rule]]:
     """Join what the keys among ``checks`` need; returns plain rules, in the order given.
 
-    ``parents(name, gated)`` supplies a parent table; ``raw`` is a cheap frame with the same key
-    columns, in which heavy keys of large parents are looked for.
+    ``parents(name, gated)`` supplies a parent table, ``known(foreign_key)`` the written distinct values of a parent's
+    key where a caller keeps them for several children; without it those of large parents are written here.
     """
     rules: list[Rule] = []
     for i, item in enumerate(checks):
@@ -121,15 +123,19 @@ def resolve_keys(df: DataFrame, checks: Iterable[Rule | ForeignKey | AttachKey],
             df = df.join(side, item.column, "left")
             rules.append(required(item.brings, item.message))
         else:
-            parent = parents(item.parent, item.gated)
-            if item.gated:
-                parent = parent.filter(F.col(PASSED))
-            hot = hot_keys(raw, item.column) if item.large else None
-            df = with_exists(df, parent, item.column, item.parent_column, f"_fk{i}", hot)
+            values = known(item) if known else parent_keys(item, parents(item.parent, item.gated))
+            if item.large and not known:
+                values = settle(values)
+            df = with_exists(df, values, item.column, item.parent_column, f"_fk{i}", unique=True)
             rules.append(Rule(item.message, _orphan_test(f"_fk{i}", item.column, item.null_fails)))
     return df, rules
 
 
+def parent_keys(item: ForeignKey, parent: DataFrame) -> DataFrame:
+    """The key values a foreign key may have: those of rows that passed, if ``gated``."""
+    return key_values(parent.filter(F.col(PASSED)) if item.gated else parent, item.parent_column)
+
+
 def _orphan_test(flag: str, column: str, null_fails: bool) -> Callable[[], Column]:
     if null_fails:
         return lambda: ~F.col(flag)

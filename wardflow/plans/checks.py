@@ -11,7 +11,7 @@ from wardflow.operators.audit import Relation, band_check, check, orphan_matrix,
 from wardflow.operators.reconcile import census_by_week, census_match_rate
 from wardflow.plans import kpi_beds, kpi_claims, kpi_ed, kpi_pharmacy, kpi_readmissions, kpi_staffing
 from wardflow.plans.star import LINKS
-from wardflow.session import settle
+from wardflow.session import once
 
 # Bands in which a figure is plausible.
 OCCUPANCY_BAND = (0.55, 0.95)
@@ -58,6 +58,23 @@ MEASURES_FROM_ZERO = {
 }
 
 
+#: What the checks read of each Silver table.
+CHECKED = {name: columns.split() for name, columns in {
+    "ed_stays": "facility_id hadm_id disposition_folded intime_ts outtime_ts triage_time_ts provider_seen_time_ts "
+                "admit_decision_time_ts acuity heartrate heartrate_int",
+    "bed_hourly": "facility_id snapshot_datetime_ts staffed_beds_int blocked_beds_int occupied_beds_int occupancy_rate_float",
+    "staff_schedules": "facility_id unit_code work_date_parsed shift staff_id job_code called_out census_int",
+    "unit": "unit_code nurse_patient_ratio_target_float",
+    "admissions": "encounter_id index_encounter_id hospital_expire_flag_bool discharge_location hospital_service dischtime_ts "
+                  "is_readmission_bool is_planned_readmission_bool",
+    "remit_adjustment": "group_code reason_code remark_code is_denial_bool",
+    "pharmacy_inventory": "drug_name dea_schedule qty_on_hand_int reorder_point_int shortage_status days_on_hand_float",
+    "claim_header": "patient_control_number total_charge_amount_float submission_date_d",
+    "remit": "patient_control_number claim_status_code claim_payment_amount_float remit_date_d",
+    "bed_nhsn": "nhsn_org_id collection_date_d all_hospital_inpatient_occupancy_int",
+}.items()}
+
+
 def referential_integrity(tables: Callable[[str], DataFrame], relations: list[Relation] | None = None) -> DataFrame:
     used = relations if relations is not None else RELATIONS
     names = {n for r in used for n in (r.child, r.parent)}
@@ -72,16 +89,9 @@ def census_reconciliation(beds: DataFrame, weekly: DataFrame) -> DataFrame:
 def run_checks(tables: Callable[[str], DataFrame]) -> DataFrame:
     """One row per check: name, PASS / WARN / FAIL, detail.  ``tables`` supplies Silver bases.
 
-    Several checks look at each table, so a table is computed once and written.
+    Several checks look at each table, so the columns they need are computed once and written.
     """
-    written: dict[str, DataFrame] = {}
-    supplied = tables
-
-    def tables(name: str) -> DataFrame:
-        if name not in written:
-            written[name] = settle(supplied(name))
-        return written[name]
-
+    tables = once(lambda name, supplied=tables: supplied(name).select(*CHECKED[name]))
     ed, beds, roster, units = tables("ed_stays"), tables("bed_hourly"), tables("staff_schedules"), tables("unit")
     admissions, adjustments, inventory = tables("admissions"), tables("remit_adjustment"), tables("pharmacy_inventory")
     claims = kpi_claims.claims_kpis(kpi_claims.with_remit(tables("claim_header"), tables("remit")))

@@ -15,6 +15,7 @@ from wardflow.operators.dedupe import latest_child, latest_per_key
 from wardflow.operators.joins import hot_key_join, lookup
 from wardflow.operators.ordered import dense_number
 from wardflow.operators.quality import gate
+from wardflow.session import settle
 from wardflow.sources.layers import Layers
 
 #: Span of the calendar dimension unless a build names another: wide enough for any date a feed may carry (73,414
@@ -100,16 +101,20 @@ def dim_drg(drg: DataFrame) -> DataFrame:
 
 
 class Gold:
-    """Star schema over a supplier of Silver frames, built lazily and once per name."""
+    """Star schema over a supplier of Silver frames, built lazily and once per name.
+
+    ``settled``: dimensions are written once and read by every fact that looks them up, for use without written layers.
+    """
 
     def __init__(self, spark: SparkSession, silver: Callable[[str], DataFrame], as_of: str | None = None,
-                 calendar: tuple[str, str] = CALENDAR):
-        self._spark, self._silver, self._as_of, self._calendar = spark, silver, as_of, calendar
+                 calendar: tuple[str, str] = CALENDAR, settled: bool = False):
+        self._spark, self._silver, self._as_of, self._calendar, self._settled = spark, silver, as_of, calendar, settled
         self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
-            self._tables[name] = getattr(self, f"_{name}")()
+            made = getattr(self, f"_{name}")()
+            self._tables[name] = settle(made) if self._settled and name.startswith("dim_") else made
         return self._tables[name]
 
     def use(self, **tables: DataFrame) -> None:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from weakref import WeakKeyDictionary
 
@@ -78,6 +78,19 @@ def settle(df: DataFrame) -> DataFrame:
     return written
 
 
+def once(tables: Callable[[str], DataFrame], prefix: str = "") -> Callable[[str], DataFrame]:
+    """The same supplier of tables, each whose name starts with ``prefix`` being settled when it is first asked for."""
+    written: dict[str, DataFrame] = {}
+
+    def table(name: str) -> DataFrame:
+        if not name.startswith(prefix):
+            return tables(name)
+        if name not in written:
+            written[name] = settle(tables(name))
+        return written[name]
+    return table
+
+
 @contextmanager
 def watched() -> Iterator[list[DataFrame]]:
     """The list of tables settled inside, to be discarded when what was made of them has been written."""

@@ -21,7 +21,7 @@ class Hospital:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.bronze = spark, Bronze(spark, folder)
         self._silver = Silver(self.bronze)
-        self._gold = Gold(spark, self._silver.table, as_of=ot.AS_OF)
+        self._gold = Gold(spark, self._silver.table, as_of=ot.AS_OF, settled=True)
 
     def silver(self, name: str) -> DataFrame:
         return self._silver.table(name)
