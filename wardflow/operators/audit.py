@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from wardflow.functions.calendar import days
 from wardflow.operators.quality import ISSUES, PASSED
+from wardflow.session import settle
 
 
 def stack(frames: Sequence[DataFrame]) -> DataFrame:
@@ -29,8 +30,9 @@ def run_summary(silver: DataFrame, table: str, run_id: str | None = None) -> Dat
     return out
 
 
-def gate_report(tables: Mapping[str, DataFrame]) -> DataFrame:
-    return stack([run_summary(df, name) for name, df in tables.items()])
+def gate_report(tables: Mapping[str, DataFrame], settled: bool = False) -> DataFrame:
+    """``settled``: table after table, each one's shuffle files being removed before the next begins."""
+    return stack([settle(out) if settled else out for out in (run_summary(df, name) for name, df in tables.items())])
 
 
 def observed_gate(silver: DataFrame, name: str) -> tuple[DataFrame, Observation]:

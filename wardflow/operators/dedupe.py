@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = (),
-                   keep_null_keys: bool = False) -> DataFrame:
+                   keep_null_keys: bool = False, needed: Iterable[str] | None = None) -> DataFrame:
     """One row per key: the first under ``order`` (SQL order terms), ties broken by all other
     columns descending.
 
@@ -17,7 +18,15 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()
     task sends at most one row per key and a key holding a third of the table costs no more
     than any other.  The total order makes the survivor independent of file layout.  Groups are
     sorted by a hash of the key first: keys that share their first letters cost no comparison of texts.
+
+    ``needed``: the columns that will be read of the result. Those that break ties after the last of them are left out:
+    rows that still tie there agree in all that is needed. The keys alone are simply made distinct.
     """
+    if needed is not None:
+        columns = _up_to_last(df.columns, keys, order, set(needed))
+        if columns == list(keys):
+            return df.select(*keys).distinct()
+        df = df.select(*columns)
     if keep_null_keys:
         missing = " OR ".join(f"`{k}` IS NULL" for k in keys)
         whole = latest_per_key(df.filter(f"NOT ({missing})"), keys, order)
@@ -28,13 +37,23 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()
     return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
 
 
-def latest_batch(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return latest_per_key(df, keys, ["_batch_id DESC"])
+def _up_to_last(columns: Sequence[str], keys: Sequence[str], order: Sequence[str], needed: set[str]) -> list[str]:
+    """Keys, columns of ``order`` and the others up to the last one in ``needed``; the keys alone if nothing else is needed."""
+    if needed <= set(keys):
+        return list(keys)
+    first = [c for c in columns if c not in keys and any(c in re.findall(r"\w+", term) for term in order)]
+    others = [c for c in columns if c not in keys and c not in first]
+    last = max((i for i, c in enumerate(others) if c in needed), default=-1)
+    return [*keys, *others[:last + 1], *first]
+
+
+def latest_batch(df: DataFrame, keys: Sequence[str], needed: Iterable[str] | None = None) -> DataFrame:
+    return latest_per_key(df, keys, ["_batch_id DESC"], needed=needed)
 
 
-def drop_copies(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def drop_copies(df: DataFrame, keys: Sequence[str], needed: Iterable[str] | None = None) -> DataFrame:
     """``dropDuplicates`` on a natural key, with a reproducible survivor."""
-    return latest_per_key(df, keys)
+    return latest_per_key(df, keys, needed=needed)
 
 
 def latest_child(df: DataFrame, parent: str, when: str) -> DataFrame:

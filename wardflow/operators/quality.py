@@ -23,28 +23,29 @@ PASSED = "_dq_passed"
 
 @dataclass(frozen=True)
 class Rule:
-    """``message`` is recorded on every row where ``fails`` is true."""
+    """``message`` is recorded on every row where ``fails`` is true; it looks at the columns ``reads`` (None: not told)."""
 
     message: str
     fails: Callable[[], Column]
+    reads: tuple[str, ...] | None = None
 
 
-def rule(message: str, fails: Callable[[], Column]) -> Rule:
-    return Rule(message, fails)
+def rule(message: str, fails: Callable[[], Column], reads: tuple[str, ...] | None = None) -> Rule:
+    return Rule(message, fails, reads)
 
 
 def required(column: str, message: str | None = None) -> Rule:
-    return Rule(message or f"{column} null", lambda: F.col(column).isNull())
+    return Rule(message or f"{column} null", lambda: F.col(column).isNull(), (column,))
 
 
 def parseable(raw: str, typed: str, message: str | None = None) -> Rule:
     """A value is present but did not survive typing."""
     return Rule(message or f"{raw} unparseable",
-                lambda: F.col(raw).isNotNull() & F.col(typed).isNull())
+                lambda: F.col(raw).isNotNull() & F.col(typed).isNull(), (raw, typed))
 
 
 def in_domain(column: str, values: Sequence, message: str) -> Rule:
-    return Rule(message, lambda: ~F.col(column).isin(*values))
+    return Rule(message, lambda: ~F.col(column).isin(*values), (column,))
 
 
 def within(column: str, low: float | None, high: float | None, message: str,
@@ -59,19 +60,19 @@ def within(column: str, low: float | None, high: float | None, message: str,
         for t in tests[1:]:
             out = out | t
         return out
-    return Rule(message, fails)
+    return Rule(message, fails, (column,))
 
 
 def in_order(start: str, end: str, message: str) -> Rule:
-    return Rule(message, lambda: F.col(end) < F.col(start))
+    return Rule(message, lambda: F.col(end) < F.col(start), (start, end))
 
 
 def at_most_times(value: str, base: str, factor: float, message: str) -> Rule:
-    return Rule(message, lambda: F.col(value) > F.col(base) * factor)
+    return Rule(message, lambda: F.col(value) > F.col(base) * factor, (value, base))
 
 
 def no_more_than(value: str, limit: str, message: str) -> Rule:
-    return Rule(message, lambda: F.col(value) > F.col(limit))
+    return Rule(message, lambda: F.col(value) > F.col(limit), (value, limit))
 
 
 @dataclass(frozen=True)

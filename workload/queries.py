@@ -26,6 +26,9 @@ class Hospital:
     def silver(self, name: str) -> DataFrame:
         return self._silver.table(name)
 
+    def verdicts(self, name: str) -> DataFrame:
+        return self._silver.verdicts(name)
+
     def gold(self, name: str) -> DataFrame:
         return self._gold.table(name)
 
