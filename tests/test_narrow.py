@@ -5,6 +5,8 @@ import random
 import pytest
 
 from wardflow.operators.dedupe import latest_batch, latest_per_key
+from wardflow.plans.dashboards import FACILITY_NAME
+from wardflow.plans.measures import Model
 from wardflow.plans.silver import TABLES
 from workload.queries import Hospital
 
@@ -45,3 +47,28 @@ def test_verdicts_do_not_number_persons(spark):
     hospital = Hospital(spark, SMALL)
     assert hospital.verdicts("claim_line").count() > 0 and not hospital._silver._bases
     assert all(table.reads() is not None for table in TABLES.values())
+
+
+@pytest.mark.parametrize("name, columns", [
+    ("fact_claims", ["amount_at_risk", "payer_key", "is_paid"]), ("fact_claims", ["remit_date", "is_appealed", "attending_staff_key"]),
+    ("fact_staffing", ["unit_key", "staff_key", "work_date_key"]), ("fact_bed_capacity", ["licensed_beds", "staffed_beds", "occupancy_rate"]),
+    ("fact_outpatient_visits", ["patient_key", "wait_time_minutes"])])
+def test_columns_of_a_fact_equal_those_of_the_whole_fact(spark, rows, name, columns):
+    assert rows(Hospital(spark, SMALL).fact(name, columns), *columns) == rows(Hospital(spark, SMALL).gold(name), *columns)
+
+
+def test_measures_write_no_more_of_a_fact_than_they_read(spark):
+    asked = {}
+
+    def fact(name, columns):
+        asked[name] = columns
+        return spark.createDataFrame([], ", ".join(f"{c} {'boolean' if c.startswith('is_') else 'int'}" for c in columns))
+    Model(lambda name: spark.createDataFrame([], "facility_key int, facility_name string"), fact).evaluate(
+        ["Readmission Rate", "Total Revenue at Risk"], [FACILITY_NAME])
+    assert asked == {"fact_admissions": ["is_readmission", "facility_key", "hadm_id"], "fact_claims": ["amount_at_risk", "facility_key"]}
+
+
+def test_a_payer_of_adjustments_needs_no_remittance(spark):
+    hospital = Hospital(spark, SMALL)
+    plan = hospital.fact("fact_claims", ["patient_control_number", "payer_key"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "claim_payment_amount" not in plan and not {"patients", "remit"} & set(hospital._silver._bases)

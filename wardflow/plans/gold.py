@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wardflow.functions.calendar import date_key, days, hours_between, minutes_between, with_calendar
@@ -15,7 +16,9 @@ from wardflow.operators.dedupe import latest_child, latest_per_key
 from wardflow.operators.joins import hot_key_join, lookup
 from wardflow.operators.ordered import dense_number
 from wardflow.operators.quality import gate
+from wardflow.plans.silver import TABLES as SILVER
 from wardflow.session import settle
+from wardflow.sources.feeds import FEEDS
 from wardflow.sources.layers import Layers
 
 #: Span of the calendar dimension unless a build names another: wide enough for any date a feed may carry (73,414
@@ -104,16 +107,19 @@ class Gold:
     """Star schema over a supplier of Silver frames, built lazily and once per name.
 
     ``settled``: dimensions are written once and read by every fact that looks them up, for use without written layers.
+    ``narrow``: supplies Silver rows with their verdict and the given columns only (``Silver.verdicts``), for ``columns``.
     """
 
     def __init__(self, spark: SparkSession, silver: Callable[[str], DataFrame], as_of: str | None = None,
-                 calendar: tuple[str, str] = CALENDAR, settled: bool = False):
+                 calendar: tuple[str, str] = CALENDAR, settled: bool = False,
+                 narrow: Callable[[str, Sequence[str]], DataFrame] | None = None):
         self._spark, self._silver, self._as_of, self._calendar, self._settled = spark, silver, as_of, calendar, settled
+        self._narrow = narrow
         self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
-            made = getattr(self, f"_{name}")()
+            made = self._fact(name) if name in STAR else getattr(self, f"_{name}")()
             self._tables[name] = settle(made) if self._settled and name.startswith("dim_") else made
         return self._tables[name]
 
@@ -150,146 +156,210 @@ class Gold:
         return dim_drg(self._silver("drg"))
 
     # lookups
-    def _with_facility(self, df: DataFrame) -> DataFrame:
+    def _with_facility_key(self, df: DataFrame) -> DataFrame:
         return lookup(df, self.table("dim_facility"), "facility_id", ["facility_key"])
 
-    def _with_unit(self, df: DataFrame) -> DataFrame:
+    def _with_unit_key(self, df: DataFrame) -> DataFrame:
         return lookup(df, self.table("dim_unit"), "unit_id", ["unit_key"])
 
-    def _with_patient(self, df: DataFrame) -> DataFrame:
+    def _with_patient_key(self, df: DataFrame) -> DataFrame:
         return lookup(df, self.table("dim_patient"), "canonical_patient_key", ["patient_key"])
 
-    def _gated(self, name: str) -> DataFrame:
-        return gate(self._silver(name))
+    def _with_payer_key(self, df: DataFrame) -> DataFrame:
+        return lookup(df, self.table("dim_payer"), "payer_id", ["payer_key"])
 
-    # facts
-    def _fact_encounters(self) -> DataFrame:
-        df = self._with_patient(self._with_unit(self._with_facility(self._gated("encounters"))))
-        return _renamed(df.withColumn("encounter_date_key", date_key("Start_ts")),
-                        "Id:encounter_id facility_key unit_key patient_key encounter_date_key Start_ts Stop_ts "
-                        "EncounterClass:encounter_class Base_Encounter_Cost_float:base_encounter_cost "
-                        "Total_Claim_Cost_float:total_claim_cost Payer_Coverage:payer_coverage ReasonDescription")
-
-    def _fact_admissions(self) -> DataFrame:
-        df = self._with_patient(self._with_facility(self._gated("admissions"))).withColumns({
-            "admit_date_key": date_key("admittime_ts"), "discharge_date_key": date_key("dischtime_ts"),
-            "length_of_stay_hours": hours_between("admittime_ts", "dischtime_ts")})
-        return _renamed(df, "hadm_id encounter_id:source_encounter_id facility_key patient_key admit_date_key "
-                            "discharge_date_key admittime_ts dischtime_ts length_of_stay_hours admission_type "
-                            "admission_location discharge_location insurance hospital_service "
-                            "hospital_expire_flag_bool:hospital_expire_flag is_readmission_bool:is_readmission "
-                            "is_planned_readmission drg_code index_encounter_id")
-
-    def _fact_ed_stays(self) -> DataFrame:
-        df = self._with_patient(self._with_facility(self._gated("ed_stays"))).withColumns({
-            "stay_date_key": date_key("intime_ts"),
-            "wait_time_minutes": minutes_between("intime_ts", "triage_time_ts"),
-            "length_of_stay_minutes": minutes_between("intime_ts", "outtime_ts")})
-        return _renamed(df, "stay_id encounter_id:source_encounter_id hadm_id facility_key patient_key "
-                            "stay_date_key intime_ts outtime_ts wait_time_minutes length_of_stay_minutes "
-                            "arrival_transport disposition acuity_int:acuity chiefcomplaint temperature "
-                            "heartrate resprate o2sat sbp dbp pain")
-
-    def _fact_outpatient_visits(self) -> DataFrame:
-        df = self._with_patient(self._with_unit(self._with_facility(self._gated("outpatient_visits"))))
-        df = lookup(df, self.table("dim_payer"), "payer_id", ["payer_key"]).withColumns({
-            "visit_date_key": date_key("appointment_time_ts"),
-            "wait_time_minutes": F.when(~F.col("is_no_show_bool"),
-                                        minutes_between("arrival_time_ts", "provider_seen_time_ts")),
-            "appointment_delay_minutes": F.when(~F.col("is_no_show_bool"),
-                                                minutes_between("appointment_time_ts", "provider_seen_time_ts"))})
-        return _renamed(df, "visit_id encounter_id:source_encounter_id facility_key unit_key patient_key payer_key "
-                            "visit_date_key wait_time_minutes appointment_delay_minutes clinic_type "
-                            "visit_status_folded:visit_status is_no_show_bool:is_no_show "
-                            "escalated_to_inpatient_bool:escalated_to_inpatient primary_diagnosis_code")
-
-    def _fact_transfers(self) -> DataFrame:
-        df = self._with_patient(self._with_unit(self._with_facility(self._gated("transfers")))).withColumns({
-            "transfer_date_key": date_key("intime_ts"),
-            "transfer_duration_hours": hours_between("intime_ts", "outtime_ts")})
-        return _renamed(df, "transfer_id hadm_id facility_key unit_key patient_key transfer_date_key intime_ts "
-                            "outtime_ts transfer_duration_hours eventtype careunit")
-
-    def _fact_diagnoses(self) -> DataFrame:
-        df = self._with_patient(self._with_facility(self._gated("diagnoses")))
-        return _renamed(df, "hadm_id encounter_id:source_encounter_id facility_key patient_key seq_num_int:seq_num "
-                            "icd_code icd_version_int:icd_version icd_title hrrp_cohort")
-
-    def _fact_claims(self) -> DataFrame:
-        remit = _renamed(latest_child(self._gated("remit"), "patient_control_number", "remit_date"),
-                         "patient_control_number claim_status_code:remit_claim_status_code "
-                         "claim_payment_amount_float:claim_payment_amount patient_responsibility_amount "
-                         "is_appealed_bool:is_appealed is_overturned_on_appeal_bool:is_overturned_on_appeal "
-                         "remit_date")
+    def _with_drug_key(self, df: DataFrame) -> DataFrame:
+        return lookup(df, self.table("dim_drug"), "ndc11", ["drug_key"])
+
+    def _with_attending_staff_key(self, df: DataFrame) -> DataFrame:
         attending = (self.table("dim_staff").filter("is_current AND npi IS NOT NULL")
                      .groupBy(F.col("npi").alias("attending_provider_npi"))
                      .agg(F.min("staff_key").alias("attending_staff_key")))
-        # both sides hold one row per claim number, so this join has no heavy key
-        df = self._gated("claim_header").join(remit, "patient_control_number", "left")
-        df = lookup(self._with_facility(df), self.table("dim_payer"), "payer_id", ["payer_key"])
         # a missing provider is common: spread those rows
-        df = hot_key_join(self._with_patient(df), attending, "attending_provider_npi", [None])
-        paid = F.col("claim_payment_amount")
-        df = df.withColumns({
-            "submission_date_key": date_key("submission_date_d"),
-            "is_paid": F.coalesce(paid > 0, F.lit(False)),
-            "amount_at_risk": F.col("total_charge_amount_float") - F.coalesce(paid, F.lit(0).cast("decimal(18,2)"))})
-        return _renamed(df, "patient_control_number encounter_id:source_encounter_id hadm_id facility_key payer_key "
-                            "patient_key attending_staff_key submission_date_key "
-                            "total_charge_amount_float:total_charge_amount claim_payment_amount "
-                            "patient_responsibility_amount amount_at_risk is_paid drg_code type_of_bill "
-                            "admission_type_code is_readmission_related_bool:is_readmission_related "
-                            "remit_claim_status_code is_appealed is_overturned_on_appeal remit_date")
-
-    def _fact_claim_lines(self) -> DataFrame:
-        return _renamed(self._gated("claim_line"),
-                        "patient_control_number line_control_number revenue_code revenue_code_description "
-                        "procedure_code procedure_description line_charge_amount_float:line_charge_amount "
-                        "unit_count_int:unit_count non_covered_amount service_date_from service_date_to")
-
-    def _fact_claim_adjustments(self) -> DataFrame:
-        return _renamed(self._gated("remit_adjustment"),
-                        "patient_control_number adjustment_seq group_code group_code_description reason_code "
-                        "reason_code_description amount_float:amount quantity remark_code remark_code_description "
-                        "is_denial_bool:is_denial")
-
-    def _fact_bed_capacity(self) -> DataFrame:
-        df = self._with_unit(self._with_facility(self._gated("bed_hourly"))).withColumns({
-            "snapshot_date_key": date_key("snapshot_datetime_ts"), "snapshot_hour": F.hour("snapshot_datetime_ts"),
-            "licensed_beds": to_int("licensed_beds"), "pending_admissions": to_int("pending_admissions"),
-            "pending_discharges": to_int("pending_discharges")})
-        return _renamed(df.drop("staffed_beds", "blocked_beds"),
-                        "facility_key unit_key snapshot_date_key snapshot_hour snapshot_datetime_ts licensed_beds "
-                        "staffed_beds_int:staffed_beds blocked_beds_int:blocked_beds occupied_beds_int:occupied_beds "
-                        "available_beds_int:available_beds occupancy_rate_float:occupancy_rate "
-                        "is_at_capacity_bool:is_at_capacity pending_admissions pending_discharges")
-
-    def _fact_pharmacy_inventory(self) -> DataFrame:
-        df = lookup(self._with_facility(self._gated("pharmacy_inventory")), self.table("dim_drug"), "ndc11",
-                    ["drug_key"]).withColumn("snapshot_date_key", date_key("snapshot_date_d"))
-        return _renamed(df.drop("unit_cost", "reorder_point"),
-                        "facility_key drug_key snapshot_date_key counting_datetime count_type location_id "
-                        "qty_on_hand_int:qty_on_hand qty_on_order reorder_point_int:reorder_point safety_stock "
-                        "avg_daily_usage_30d days_on_hand is_stockout_bool:is_stockout shortage_status "
-                        "shortage_reason unit_cost_float:unit_cost extended_value")
-
-    def _fact_staffing(self) -> DataFrame:
-        units = (self.table("dim_unit").groupBy("unit_code", "facility_id").agg(F.min("unit_key").alias("unit_key")))
+        return hot_key_join(df, attending, "attending_provider_npi", [None])
+
+    def _with_shift_unit_key(self, df: DataFrame) -> DataFrame:
+        units = (self.table("dim_unit").groupBy("unit_code", "facility_id").agg(F.min("unit_key").alias("shift_unit_key")))
+        return lookup(df, units, ["unit_code", "facility_id"], ["shift_unit_key"])
+
+    def _with_staff_key(self, df: DataFrame) -> DataFrame:
         staff = (self.table("dim_staff").filter("is_current").groupBy("staff_id")
                  .agg(F.min("staff_key").alias("staff_key")))
-        df = lookup(self._with_facility(self._gated("staff_schedules")), units, ["unit_code", "facility_id"],
-                    ["unit_key"])
-        df = lookup(df, staff, "staff_id", ["staff_key"]).withColumn("work_date_key", date_key("work_date_parsed"))
-        return _renamed(df, "facility_key staff_key unit_key work_date_key unit_code shift shift_start shift_end "
-                            "job_code employment_type scheduled_hours_float:scheduled_hours "
-                            "actual_hours_float:actual_hours status overtime called_out floated_in census")
+        return lookup(df, staff, "staff_id", ["staff_key"])
+
+    def _with_remit(self, df: DataFrame, wanted: Sequence[str] | None) -> DataFrame:
+        """The last passing remittance of each claim; both sides hold one row per claim number, so this join has no heavy key."""
+        entries = [e for e in REMIT.split() if wanted is None or e.rpartition(":")[2] in wanted]
+        if wanted is None:
+            rows = gate(self._silver("remit"))
+        else:
+            # ties between remittances are broken by their columns in order: those up to the last one needed decide
+            raw, typed = FEEDS["remit"].columns, SILVER["remit"].typed
+            sources = [e.partition(":")[0] for e in entries]
+            last = max(raw.index(typed[c].raw if c in typed else c) for c in sources)
+            read = dict.fromkeys([*raw[:last + 1], "patient_control_number", "remit_date", *sources])
+            rows = gate(self._narrow("remit", list(read))).select(*read)
+        remit = _renamed(latest_child(rows, "patient_control_number", "remit_date"), " ".join(["patient_control_number", *entries]))
+        return df.join(remit, "patient_control_number", "left")
 
+    # facts
+    def columns(self, name: str, columns: Sequence[str]) -> DataFrame:
+        """A fact with ``columns`` only; what they do not need is neither read, shuffled nor looked up."""
+        if self._narrow is None or name in self._tables:
+            return self.table(name).select(*columns)
+        return self._fact(name, columns)
+
+    def _fact(self, name: str, wanted: Sequence[str] | None = None) -> DataFrame:
+        fact = STAR[name]
+        entries = [e for e in fact.columns.split() if wanted is None or (e.partition(":")[2] or e) in wanted]
+        sources = [e.partition(":")[0] for e in entries]
+        derived = {c: made for c, made in fact.derived.items() if c in sources}
+        read = [*[c for c in sources if c not in derived], *[c for made in derived.values() for c in made.reads]]
+        keys = [k for k in fact.keys if k in read]
+        remit = [e.rpartition(":")[2] for e in REMIT.split() if name == "fact_claims" and e.rpartition(":")[2] in read]
+        if wanted is None:
+            df = gate(self._silver(fact.source))
+        else:
+            own = [c for c in read if c not in fact.keys and c not in remit]
+            own += [c for k in keys for c in KEYS[k]] + ["patient_control_number"] * bool(remit)
+            df = gate(self._narrow(fact.source, list(dict.fromkeys(own))))
+        if remit:
+            df = self._with_remit(df, None if wanted is None else remit)
+        for key in keys:
+            df = getattr(self, f"_with_{key}")(df)
+        df = df.withColumns({c: made.make() for c, made in derived.items()})
+        return _renamed(df, " ".join(entries)) if wanted is None else _renamed(df, " ".join(entries)).select(*wanted)
+
+
+@dataclass(frozen=True)
+class Made:
+    """A column of a fact computed from the columns ``reads``."""
+
+    make: Callable[[], Column]
+    reads: tuple[str, ...]
+
+
+def _day(column: str) -> Made:
+    return Made(lambda: date_key(column), (column,))
+
+
+def _span(between: Callable[[str, str], Column], start: str, end: str) -> Made:
+    return Made(lambda: between(start, end), (start, end))
+
+
+def _span_if_shown(start: str, end: str) -> Made:
+    return Made(lambda: F.when(~F.col("is_no_show_bool"), minutes_between(start, end)), ("is_no_show_bool", start, end))
+
+
+def _whole(column: str) -> Made:
+    return Made(lambda: to_int(column), (column,))
+
+
+@dataclass(frozen=True)
+class Fact:
+    """A fact: its Silver table, its columns (``name`` or ``source:name``), the keys looked up, the columns computed."""
+
+    source: str
+    columns: str
+    keys: Sequence[str] = ()
+    derived: Mapping[str, Made] = field(default_factory=dict)
+
+
+#: Surrogate keys and the columns they are looked up by.
+KEYS = {"facility_key": ["facility_id"], "unit_key": ["unit_id"], "patient_key": ["canonical_patient_key"], "payer_key": ["payer_id"],
+        "drug_key": ["ndc11"], "attending_staff_key": ["attending_provider_npi"], "shift_unit_key": ["unit_code", "facility_id"],
+        "staff_key": ["staff_id"]}
+
+#: What a claim takes from its last remittance.
+REMIT = ("claim_status_code:remit_claim_status_code claim_payment_amount_float:claim_payment_amount patient_responsibility_amount "
+         "is_appealed_bool:is_appealed is_overturned_on_appeal_bool:is_overturned_on_appeal remit_date")
+
+STAR = {
+    "fact_encounters": Fact(
+        "encounters", "Id:encounter_id facility_key unit_key patient_key encounter_date_key Start_ts Stop_ts EncounterClass:encounter_class "
+        "Base_Encounter_Cost_float:base_encounter_cost Total_Claim_Cost_float:total_claim_cost Payer_Coverage:payer_coverage "
+        "ReasonDescription",
+        ["facility_key", "unit_key", "patient_key"],
+        {"encounter_date_key": _day("Start_ts")}),
+    "fact_admissions": Fact(
+        "admissions", "hadm_id encounter_id:source_encounter_id facility_key patient_key admit_date_key discharge_date_key admittime_ts "
+        "dischtime_ts length_of_stay_hours admission_type admission_location discharge_location insurance hospital_service "
+        "hospital_expire_flag_bool:hospital_expire_flag is_readmission_bool:is_readmission is_planned_readmission drg_code "
+        "index_encounter_id",
+        ["facility_key", "patient_key"],
+        {"admit_date_key": _day("admittime_ts"),
+         "discharge_date_key": _day("dischtime_ts"),
+         "length_of_stay_hours": _span(hours_between, "admittime_ts", "dischtime_ts")}),
+    "fact_ed_stays": Fact(
+        "ed_stays", "stay_id encounter_id:source_encounter_id hadm_id facility_key patient_key stay_date_key intime_ts outtime_ts "
+        "wait_time_minutes length_of_stay_minutes arrival_transport disposition acuity_int:acuity chiefcomplaint temperature "
+        "heartrate resprate o2sat sbp dbp pain",
+        ["facility_key", "patient_key"],
+        {"stay_date_key": _day("intime_ts"),
+         "wait_time_minutes": _span(minutes_between, "intime_ts", "triage_time_ts"),
+         "length_of_stay_minutes": _span(minutes_between, "intime_ts", "outtime_ts")}),
+    "fact_outpatient_visits": Fact(
+        "outpatient_visits", "visit_id encounter_id:source_encounter_id facility_key unit_key patient_key payer_key visit_date_key wait_time_minutes "
+        "appointment_delay_minutes clinic_type visit_status_folded:visit_status is_no_show_bool:is_no_show "
+        "escalated_to_inpatient_bool:escalated_to_inpatient primary_diagnosis_code",
+        ["facility_key", "unit_key", "patient_key", "payer_key"],
+        {"visit_date_key": _day("appointment_time_ts"),
+         "wait_time_minutes": _span_if_shown("arrival_time_ts", "provider_seen_time_ts"),
+         "appointment_delay_minutes": _span_if_shown("appointment_time_ts", "provider_seen_time_ts")}),
+    "fact_transfers": Fact(
+        "transfers", "transfer_id hadm_id facility_key unit_key patient_key transfer_date_key intime_ts outtime_ts transfer_duration_hours "
+        "eventtype careunit",
+        ["facility_key", "unit_key", "patient_key"],
+        {"transfer_date_key": _day("intime_ts"),
+         "transfer_duration_hours": _span(hours_between, "intime_ts", "outtime_ts")}),
+    "fact_diagnoses": Fact(
+        "diagnoses", "hadm_id encounter_id:source_encounter_id facility_key patient_key seq_num_int:seq_num icd_code "
+        "icd_version_int:icd_version icd_title hrrp_cohort",
+        ["facility_key", "patient_key"]),
+    "fact_claims": Fact(
+        "claim_header", "patient_control_number encounter_id:source_encounter_id hadm_id facility_key payer_key patient_key attending_staff_key "
+        "submission_date_key total_charge_amount_float:total_charge_amount claim_payment_amount patient_responsibility_amount "
+        "amount_at_risk is_paid drg_code type_of_bill admission_type_code is_readmission_related_bool:is_readmission_related "
+        "remit_claim_status_code is_appealed is_overturned_on_appeal remit_date",
+        ["facility_key", "payer_key", "patient_key", "attending_staff_key"],
+        {"submission_date_key": _day("submission_date_d"),
+         "is_paid": Made(lambda: F.coalesce(F.col("claim_payment_amount") > 0, F.lit(False)), ("claim_payment_amount",)),
+         "amount_at_risk": Made(lambda: F.col("total_charge_amount_float") - F.coalesce("claim_payment_amount", F.lit(0).cast("decimal(18,2)")),
+                               ("total_charge_amount_float", "claim_payment_amount"))}),
+    "fact_claim_lines": Fact(
+        "claim_line", "patient_control_number line_control_number revenue_code revenue_code_description procedure_code procedure_description "
+        "line_charge_amount_float:line_charge_amount unit_count_int:unit_count non_covered_amount service_date_from "
+        "service_date_to"),
+    "fact_claim_adjustments": Fact(
+        "remit_adjustment", "patient_control_number adjustment_seq group_code group_code_description reason_code reason_code_description "
+        "amount_float:amount quantity remark_code remark_code_description is_denial_bool:is_denial"),
+    "fact_bed_capacity": Fact(
+        "bed_hourly", "facility_key unit_key snapshot_date_key snapshot_hour snapshot_datetime_ts licensed_beds staffed_beds_int:staffed_beds "
+        "blocked_beds_int:blocked_beds occupied_beds_int:occupied_beds available_beds_int:available_beds "
+        "occupancy_rate_float:occupancy_rate is_at_capacity_bool:is_at_capacity pending_admissions pending_discharges",
+        ["facility_key", "unit_key"],
+        {"snapshot_date_key": _day("snapshot_datetime_ts"),
+         "snapshot_hour": Made(lambda: F.hour("snapshot_datetime_ts"), ("snapshot_datetime_ts",)),
+         "licensed_beds": _whole("licensed_beds"),
+         "pending_admissions": _whole("pending_admissions"),
+         "pending_discharges": _whole("pending_discharges")}),
+    "fact_pharmacy_inventory": Fact(
+        "pharmacy_inventory", "facility_key drug_key snapshot_date_key counting_datetime count_type location_id qty_on_hand_int:qty_on_hand "
+        "qty_on_order reorder_point_int:reorder_point safety_stock avg_daily_usage_30d days_on_hand "
+        "is_stockout_bool:is_stockout shortage_status shortage_reason unit_cost_float:unit_cost extended_value",
+        ["facility_key", "drug_key"],
+        {"snapshot_date_key": _day("snapshot_date_d")}),
+    "fact_staffing": Fact(
+        "staff_schedules", "facility_key staff_key shift_unit_key:unit_key work_date_key unit_code shift shift_start shift_end job_code "
+        "employment_type scheduled_hours_float:scheduled_hours actual_hours_float:actual_hours status overtime called_out "
+        "floated_in census",
+        ["facility_key", "shift_unit_key", "staff_key"],
+        {"work_date_key": _day("work_date_parsed")}),
+}
 
 DIMENSIONS = ["dim_date", "dim_facility", "dim_unit", "dim_payer", "dim_drug", "dim_staff", "dim_patient",
               "dim_icd10", "dim_drg"]
-FACTS = ["fact_encounters", "fact_admissions", "fact_ed_stays", "fact_outpatient_visits", "fact_transfers",
-         "fact_diagnoses", "fact_claims", "fact_claim_lines", "fact_claim_adjustments", "fact_bed_capacity",
-         "fact_pharmacy_inventory", "fact_staffing"]
+FACTS = list(STAR)
 
 
 def facts_without_date(fact: DataFrame, calendar: DataFrame, key: str) -> DataFrame:

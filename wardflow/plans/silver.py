@@ -349,11 +349,12 @@ class Silver:
         """
         table = TABLES[name]
         reads, brought = table.reads(), {c.brings for c in table.checks if isinstance(c, AttachKey)}
-        if reads is None or brought & set(columns) or not set(columns) <= {*FEEDS[name].columns, *table.typed, "_batch_id", "work_date_parsed"}:
+        own = [c for c in columns if c not in brought]
+        if reads is None or not set(own) <= {*FEEDS[name].columns, *table.typed, "_batch_id", "work_date_parsed"}:
             return self.table(name).select(*columns, ISSUES, PASSED)
         checks = [ForeignKey(c.column, c.parent, c.parent_column, c.message, null_fails=True, large=True)
-                  if isinstance(c, AttachKey) else c for c in table.checks]
-        keyed, rules = resolve_keys(table.narrow(self._bronze(name), [*columns, *sorted(reads)]), checks, self.parent, self.known)
+                  if isinstance(c, AttachKey) and c.brings not in columns else c for c in table.checks]
+        keyed, rules = resolve_keys(table.narrow(self._bronze(name), [*own, *sorted(reads)]), checks, self.parent, self.known)
         return judge(keyed, rules).select(*columns, ISSUES, PASSED)
 
     def table(self, name: str) -> DataFrame:

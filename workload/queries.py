@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -21,7 +21,7 @@ class Hospital:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.bronze = spark, Bronze(spark, folder)
         self._silver = Silver(self.bronze)
-        self._gold = Gold(spark, self._silver.table, as_of=ot.AS_OF, settled=True)
+        self._gold = Gold(spark, self._silver.table, as_of=ot.AS_OF, settled=True, narrow=self._silver.verdicts)
 
     def silver(self, name: str) -> DataFrame:
         return self._silver.table(name)
@@ -32,6 +32,9 @@ class Hospital:
     def gold(self, name: str) -> DataFrame:
         return self._gold.table(name)
 
+    def fact(self, name: str, columns: Sequence[str]) -> DataFrame:
+        return self._gold.columns(name, columns)
+
 def present(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Print-ready values: text for times and dates, doubles for decimals, rates to 9 places."""
     def shown(field: T.StructField) -> str:
