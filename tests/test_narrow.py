@@ -5,6 +5,7 @@ import random
 import pytest
 
 from wardflow.operators.dedupe import latest_batch, latest_per_key
+from wardflow.plans.checks import CHECKED
 from wardflow.plans.dashboards import FACILITY_NAME
 from wardflow.plans.measures import Model
 from wardflow.plans.silver import TABLES
@@ -72,3 +73,13 @@ def test_a_payer_of_adjustments_needs_no_remittance(spark):
     hospital = Hospital(spark, SMALL)
     plan = hospital.fact("fact_claims", ["patient_control_number", "payer_key"])._jdf.queryExecution().optimizedPlan().toString()
     assert "claim_payment_amount" not in plan and not {"patients", "remit"} & set(hospital._silver._bases)
+
+
+@pytest.mark.parametrize("name", ["pharmacy_inventory", "staff_schedules", "remit_adjustment"])
+def test_checked_columns_equal_those_of_the_base(spark, rows, name):
+    silver = Hospital(spark, SMALL)._silver
+    narrow, wanted = silver.columns(name, CHECKED[name]), CHECKED[name]
+    assert rows(narrow, *wanted) == rows(silver.base(name), *wanted)
+    if name == "pharmacy_inventory":
+        plan = narrow._jdf.queryExecution().optimizedPlan().toString()
+        assert "is_stockout" not in plan, "a column after the last one needed is not carried"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -86,12 +86,13 @@ def census_reconciliation(beds: DataFrame, weekly: DataFrame) -> DataFrame:
     return census_by_week(kpi_beds.split_impossible(beds)[0], weekly)
 
 
-def run_checks(tables: Callable[[str], DataFrame]) -> DataFrame:
-    """One row per check: name, PASS / WARN / FAIL, detail.  ``tables`` supplies Silver bases.
+def run_checks(tables: Callable[[str], DataFrame], columns: Callable[[str, Sequence[str]], DataFrame] | None = None) -> DataFrame:
+    """One row per check: name, PASS / WARN / FAIL, detail.  ``tables`` supplies Silver bases, ``columns`` some of their columns.
 
     Several checks look at each table, so the columns they need are computed once and written.
     """
-    tables = once(lambda name, supplied=tables: supplied(name).select(*CHECKED[name]))
+    supplied = columns or (lambda name, wanted: tables(name).select(*wanted))
+    tables = once(lambda name: supplied(name, CHECKED[name]))
     ed, beds, roster, units = tables("ed_stays"), tables("bed_hourly"), tables("staff_schedules"), tables("unit")
     admissions, adjustments, inventory = tables("admissions"), tables("remit_adjustment"), tables("pharmacy_inventory")
     claims = kpi_claims.claims_kpis(kpi_claims.with_remit(tables("claim_header"), tables("remit")))

@@ -341,6 +341,10 @@ class Silver:
             self._known[key] = settle(parent_keys(item, rows))
         return self._known[key]
 
+    def columns(self, name: str, columns: Sequence[str]) -> DataFrame:
+        """``base(name)`` with ``columns`` only, none of which ``enrich`` adds; from narrower rows than ``base`` chooses among."""
+        return TABLES[name].narrow(self._bronze(name), columns)
+
     def verdicts(self, name: str, columns: Sequence[str] = ()) -> DataFrame:
         """The rows of ``table`` with their verdict and, of their other columns, ``columns`` only.
 
