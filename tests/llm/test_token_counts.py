@@ -40,6 +40,41 @@ def test_units_encode_as_the_whole_text(name):
         assert np.frombuffer(encoder.ids(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+LETTERS = ["ab", "Word", "É", "straße", "Übung", "ÿ", "÷", "ª", "µ", "x\u0301", "İ", "Ā", "1", "the", "'s", "'", "...", "%%%", ",", "</w>",
+           "<|endoftext|>", "<|", "-", "日", " ", " ", " ", "\n", "\n", "\t"]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_plain_words_go_to_the_model_alone_and_get_the_ids_of_the_library(name):
+    import numpy as np
+    path, rng, sent = vocabulary(name), random.Random(7), []
+    encoder, library = Encoder(path, most=60), Tokenizer.from_file(path)
+    whole = encoder._by_library
+    encoder._by_library = lambda parts: sent.extend(parts) or whole(parts)
+    texts = ["".join(rng.choices(LETTERS, k=rng.randint(0, 14))) for _ in range(4000)]
+    for at in range(0, len(texts), 50):
+        for text, ids in zip(texts[at:at + 50], encoder.many(texts[at:at + 50]), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+    sent.clear()
+    encoder.many(["Every word, straße\nor \"not\"; Übung... x1 plainly"])
+    assert sent == [' "not";', " x1"]
+    assert len(encoder.marks) < 20_000
+
+
+def test_other_patterns_are_left_to_the_library(tmp_path):
+    import json
+    import numpy as np
+    with open(vocabulary("byte_bpe_50k.json"), encoding="utf-8") as file:
+        said = json.load(file)
+    said["normalizer"] = {"type": "Replace", "pattern": {"String": "e"}, "content": "a"}
+    path = str(tmp_path / "other.json")
+    with open(path, "w", encoding="utf-8") as file:
+        json.dump(said, file)
+    encoder, library = Encoder(path), Tokenizer.from_file(path)
+    assert not encoder.cuts_at_letters
+    assert np.frombuffer(encoder.ids("the best here, yes"), "<u4").tolist() == library.encode("the best here, yes", add_special_tokens=False).ids
+
+
 def test_rows_of_every_kind(spark):
     docs = spark.createDataFrame([(1, None, "x"), (2, "", "x"), (3, "the " * 3000, "x"), (3, "the " * 3000, "x"), (None, "hi", "x")],
                                  "doc_id long, text string, n_tokens string")
