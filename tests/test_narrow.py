@@ -5,6 +5,7 @@ import random
 import pytest
 
 from wardflow.operators.dedupe import latest_batch, latest_per_key
+from wardflow.operators.quality import judge, required, within
 from wardflow.plans.checks import CHECKED
 from wardflow.plans.dashboards import FACILITY_NAME
 from wardflow.plans.measures import Model
@@ -83,3 +84,16 @@ def test_checked_columns_equal_those_of_the_base(spark, rows, name):
     if name == "pharmacy_inventory":
         plan = narrow._jdf.queryExecution().optimizedPlan().toString()
         assert "is_stockout" not in plan, "a column after the last one needed is not carried"
+
+
+def test_a_verdict_names_each_message_once_in_rule_order_without_an_array_per_row(spark):
+    df = spark.sql("select * from values (1, 2), (5, null), (null, 9), (7, 9), (null, null) as t(a, b)")
+    rules = [within("b", None, 8, "b large"), within("a", None, 4, "large"), required("a"), within("b", None, 5, "large"), required("b")]
+    judged = judge(df, rules)
+    assert [(r.a, r.b, r._dq_issues, r._dq_passed) for r in judged.collect()] == [
+        (1, 2, "", True), (5, None, "large; b null", False), (None, 9, "b large; large; a null", False),
+        (7, 9, "b large; large", False), (None, None, "a null; b null", False)]
+    assert [(r._dq_issues, r._dq_passed) for r in judge(df.limit(1), []).collect()] == [("", True)]
+    for plan in (judged, Hospital(spark, SMALL).silver("remit_adjustment")):
+        said = plan._jdf.queryExecution().optimizedPlan().toString()
+        assert "lambda" not in said and "array_distinct" not in said

@@ -144,11 +144,16 @@ def _orphan_test(flag: str, column: str, null_fails: bool) -> Callable[[], Colum
 
 
 def judge(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Add ``_dq_issues`` (``'; '``-joined, each message once, in rule order) and ``_dq_passed``."""
-    found = F.array_compact(F.array(*[F.when(r.fails(), F.lit(r.message)) for r in rules]))
-    out = df.withColumn("_found", F.array_distinct(found))
-    return out.withColumns({ISSUES: F.array_join("_found", "; "),
-                            PASSED: F.size("_found") == 0}).drop("_found")
+    """Add ``_dq_issues`` (``'; '``-joined, each message once, in rule order) and ``_dq_passed``.
+
+    Messages that are not NULL are joined as they come, with no array of them per row; rules that share a message are one test.
+    """
+    tests: dict[str, Column] = {}
+    for r in rules:
+        fails = F.coalesce(r.fails(), F.lit(False))
+        tests[r.message] = tests[r.message] | fails if r.message in tests else fails
+    said = F.concat_ws("; ", *[F.when(fails, F.lit(message)) for message, fails in tests.items()])
+    return df.withColumn(ISSUES, said).withColumn(PASSED, F.col(ISSUES) == "")
 
 
 def add_issue(df: DataFrame, condition: Column, message: str) -> DataFrame:
