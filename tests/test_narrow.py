@@ -8,8 +8,10 @@ from wardflow.operators.dedupe import latest_batch, latest_per_key
 from wardflow.operators.quality import judge, required, within
 from wardflow.plans.checks import CHECKED
 from wardflow.plans.dashboards import FACILITY_NAME
+from wardflow.plans.gold import Gold
 from wardflow.plans.measures import Model
 from wardflow.plans.silver import TABLES
+from workload.oracle_tables import AS_OF
 from workload.queries import Hospital
 
 SMALL = "/root/testdata/sf0.001"
@@ -97,3 +99,13 @@ def test_a_verdict_names_each_message_once_in_rule_order_without_an_array_per_ro
     for plan in (judged, Hospital(spark, SMALL).silver("remit_adjustment")):
         said = plan._jdf.queryExecution().optimizedPlan().toString()
         assert "lambda" not in said and "array_distinct" not in said
+
+
+def test_claims_are_not_judged_once_more_for_their_remittances(spark, rows):
+    hospital = Hospital(spark, SMALL)
+    narrow = hospital.gold("fact_claims")
+    assert not [parent for parent, _, gated in hospital._silver._known if parent == "claim_header" and gated]
+    judged = Gold(spark, hospital._silver.table, as_of=AS_OF)
+    judged.use(**{name: table for name, table in hospital._gold._tables.items() if name.startswith("dim_")})
+    found = rows(narrow, *narrow.columns)
+    assert found == rows(judged.table("fact_claims"), *narrow.columns) and any(r[narrow.columns.index("remit_date")] for r in found)

@@ -112,7 +112,7 @@ class Gold:
 
     def __init__(self, spark: SparkSession, silver: Callable[[str], DataFrame], as_of: str | None = None,
                  calendar: tuple[str, str] = CALENDAR, settled: bool = False,
-                 narrow: Callable[[str, Sequence[str]], DataFrame] | None = None):
+                 narrow: Callable[..., DataFrame] | None = None):
         self._spark, self._silver, self._as_of, self._calendar, self._settled = spark, silver, as_of, calendar, settled
         self._narrow = narrow
         self._tables: dict[str, DataFrame] = {}
@@ -188,9 +188,12 @@ class Gold:
         return lookup(df, staff, "staff_id", ["staff_key"])
 
     def _with_remit(self, df: DataFrame, wanted: Sequence[str] | None) -> DataFrame:
-        """The last passing remittance of each claim; both sides hold one row per claim number, so this join has no heavy key."""
+        """The last passing remittance of each claim; both sides hold one row per claim number, so this join has no heavy key.
+
+        The claims are those that passed, so a remittance without such a claim meets none, and the claims need not be judged once more for it.
+        """
         entries = [e for e in REMIT.split() if wanted is None or e.rpartition(":")[2] in wanted]
-        if wanted is None:
+        if self._narrow is None:
             rows = gate(self._silver("remit"))
         else:
             # ties between remittances are broken by their columns in order: those up to the last one needed decide
@@ -198,7 +201,7 @@ class Gold:
             sources = [e.partition(":")[0] for e in entries]
             last = max(raw.index(typed[c].raw if c in typed else c) for c in sources)
             read = dict.fromkeys([*raw[:last + 1], "patient_control_number", "remit_date", *sources])
-            rows = gate(self._narrow("remit", list(read))).select(*read)
+            rows = gate(self._narrow("remit", list(read), met=["claim_header"])).select(*read)
         remit = _renamed(latest_child(rows, "patient_control_number", "remit_date"), " ".join(["patient_control_number", *entries]))
         return df.join(remit, "patient_control_number", "left")
 
