@@ -7,6 +7,7 @@ returns NULL instead, so that a data-quality rule can name the problem.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -36,10 +37,18 @@ def to_bool(value: str | Column) -> Column:
 
 
 def to_day(value: str | Column, *formats: str) -> Column:
-    """First format that parses wins; without formats, ISO dates."""
+    """First format that parses wins; without formats, ISO dates.
+
+    A failed attempt costs several times a good one, so texts that lack a separator of a format are not tried with it.
+    """
     if not formats:
         return as_col(value).try_cast("date")
-    return F.coalesce(*[F.try_to_timestamp(as_col(value), F.lit(f)).cast("date") for f in formats])
+
+    def attempt(f: str) -> Column:
+        day = F.try_to_timestamp(as_col(value), F.lit(f)).cast("date")
+        marks = [] if "'" in f or "[" in f else sorted(set(f) & set("-/.:"))
+        return F.when(reduce(Column.__and__, [F.contains(as_col(value), F.lit(m)) for m in marks]), day) if marks else day
+    return F.coalesce(*[attempt(f) for f in formats])
 
 
 def to_time(value: str | Column, *formats: str) -> Column:

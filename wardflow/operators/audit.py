@@ -18,12 +18,13 @@ def stack(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def run_summary(silver: DataFrame, table: str, run_id: str | None = None) -> DataFrame:
-    """One row of the run log: rows in, passed and failed."""
+def run_summary(silver: DataFrame, table: str, run_id: str | None = None, rows: str | None = None) -> DataFrame:
+    """One row of the run log: rows in, passed and failed. ``rows``: the column that says for how many rows each one stands."""
+    def counted(where: Column) -> Column:
+        return F.count_if(where) if rows is None else F.coalesce(F.sum(F.when(where, F.col(rows))), F.lit(0).cast("long"))
     # The run log's column names.
-    out = silver.agg(F.count(F.lit(1)).alias("rows_total"),
-                     F.count_if(F.col(PASSED)).alias("rows_passed"),
-                     F.count_if(~F.col(PASSED)).alias("rows_failed"))
+    out = silver.agg(counted(F.lit(True)).alias("rows_total"), counted(F.col(PASSED)).alias("rows_passed"),
+                     counted(~F.col(PASSED)).alias("rows_failed"))
     out = out.withColumn("table_name", F.lit(table))
     if run_id is not None:
         out = out.withColumns({"run_id": F.lit(run_id), "run_timestamp": F.current_timestamp()})
@@ -50,11 +51,11 @@ def blank_batches(tables: Mapping[str, DataFrame]) -> DataFrame:
                   .withColumn("table_name", F.lit(name)) for name, df in tables.items()])
 
 
-def issue_breakdown(silver: DataFrame) -> DataFrame:
-    """Rows per issue message."""
+def issue_breakdown(silver: DataFrame, rows: str | None = None) -> DataFrame:
+    """Rows per issue message. ``rows``: the column that says for how many rows each one stands."""
     return (silver.filter(~F.col(PASSED))
-            .select(F.explode(F.split(ISSUES, "; ")).alias("issue"))
-            .groupBy("issue").agg(F.count(F.lit(1)).alias("rows")))
+            .select(F.explode(F.split(ISSUES, "; ")).alias("issue"), (F.lit(1) if rows is None else F.col(rows)).alias("_rows"))
+            .groupBy("issue").agg(F.sum("_rows").alias("rows")))
 
 
 def null_keys(fact: DataFrame, keys: Sequence[str], table: str) -> DataFrame:

@@ -13,8 +13,11 @@ first common table expressions.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
+from wardflow.session import settle
 from wardflow.sources.feeds import FEEDS, conform
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
@@ -33,11 +36,21 @@ class Dialect:
                 f"'yyyy-MM-dd HH:mm:ss')")
 
     def day(self, base: str, add: str = "0", form: str = "iso") -> str:
-        return f"date_format(date_add(cast({base} as date), cast({add} as int)), '{self.formats[form]}')"
+        at = f"date_add(cast({base} as date), cast({add} as int))"
+        text = f"date_format({at}, '{self.formats[form]}')"
+        if form != "compact":
+            return text
+        # the digits of a number are made in a tenth of the time a formatter takes
+        return (f"case when year({at}) between 1000 and 9999 then cast(year({at}) * 10000 + month({at}) * 100 + day({at}) as string) "
+                f"else {text} end")
 
     def idiv(self, a: str, b: str) -> str:
         return f"(({a}) div ({b}))"
 
+    def joined(self, name: str, sql: str) -> str:
+        """A join that several feeds are made from, under its name."""
+        return f"({sql}) {name}"
+
     def iso(self, t: str) -> str:
         return f"date_format(cast({t} as timestamp), 'yyyy-MM-dd HH:mm:ss')"
 
@@ -53,6 +66,17 @@ class Dialect:
         return f"explode(case when {test} then array(0, 1) else array(0) end)"
 
 
+class Shared(Dialect):
+    """Spark spelling in which joins are named like tables; ``joins`` has their text."""
+
+    def __init__(self):
+        self.joins: dict[str, str] = {}
+
+    def joined(self, name: str, sql: str) -> str:
+        self.joins[f"joined_{name}"] = sql
+        return f"{{joined_{name}}} {name}"
+
+
 class DuckDb(Dialect):
     formats = {"iso": "%Y-%m-%d", "us": "%m/%d/%Y", "compact": "%Y%m%d"}
 
@@ -111,11 +135,11 @@ def feeds(d: Dialect) -> dict[str, str]:
     hadm, pcn = f"'HADM' || {padded('o_orderkey', 9)}", f"'PCN' || {padded('o_orderkey', 9)}"
     admitted = "o_orderpriority in ('1-URGENT', '2-HIGH')"
     system = choose("s_nationkey", ["CENTRAL_HIS", "ACADEMIC_CIS", "REGIONAL_HIS", "COMMUNITY_CARE_EHR"])
-    o = (f"(select x.*, s_suppkey, s_nationkey, c_nationkey, c_mktsegment, o_orderkey % 1440 as minute from "
-         f"(select o.*, o_orderkey % (select count(*) from {t('supplier')}) as sk from {t('orders')} o) x "
-         f"join {t('supplier')} on s_suppkey = sk join {t('customer')} on c_custkey = o_custkey) o")
-    l = (f"(select l.*, s_suppkey, s_nationkey, o_orderkey, o_custkey, o_orderpriority, o_orderdate from {t('lineitem')} l "
-         f"join {t('supplier')} on s_suppkey = l_suppkey join {t('orders')} on o_orderkey = l_orderkey) l")
+    o = d.joined("o", f"select x.*, s_suppkey, s_nationkey, c_nationkey, c_mktsegment, o_orderkey % 1440 as minute from "
+                 f"(select o.*, o_orderkey % (select count(*) from {t('supplier')}) as sk from {t('orders')} o) x "
+                 f"join {t('supplier')} on s_suppkey = sk join {t('customer')} on c_custkey = o_custkey")
+    l = d.joined("l", f"select l.*, s_suppkey, s_nationkey, o_orderkey, o_custkey, o_orderpriority, o_orderdate from {t('lineitem')} l "
+                 f"join {t('supplier')} on s_suppkey = l_suppkey join {t('orders')} on o_orderkey = l_orderkey")
     e = (f"(select e.*, s_suppkey, s_nationkey, date_trunc('hour', ts) as hr, 10 + s_suppkey % 40 - s_suppkey % 3 as staffed, "
          f"s_suppkey % 3 as blocked, event_id % (14 + s_suppkey % 40) as occupied from "
          f"(select e.*, user_id % (select count(*) from {t('supplier')}) as sk from {t('events')} e) e "
@@ -356,15 +380,28 @@ class Bronze:
         self.spark, self.folder = spark, folder
         self._read: dict[str, DataFrame] = {}
         self._frames: dict[str, DataFrame] = {}
-        self._sql = feeds(Dialect())
+        self._sql, self._joins = feeds(Dialect()), {}
+
+    def share(self) -> None:
+        """For callers that read many feeds: a join that several are made from is written when the first of them is asked for.
+
+        Of its columns those are written that a feed names.
+        """
+        shared = Shared()
+        self._sql, self._joins, self._frames = feeds(shared), shared.joins, {}
 
     def table(self, name: str) -> DataFrame:
         if name not in self._read:
-            self._read[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            if name in self._joins:
+                named = {word for sql in self._sql.values() for word in re.findall(r"\w+", sql)}
+                rows = self.run(self._joins[name])
+                self._read[name] = settle(rows.select(*[c for c in rows.columns if c in named]))
+            else:
+                self._read[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         return self._read[name]
 
     def run(self, sql: str) -> DataFrame:
-        used = {n: self.table(n) for n in TABLES if "{" + n + "}" in sql}
+        used = {n: self.table(n) for n in [*TABLES, *self._joins] if "{" + n + "}" in sql}
         return self.spark.sql(sql.replace('"', "`"), **used)
 
     def __call__(self, name: str) -> DataFrame:

@@ -29,6 +29,9 @@ class Hospital:
     def verdicts(self, name: str) -> DataFrame:
         return self._silver.verdicts(name)
 
+    def counts(self, name: str) -> DataFrame:
+        return self._silver.counts(name)
+
     def gold(self, name: str) -> DataFrame:
         return self._gold.table(name)
 
